@@ -37,21 +37,18 @@ def standard(c: Column, stop_words: Sequence[str] = ()) -> Column:
 
 
 def shingles(tokens: Column, smallest: int = 2, largest: int = 3) -> Column:
-    """All single tokens, then the runs of ``smallest`` to ``largest`` neighbouring tokens."""
-    n = F.size(tokens)
-    none = F.array().cast(_STRINGS)
-    runs = [
-        F.when(
-            n >= size,
-            F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i, size=size: F.concat_ws(" ", F.slice(tokens, i, size))),
-        ).otherwise(none)
-        for size in range(smallest, largest + 1)
-    ]
-    return F.concat(tokens, *runs)
-
-
-def word_shingles(c: Column) -> Column:
-    return shingles(word_tokens(F.lower(c)))
+    """All single tokens, then the runs of ``smallest`` to ``largest`` neighbouring tokens.
+
+    Give it a materialised column: the list is read once per place in a run.
+    """
+    parts = [tokens]
+    for size in range(smallest, largest + 1):
+        count = F.greatest(F.size(tokens) - (size - 1), F.lit(0))
+        run = F.slice(tokens, 1, count)
+        for place in range(2, size + 1):
+            run = F.zip_with(run, F.slice(tokens, place, count), lambda left, right: F.concat_ws(" ", left, right))
+        parts.append(run)
+    return F.concat(*parts)
 
 
 def reversed_words(c: Column) -> Column:

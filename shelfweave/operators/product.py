@@ -41,18 +41,24 @@ class ProductTables(Protocol):
 # --- side frames, each one row per product -------------------------------------------------------
 
 def category_facts(category: DataFrame, category_lang: DataFrame, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES) -> DataFrame:
-    """One row per category with its per-language name, slug and path as an array."""
+    """One row per category and language with what a product document shows of it."""
     paths = C.category_paths(category, category_lang, hidden, active_only=False)
-    texts = category_lang.join(paths, ["id_category", "id_lang"]).groupBy("id_category").agg(
-        F.array_sort(F.collect_list(F.struct("id_lang", "name", F.col("link_rewrite").alias("slug"), "path"))).alias("texts")
-    )
-    return category.select("id_category", "active", "level_depth", "id_parent").join(texts, "id_category")
+    texts = category_lang.select("id_category", "id_lang", "name", F.col("link_rewrite").alias("slug")).join(paths, ["id_category", "id_lang"])
+    return category.select("id_category", "active", "level_depth", "id_parent").join(texts, "id_category", "left")
 
 
 def categories(category_product: DataFrame, facts: DataFrame) -> DataFrame:
-    """Categories of each product in id order, with all languages."""
-    return category_product.select("id_product", "id_category").join(facts, "id_category").groupBy("id_product").agg(
-        F.array_sort(F.collect_list(F.struct("id_category", "active", "level_depth", "id_parent", "texts"))).alias("cats")
+    """Per product its category ids, and per language its categories in id order.
+
+    One shuffle on the product id serves both groupings.
+    """
+    rows = category_product.select("id_product", "id_category").join(facts, "id_category").repartition("id_product")
+    per_lang = rows.groupBy("id_product", "id_lang").agg(
+        F.array_sort(F.collect_list(F.struct("id_category", "active", "level_depth", "id_parent", "name", "slug", "path"))).alias("cats")
+    )
+    ids = F.flatten(F.transform("by_lang", lambda l: F.transform(l["cats"], lambda c: c["id_category"])))
+    return per_lang.groupBy("id_product").agg(F.collect_list(F.struct("id_lang", "cats")).alias("by_lang")).select(
+        "id_product", F.array_sort(F.array_distinct(ids)).alias("category_ids"), "by_lang"
     )
 
 
@@ -145,62 +151,66 @@ STOCK_DEFAULTS = (
 
 
 def stock_struct() -> Column:
-    quantity = F.coalesce("quantity", F.lit(0).cast("bigint"))
-    later = F.coalesce("supplier_qty", F.lit(0).cast("bigint"))
+    """The nested stock part of a document."""
+    same = ", ".join(f"'{name}', {str(value).lower()}" for name, value in STOCK_DEFAULTS)
+    counts = F.expr(
+        "named_struct('item_id', id_product, 'product_id', id_product, 'stock_id', id_stock, "
+        "'qty', coalesce(quantity, 0L) + coalesce(supplier_qty, 0L), 'qty_available_now', coalesce(quantity, 0L), "
+        f"'qty_available_later', coalesce(supplier_qty, 0L), 'is_in_stock', 0, {same})"
+    )
     available = in_stock(F.col("quantity"), allows_backorder(F.col("out_of_stock")))
-    return F.struct(
-        F.col("id_product").alias("item_id"), F.col("id_product").alias("product_id"), F.col("id_stock").alias("stock_id"),
-        (quantity + later).alias("qty"), quantity.alias("qty_available_now"), later.alias("qty_available_later"),
-        available.cast("int").alias("is_in_stock"), *[F.lit(v).alias(n) for n, v in STOCK_DEFAULTS],
-        S.php_int(F.col("available_now")).alias("handling_time"), S.php_int(F.col("available_later")).alias("handling_time_oos"),
+    return (
+        counts.withField("is_in_stock", available.cast("int"))
+        .withField("handling_time", S.php_int(F.col("available_now")))
+        .withField("handling_time_oos", S.php_int(F.col("available_later")))
     )
 
 
-def _text_in(texts: Column, id_lang: Column) -> Column:
-    return F.get(F.filter(texts, lambda t: t["id_lang"] == id_lang), F.lit(0))
+def in_language(by_lang: Column, id_lang: Column, member: str) -> Column:
+    """The list of one language out of a per-language array; NULL where it has none."""
+    return F.get(F.filter(by_lang, lambda l: l["id_lang"] == id_lang), F.lit(0))[member]
 
 
-def category_structs(cats: Column, id_lang: Column) -> Column:
-    """Active categories with their text in one language."""
+def category_structs(cats: Column) -> Column:
+    """Active categories as the nested part of a document."""
     return F.transform(
         F.filter(cats, lambda c: c["active"]),
         lambda c: F.struct(
-            c["id_category"].alias("category_id"), _text_in(c["texts"], id_lang)["name"].alias("name"), c["level_depth"].alias("level_depth"),
-            _text_in(c["texts"], id_lang)["slug"].alias("slug"), c["id_parent"].alias("id_parent"),
+            c["id_category"].alias("category_id"), c["name"].alias("name"), c["level_depth"].alias("level_depth"),
+            c["slug"].alias("slug"), c["id_parent"].alias("id_parent"),
         ),
     )
 
 
-def category_path_list(cats: Column, id_lang: Column) -> Column:
+def category_path_list(cats: Column) -> Column:
     """Non-empty paths of all categories, active or not."""
-    paths = F.transform(cats, lambda c: F.coalesce(_text_in(c["texts"], id_lang)["path"], F.lit("")))
-    return F.filter(paths, lambda p: (p != "") & (p != "0"))
+    return F.filter(F.transform(cats, lambda c: c["path"]), lambda p: (p != "") & (p != "0"))
 
 
 def leaf_names(paths: Column) -> Column:
-    return C.distinct_names(F.transform(paths, C.leaf_name))
+    return C.distinct_names(F.transform(paths, lambda p: C.leaf_name(p)))
 
 
 def features_in(features: Column, id_lang: Column) -> Column:
     return F.filter(features, lambda f: f["id_lang"] == id_lang)
 
 
+def _first_of_key(entries: Column, key, value, value_type: str) -> Column:
+    # map_from_entries rejects repeated keys, so the map grows entry by entry.
+    empty = F.create_map().cast(f"map<string,{value_type}>")
+    return F.aggregate(
+        entries, empty, lambda m, e: F.when(F.map_contains_key(m, key(e)), m).otherwise(F.map_concat(m, F.create_map(key(e), value(e))))
+    )
+
+
 def spec_map(features: Column) -> Column:
     """Feature name -> value; the last of equal names wins."""
-    last_first = F.reverse(features)
-    names = F.transform(last_first, lambda f: f["name"])
-    kept = F.filter(last_first, lambda f, i: F.array_position(names, f["name"]) == i + 1)
-    return F.map_from_entries(F.transform(kept, lambda f: F.struct(f["name"], f["value"])))
-
-
-def feature_map(features: Column, taken: Column) -> Column:
-    """Field code -> list of lower-case values; the first of equal codes wins, names in ``taken`` are left out."""
-    codes = F.transform(features, lambda f: S.code_of(f["name"]))
-    kept = F.filter(
-        features,
-        lambda f, i: (F.array_position(codes, S.code_of(f["name"])) == i + 1) & ~F.array_contains(taken, S.code_of(f["name"])),
-    )
-    return F.map_from_entries(F.transform(kept, lambda f: F.struct(S.code_of(f["name"]), S.split_trim(F.lower(f["value"])))))
+    return _first_of_key(F.reverse(features), lambda f: f["name"], lambda f: f["value"], "string")
+
+
+def feature_map(features: Column) -> Column:
+    """Field code -> list of lower-case values; the first of equal codes wins."""
+    return _first_of_key(features, lambda f: S.code_of(f["name"]), lambda f: S.split_trim(F.lower(f["value"])), "array<string>")
 
 
 def product_link(iso_or_lang: Column, id_product: Column, slug: Column) -> Column:
@@ -249,8 +259,8 @@ PRODUCT = register_entity(Entity(
         Attribute("required_options", "integer", const=0),
         Attribute("has_options", "boolean", const=False),
         Attribute("tax_class_id", "integer", lambda: F.col("id_tax_rules_group").cast("int")),
-        Attribute("category_ids", "text", lambda: F.transform("cats", lambda c: c["id_category"])),
-        Attribute("category", None, lambda: category_structs(F.col("cats"), F.col("id_lang")), children=(
+        Attribute("category_ids", "text"),
+        Attribute("category", None, children=(
             ("category_id", "integer"), ("is_parent", "boolean"), ("is_virtual", "text"), ("name", "keyword"),
             ("position", "integer"), ("level_depth", "integer"), ("slug", "keyword"), ("id_parent", "integer"))),
         Attribute("reference", None),
@@ -265,7 +275,7 @@ PRODUCT = register_entity(Entity(
         Attribute("stock", None, stock_struct, children=_STOCK_CHILDREN),
         Attribute("media_gallery", None, _is("gallery"), children=(("image", "text"), ("pos", "integer"), ("lab", "text"), ("typ", "text"))),
         Attribute("image", "text", lambda: S.image_path(F.col("cover_image"))),
-        Attribute("categories_without_path", "text", lambda: leaf_names(category_path_list(F.col("cats"), F.col("id_lang")))),
+        Attribute("categories_without_path", "text"),
         Attribute("condition", "keyword"),
         Attribute("customization_required", "boolean", _flag("customization_required")),
         Attribute("date_add", "date"),
@@ -290,13 +300,33 @@ PRODUCT = register_entity(Entity(
         Attribute("sales", "integer", lambda: F.coalesce("sales", F.lit(0).cast("bigint")), allowed_types=("integer",)),
         Attribute("meta", None, lambda: F.struct(
             F.col("meta_title").alias("title"), F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("keywords"))),
-        Attribute("specs", None, lambda: spec_map(features_in(F.col("features_all"), F.col("id_lang")))),
+        Attribute("specs"),
     ),
 ))
 
 
 # --- assembly ------------------------------------------------------------------------------------
 
+def _or_empty(frame: DataFrame, *columns: str) -> DataFrame:
+    return frame.withColumns({c: F.coalesce(c, F.array().cast(frame.schema[c].dataType)) for c in columns})
+
+
+def localized(product_lang: DataFrame, cats: DataFrame, features: DataFrame) -> DataFrame:
+    """The translation rows of products with all that depends on the language, worked out before shops multiply them."""
+    rows = product_lang.join(cats.select("id_product", "by_lang"), "id_product", "left").join(features, "id_product", "left")
+    picked = rows.withColumns({
+        "_cats": in_language(F.col("by_lang"), F.col("id_lang"), "cats"),
+        "_features": features_in(F.col("features_all"), F.col("id_lang")),
+    })
+    full = _or_empty(picked, "_cats", "_features")
+    return full.withColumns({
+        "category": category_structs(F.col("_cats")),
+        "categories_without_path": leaf_names(category_path_list(F.col("_cats"))),
+        "specs": spec_map(F.col("_features")),
+        "features": feature_map(F.col("_features")),
+    }).drop("by_lang", "features_all", "_cats", "_features")
+
+
 def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES) -> DataFrame:
     """Everything a product document is projected from, one row per (product, language, shop).
 
@@ -308,25 +338,23 @@ def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[i
     def cut(frame: DataFrame, column: str = "id_product") -> DataFrame:
         return frame if only is None else frame.join(only, frame[column] == only["_only"], "left_semi")
 
+    cats = categories(cut(t.category_product), category_facts(t.category, t.category_lang, hidden))
     per_product = brand(cut(t.product), t.manufacturer, t.supplier_name)
     per_product = per_product.join(tax_rates(t.tax_rule), "id_tax_rules_group", "left")
-    sides = [
-        stock(cut(t.stock_available)).select("id_product", "id_stock", "quantity", "supplier_qty"),
+    for side in (
+        stock(cut(t.stock_available)),
         reductions(cut(t.specific_price)),
         views(cut(t.page, "id_object"), t.page_viewed),
         sales(cut(t.order_detail, "product_id")),
         media(cut(t.image)),
-        categories(cut(t.category_product), category_facts(t.category, t.category_lang, hidden)),
-        feature_lists(cut(t.feature_product)),
-    ]
-    for side in sides:
+        cats.select("id_product", "category_ids"),
+    ):
         per_product = per_product.join(side, "id_product", "left")
-    per_product = per_product.withColumns({
-        c: F.coalesce(c, F.array().cast(per_product.schema[c].dataType)) for c in ("cats", "gallery", "features_all")
-    })
+    per_product = _or_empty(per_product, "gallery", "category_ids")
+    texts = localized(cut(t.product_lang), cats, feature_lists(cut(t.feature_product)))
     # Price, active flag and change date are those of the shop row.
     shop = cut(t.product_shop).select("id_product", "id_shop", "active", F.col("price").alias("base_price"), "date_upd")
-    fanned = entity_rows(per_product, shop, cut(t.product_lang), key="id_product", active_level="shop")
+    fanned = entity_rows(per_product, shop, texts, key="id_product", active_level="shop")
     fanned = fanned.withColumn("id_entity", F.col("id_product"))
     if rows is not None:
         fanned = fanned.join(rows.select("id_entity", "id_shop", "id_lang").distinct(), ["id_entity", "id_shop", "id_lang"], "left_semi")
@@ -335,21 +363,19 @@ def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[i
 
 def product_documents(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES, run_at: Column | None = None) -> DataFrame:
     """Product documents; features of the data come as the map column ``features``."""
-    assembled = assemble(t, rows, hidden)
-    docs = project(assembled.withColumn("_features", features_in(F.col("features_all"), F.col("id_lang"))), PRODUCT_WITH_FEATURES, run_at)
-    return hide_declared(docs)
+    return hide_declared(project(assemble(t, rows, hidden), PRODUCT_WITH_FEATURES, run_at))
 
 
 PRODUCT_WITH_FEATURES = Entity(
-    name="product", key="id_product", active_level="shop", attributes=PRODUCT.attributes + (Attribute("_features"),)
+    name="product", key="id_product", active_level="shop", attributes=PRODUCT.attributes + (Attribute("features"),)
 )
 
 
 def hide_declared(docs: DataFrame) -> DataFrame:
-    """Adds ``features``: the data-derived fields that no filled declared field of the document hides."""
-    declared = [c for c in docs.columns if c != "_features"]
-    taken = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.lit(c)) for c in declared]))
-    return docs.withColumn("features", feature_map(F.col("_features"), taken)).drop("_features")
+    """Leaves out features whose name is that of a filled declared field."""
+    declared = [c for c in docs.columns if c != "features"]
+    filled = F.expr("array_compact(array(" + ", ".join(f"CASE WHEN `{c}` IS NOT NULL THEN '{c}' END" for c in declared) + "))")
+    return docs.withColumn("features", F.map_filter("features", lambda k, _: ~(k.isin(*declared) & F.array_contains(filled, k))))
 
 
 def flatten_features(docs: DataFrame, codes: Sequence[str]) -> DataFrame:

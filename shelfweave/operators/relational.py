@@ -77,52 +77,34 @@ def top_per_group(rows: DataFrame, groups: Sequence[str], order: Sequence[Column
     return rows.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= F.lit(k))
 
 
-def containing_intervals(points: DataFrame, point: str, intervals: DataFrame, low: str, high: str, bits: int = 4, levels: int = 14) -> DataFrame:
+def containing_intervals(points: DataFrame, point: str, intervals: DataFrame, low: str, high: str, bits: int = 8, levels: int = 6) -> DataFrame:
     """All (point row, interval row) pairs with ``low <= point <= high``, as an equi-join.
 
-    The number line is cut into aligned cells of width ``2**(bits*level)``. An interval becomes
-    the few cells that tile it exactly, a point the one cell per level it lies in; a pair meets in
-    exactly one cell. Works for values below ``2**(bits*(levels+1))``.
+    The number line is cut into aligned cells of width ``2**(bits*level)``. An interval becomes the
+    few cells that tile it exactly, a point the one cell per level it lies in; a pair meets in
+    exactly one cell. Values must lie in ``0 .. 2**(bits*(levels+1)) - 1``.
     """
-    step = 1 << bits
     top = 1 << (bits * (levels + 1))
-    guard = F.when(
-        (F.col(low) >= 0) & (F.col(high) < top), F.lit(True)
-    ).otherwise(F.raise_error(F.lit("interval bound out of range")))
-
-    def tiles(level: int) -> Column:
-        # Cells of this level inside the interval that no cell of the next level up covers.
-        width = 1 << (bits * level)
-        wide = width * step
-        lo, hi = F.col(low), F.col(high) + 1
-        first = F.ceil(lo / F.lit(width).cast("decimal(20,0)")).cast("bigint")
-        last = F.floor(hi / F.lit(width).cast("decimal(20,0)")).cast("bigint") - 1
-        if level == levels:
-            return _cells(level, first, last)
-        upper_first = F.ceil(lo / F.lit(wide).cast("decimal(20,0)")).cast("bigint") * step
-        upper_last = F.floor(hi / F.lit(wide).cast("decimal(20,0)")).cast("bigint") * step - 1
-        covered = upper_first <= upper_last
-        return F.when(
-            covered, F.concat(_cells(level, first, upper_first - 1), _cells(level, upper_last + 1, last))
-        ).otherwise(_cells(level, first, last))
-
-    def _cells(level: int, first: Column, last: Column) -> Column:
-        cell = F.sequence(first, last)
-        none = F.array().cast("array<struct<level:int,cell:bigint>>")
-        return F.when(
-            first <= last, F.transform(cell, lambda c: F.struct(F.lit(level).alias("level"), c.alias("cell")))
-        ).otherwise(none)
-
-    tiled = intervals.filter(guard).select(
-        *intervals.columns, F.explode(F.concat(*[tiles(level) for level in range(levels + 1)])).alias("_tile")
-    ).select(*intervals.columns, F.col("_tile.level").alias("_level"), F.col("_tile.cell").alias("_cell"))
-    placed = points.select(
-        "*",
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(level).alias("level"), F.shiftright(F.col(point).cast("bigint"), bits * level).alias("cell"))
-                for level in range(levels + 1)
-            ])
-        ).alias("_spot"),
-    ).select(*points.columns, F.col("_spot.level").alias("_level"), F.col("_spot.cell").alias("_cell"))
-    return placed.join(tiled, ["_level", "_cell"]).drop("_level", "_cell")
+
+    def cells(first: str, end: str) -> str:
+        return f"filter(sequence({first}, {end}), x -> x < {end})"
+
+    def edge(value: str, level: str) -> str:
+        # First cell of a level that starts at or after the value.
+        return f"shiftright({value} + shiftleft(1L, {bits} * ({level})) - 1, {bits} * ({level}))"
+
+    first, end = edge(low, "l"), f"shiftright({high} + 1, {bits} * l)"
+    inner_first = f"shiftleft({edge(low, 'l + 1')}, {bits})"
+    inner_end = f"shiftleft(shiftright({high} + 1, {bits} * (l + 1)), {bits})"
+    # A level gives only what the next coarser one cannot cover.
+    tiles = (
+        f"flatten(transform(sequence(0, {levels}), l -> transform("
+        f"CASE WHEN l < {levels} AND {inner_first} < {inner_end} "
+        f"THEN concat({cells(first, inner_first)}, {cells(inner_end, end)}) ELSE {cells(first, end)} END, "
+        f"c -> struct(l AS level, c AS cell))))"
+    )
+    checked = f"CASE WHEN {low} >= 0 AND {high} < {top} THEN {tiles} ELSE raise_error('interval bound out of range') END"
+    spots = f"transform(sequence(0, {levels}), l -> struct(l AS level, shiftright({point}, {bits} * l) AS cell))"
+    tiled = intervals.select("*", F.explode(F.expr(checked)).alias("_cell"))
+    placed = points.select("*", F.explode(F.expr(spots)).alias("_cell"))
+    return placed.join(tiled, "_cell").drop("_cell")

@@ -25,9 +25,13 @@ class Catalog:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table; its files are listed once per catalogue."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     def _ordered_values(self, frame: DataFrame, column: str, ordinal: str) -> DataFrame:
         """Distinct values of a configuration column with their ordinal; reduces in every task first."""
