@@ -31,9 +31,9 @@ def ancestors(category: DataFrame, hidden: Sequence[int] = (), active_only: bool
 
 def category_paths(
     category: DataFrame, category_lang: DataFrame, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES,
-    active_only: bool = True, separator: str = fv.PATH_SEPARATOR,
+    active_only: bool = True, separator: str = fv.PATH_SEPARATOR, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Names from the top to each category, per language; '' where nothing is left to name."""
+    """Names from the top to each category, per language; '' where nothing is left to name. ``keep`` names further text columns."""
     names = category_lang.select(F.col("id_category").alias("id_ancestor"), "id_lang", "name")
     named = ancestors(category, hidden, active_only).join(names, "id_ancestor")
     grouped = named.groupBy("id_category", "id_lang").agg(
@@ -42,7 +42,7 @@ def category_paths(
     paths = grouped.select(
         "id_category", "id_lang", F.array_join(F.transform("_steps", lambda s: s["name"]), separator).alias("path")
     )
-    return category_lang.select("id_category", "id_lang").join(paths, ["id_category", "id_lang"], "left").withColumn(
+    return category_lang.select("id_category", "id_lang", *keep).join(paths, ["id_category", "id_lang"], "left").withColumn(
         "path", F.coalesce("path", F.lit(""))
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfweave.functions.scalars import slugify
 from shelfweave.operators.registry import Entity
-from shelfweave.operators.relational import first_per_key, lookup_map, numbered
+from shelfweave.operators.relational import first_per_key, literal_rows, lookup_map, numbered
 
 META_KEY = ["code", "meta_type"]
 SETTINGS = [
@@ -46,7 +46,7 @@ def attribute_groups(groups: DataFrame, attributes: DataFrame) -> DataFrame:
 def property_definitions(spark: SparkSession, entity: Entity) -> DataFrame:
     """Declared fields of an entity as rows in declaration order."""
     rows = [(i, a.name, a.type, list(a.allowed_types) if a.allowed_types else None, a.visible) for i, a in enumerate(entity.attributes)]
-    return spark.createDataFrame(rows, "ord int, code string, type string, elastic_types array<string>, visible boolean")
+    return literal_rows(spark, rows, "ord int, code string, type string, elastic_types array<string>, visible boolean")
 
 
 def effective_type(stored: Column, declared: Column, allowed: Column) -> Column:
@@ -109,7 +109,7 @@ def searchable_fields(metas: DataFrame, with_weights: bool = True, required: Seq
     """Searchable text fields as ``alias^weight``, plus required ones that are not among them."""
     chosen = metas.filter(F.col("searchable") & (F.col("elastic_type") == "text")).select("alias", "weight")
     spark = metas.sparkSession
-    missing = spark.createDataFrame([(r,) for r in required], "alias string").join(chosen, "alias", "left_anti")
+    missing = literal_rows(spark, [(r,) for r in required], "alias string").join(chosen, "alias", "left_anti")
     weight = F.col("weight")
     shown = F.when(weight == F.floor(weight), F.floor(weight).cast("string")).otherwise(weight.cast("string"))
     named = F.concat_ws("^", "alias", shown) if with_weights else F.col("alias")

@@ -41,24 +41,19 @@ class ProductTables(Protocol):
 # --- side frames, each one row per product -------------------------------------------------------
 
 def category_facts(category: DataFrame, category_lang: DataFrame, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES) -> DataFrame:
-    """One row per category and language with what a product document shows of it."""
-    paths = C.category_paths(category, category_lang, hidden, active_only=False)
-    texts = category_lang.select("id_category", "id_lang", "name", F.col("link_rewrite").alias("slug")).join(paths, ["id_category", "id_lang"])
+    """One row per category with its name, slug and path in every language."""
+    named = C.category_paths(category, category_lang, hidden, active_only=False, keep=("name", "link_rewrite"))
+    texts = named.groupBy("id_category").agg(
+        F.array_sort(F.collect_list(F.struct("id_lang", "name", F.col("link_rewrite").alias("slug"), "path"))).alias("texts")
+    )
     return category.select("id_category", "active", "level_depth", "id_parent").join(texts, "id_category", "left")
 
 
 def categories(category_product: DataFrame, facts: DataFrame) -> DataFrame:
-    """Per product its category ids, and per language its categories in id order.
-
-    One shuffle on the product id serves both groupings.
-    """
-    rows = category_product.select("id_product", "id_category").join(facts, "id_category").repartition("id_product")
-    per_lang = rows.groupBy("id_product", "id_lang").agg(
-        F.array_sort(F.collect_list(F.struct("id_category", "active", "level_depth", "id_parent", "name", "slug", "path"))).alias("cats")
-    )
-    ids = F.flatten(F.transform("by_lang", lambda l: F.transform(l["cats"], lambda c: c["id_category"])))
-    return per_lang.groupBy("id_product").agg(F.collect_list(F.struct("id_lang", "cats")).alias("by_lang")).select(
-        "id_product", F.array_sort(F.array_distinct(ids)).alias("category_ids"), "by_lang"
+    """Categories of each product in id order, with the texts of all languages."""
+    rows = category_product.select("id_product", "id_category").join(facts, "id_category")
+    return rows.groupBy("id_product").agg(
+        F.array_sort(F.collect_list(F.struct("id_category", "active", "level_depth", "id_parent", "texts"))).alias("cats")
     )
 
 
@@ -166,9 +161,14 @@ def stock_struct() -> Column:
     )
 
 
-def in_language(by_lang: Column, id_lang: Column, member: str) -> Column:
-    """The list of one language out of a per-language array; NULL where it has none."""
-    return F.get(F.filter(by_lang, lambda l: l["id_lang"] == id_lang), F.lit(0))[member]
+def in_language(cats: Column, id_lang: Column) -> Column:
+    """Categories with their texts in one language."""
+
+    def one(c: Column) -> Column:
+        text = F.get(F.filter(c["texts"], lambda t: t["id_lang"] == id_lang), F.lit(0))
+        return F.struct(*[c[n].alias(n) for n in ("id_category", "active", "level_depth", "id_parent")], text.alias("text"))
+
+    return F.transform(cats, one)
 
 
 def category_structs(cats: Column) -> Column:
@@ -176,15 +176,15 @@ def category_structs(cats: Column) -> Column:
     return F.transform(
         F.filter(cats, lambda c: c["active"]),
         lambda c: F.struct(
-            c["id_category"].alias("category_id"), c["name"].alias("name"), c["level_depth"].alias("level_depth"),
-            c["slug"].alias("slug"), c["id_parent"].alias("id_parent"),
+            c["id_category"].alias("category_id"), c["text"]["name"].alias("name"), c["level_depth"].alias("level_depth"),
+            c["text"]["slug"].alias("slug"), c["id_parent"].alias("id_parent"),
         ),
     )
 
 
 def category_path_list(cats: Column) -> Column:
     """Non-empty paths of all categories, active or not."""
-    return F.filter(F.transform(cats, lambda c: c["path"]), lambda p: (p != "") & (p != "0"))
+    return F.filter(F.transform(cats, lambda c: c["text"]["path"]), lambda p: (p != "") & (p != "0"))
 
 
 def leaf_names(paths: Column) -> Column:
@@ -313,18 +313,19 @@ def _or_empty(frame: DataFrame, *columns: str) -> DataFrame:
 
 def localized(product_lang: DataFrame, cats: DataFrame, features: DataFrame) -> DataFrame:
     """The translation rows of products with all that depends on the language, worked out before shops multiply them."""
-    rows = product_lang.join(cats.select("id_product", "by_lang"), "id_product", "left").join(features, "id_product", "left")
+    rows = product_lang.join(cats, "id_product", "left").join(features, "id_product", "left")
     picked = rows.withColumns({
-        "_cats": in_language(F.col("by_lang"), F.col("id_lang"), "cats"),
+        "_cats": in_language(F.col("cats"), F.col("id_lang")),
         "_features": features_in(F.col("features_all"), F.col("id_lang")),
     })
     full = _or_empty(picked, "_cats", "_features")
     return full.withColumns({
+        "category_ids": F.transform("_cats", lambda c: c["id_category"]),
         "category": category_structs(F.col("_cats")),
         "categories_without_path": leaf_names(category_path_list(F.col("_cats"))),
         "specs": spec_map(F.col("_features")),
         "features": feature_map(F.col("_features")),
-    }).drop("by_lang", "features_all", "_cats", "_features")
+    }).drop("cats", "features_all", "_cats", "_features")
 
 
 def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES) -> DataFrame:
@@ -347,10 +348,9 @@ def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[i
         views(cut(t.page, "id_object"), t.page_viewed),
         sales(cut(t.order_detail, "product_id")),
         media(cut(t.image)),
-        cats.select("id_product", "category_ids"),
     ):
         per_product = per_product.join(side, "id_product", "left")
-    per_product = _or_empty(per_product, "gallery", "category_ids")
+    per_product = _or_empty(per_product, "gallery")
     texts = localized(cut(t.product_lang), cats, feature_lists(cut(t.feature_product)))
     # Price, active flag and change date are those of the shop row.
     shop = cut(t.product_shop).select("id_product", "id_shop", "active", F.col("price").alias("base_price"), "date_upd")

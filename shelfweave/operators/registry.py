@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfweave.functions import fixed_values as fv
 from shelfweave.functions.scalars import code_of
+from shelfweave.operators.relational import literal_rows
 
 
 @dataclass(frozen=True)
@@ -128,7 +129,7 @@ def schema_catalog(spark: SparkSession, entities: Mapping[str, Entity], features
     Feature names of the data become keyword fields of the product unless a declared field has that name.
     """
     schema = "entity string, path string, type string, format string, analyzer string, search_analyzer string"
-    declared = spark.createDataFrame([r for e in entities.values() for r in _schema_rows(e)], schema)
+    declared = literal_rows(spark, [r for e in entities.values() for r in _schema_rows(e)], schema)
     names = features.select(code_of(F.col("name")).alias("path")).distinct()
     taken = declared.filter(F.col("entity") == "product").select("path")
     dynamic = names.join(taken, "path", "left_anti").selectExpr(

@@ -4,8 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of declared rows as a local relation, without Python workers at run time."""
+    struct = T._parse_datatype_string(schema)
+    table = pa.Table.from_pylist([dict(zip(struct.fieldNames(), r)) for r in rows], schema=to_arrow_schema(struct))
+    return spark.createDataFrame(table, schema=struct)
+
+
+def spread_rows(frame: DataFrame) -> DataFrame:
+    """The frame over at least as many partitions as there are cores.
+
+    Only an input with fewer splits than cores is moved, such as a single small file; large inputs
+    have more splits than that and stay where they are.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
 def spread(rows: DataFrame, dimension: DataFrame, max_rows: int = 10_000) -> DataFrame:

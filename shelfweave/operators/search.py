@@ -87,55 +87,41 @@ def allowed_edits(term: Column) -> Column:
     return F.when(n <= 2, F.lit(0)).when(n <= 5, F.lit(1)).otherwise(F.lit(2))
 
 
-def _segment(length: Column, edits: int, index: int) -> tuple[Column, Column]:
-    # Start (from 1) and size of segment ``index`` when a text is cut into edits+1 near-equal pieces.
-    pieces = edits + 1
-    short = F.floor(length / pieces).cast("int")
-    extra = (length % pieces).cast("int")
-    longer_before = F.greatest(F.lit(0), F.lit(index) - (F.lit(pieces) - extra))
-    size = short + F.when(F.lit(index) >= F.lit(pieces) - extra, 1).otherwise(0)
-    return F.lit(index) * short + longer_before + 1, size
+def _piece(length: str) -> tuple[str, str]:
+    # Start (from 1) and size of piece ``i`` of a text of the given length cut into e+1 near-equal pieces.
+    short, plain = f"({length}) DIV (e + 1)", f"(e + 1 - ({length}) % (e + 1))"
+    start = f"CAST(i * ({short}) + greatest(0, i - {plain}) + 1 AS INT)"
+    size = f"CAST({short} + IF(i >= {plain}, 1, 0) AS INT)"
+    return start, size
 
 
 def fuzzy_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_term, term, distance) within the edits the query term allows, exactly.
 
-    A text within k edits keeps at least one of k+1 pieces of the vocabulary term unchanged, moved by
-    at most k places. Pieces are joined by value, position and length, and only those pairs are
-    measured. Terms shorter than k+1 characters have an empty piece and are met by length alone.
+    A text within e edits keeps at least one of e+1 pieces of the vocabulary term unchanged, moved by
+    at most e places. Pieces are joined by value, position and length, and only those pairs are
+    measured. Terms shorter than e+1 characters have an empty piece and are met by length alone.
     """
-    queries = queries.select(F.col("term").alias("query_term")).distinct()
-    vocabulary = vocabulary.select("term").distinct()
-
-    def key(edits, length, index, piece):
-        return F.struct(
-            F.lit(edits).alias("edits"), length.cast("int").alias("len"), F.lit(index).alias("piece_no"), piece.alias("piece")
-        )
-
-    size = F.length("term")
-    stored = []
-    for edits in (0, 1, 2):
-        for index in range(edits + 1):
-            start, width = _segment(size, edits, index)
-            stored.append(key(edits, size, index, F.substring(F.col("term"), start, width)))
-    stored_keys = vocabulary.select("term", F.explode(F.array(*stored)).alias("k"))
-
-    n = F.length("query_term")
-    asked = []
-    for edits in (0, 1, 2):
-        applies = allowed_edits(F.col("query_term")) == edits
-        for drift in range(-edits, edits + 1):
-            other = n + drift
-            for index in range(edits + 1):
-                start, width = _segment(other, edits, index)
-                for shift in range(-edits, edits + 1):
-                    at = start + shift
-                    inside = applies & (other >= 1) & (at >= 1) & (at + width <= n + 1)
-                    asked.append(F.when(inside, key(edits, other, index, F.substring(F.col("query_term"), at, width))))
-    asked_keys = queries.select("query_term", F.explode(F.array_distinct(F.array_compact(F.array(*asked)))).alias("k"))
-    pairs = asked_keys.join(stored_keys, "k").select("query_term", "term").distinct()
-    measured = pairs.withColumn("distance", F.levenshtein("query_term", "term"))
-    return measured.filter(F.col("distance") <= allowed_edits(F.col("query_term")))
+    queries = queries.select(F.col("term").alias("query_term")).distinct().withColumns(
+        {"n": F.length("query_term"), "edits": allowed_edits(F.col("query_term"))}
+    )
+    vocabulary = vocabulary.select("term").distinct().withColumn("n", F.length("term"))
+    start, size = _piece("n")
+    stored = (
+        "flatten(transform(sequence(0, 2), e -> transform(sequence(0, e), i -> "
+        f"struct(e AS e, n AS len, i AS i, substring(term, {start}, {size}) AS piece))))"
+    )
+    start, size = _piece("n + d")
+    asked = (
+        "flatten(transform(array(edits), e -> flatten(transform(sequence(-e, e), d -> flatten(transform(sequence(0, e), i -> "
+        f"transform(filter(sequence(-e, e), s -> n + d >= 1 AND {start} + s >= 1 AND {start} + s + {size} <= n + 1), s -> "
+        f"struct(e AS e, n + d AS len, i AS i, substring(query_term, {start} + s, {size}) AS piece))))))))"
+    )
+    stored_keys = vocabulary.select("term", F.explode(F.expr(stored)).alias("k"))
+    asked_keys = queries.select("query_term", "edits", F.explode(F.expr(asked)).alias("k"))
+    # Measured where they meet, with the bounded form, so that only true matches reach the shuffle of the distinct step.
+    met = asked_keys.join(stored_keys, "k").withColumn("distance", F.levenshtein("query_term", "term", 2))
+    return met.filter((F.col("distance") >= 0) & (F.col("distance") <= F.col("edits"))).select("query_term", "term", "distance").distinct()
 
 
 def suggestions(entries: DataFrame, prefixes: DataFrame, k: int, longest: int = 10) -> DataFrame:

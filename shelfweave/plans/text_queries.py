@@ -19,7 +19,7 @@ _STOP = "[" + ", ".join(f"'{w}'" for w in fv.ENGLISH_STOP_WORDS) + "]"
 
 def per_document(tokens):
     def build(c):
-        return c.raw("documents").select("doc_id", F.array_join(tokens(F.col("text")), "|").alias("tokens"))
+        return c.texts.select("doc_id", F.array_join(tokens(F.col("text")), "|").alias("tokens"))
 
     return build
 
@@ -42,7 +42,7 @@ query("tokens_standard", _sql(f"list_filter({V.words('lower(text)')}, lambda t:
 
 @query("tokens_shingle", f"SELECT doc_id, array_to_string({_shingle_sql('t')}, '|') AS tokens FROM (SELECT doc_id, {V.words('lower(text)')} AS t FROM documents) d")
 def _(c):
-    words = c.raw("documents").select("doc_id", A.word_tokens(F.lower("text")).alias("words"))
+    words = c.texts.select("doc_id", A.word_tokens(F.lower("text")).alias("words"))
     return words.select("doc_id", F.array_join(A.shingles(F.col("words")), "|").alias("tokens"))
 
 
@@ -65,7 +65,7 @@ def _stem_sql(tokens: str) -> str:
 
 
 def _stemmed(c, fold: bool = False):
-    return R.stemmed(c.raw("documents"), "doc_id", "text", c.stem_dict, c.stop_word, on=("lang",), fold=fold)
+    return R.stemmed(c.texts, "doc_id", "text", c.stem_dict, c.stop_word, on=("lang",), fold=fold)
 
 
 @query("tokens_stem_stop", _stem_sql("t"))
@@ -101,7 +101,7 @@ def _text_fields():
 @query("term_postings", f"""SELECT p.field, p.term, doc_id, tf, df FROM (SELECT field, term, doc_id, count(*) AS tf FROM ({_FIELDS_SQL}) t GROUP BY 1, 2, 3) p
     JOIN (SELECT field, term, count(DISTINCT doc_id) AS df FROM ({_FIELDS_SQL}) t GROUP BY 1, 2) d ON d.field = p.field AND d.term = p.term""")
 def _(c):
-    return R.term_postings(c.raw("documents"), "doc_id", _text_fields())
+    return R.term_postings(c.texts, "doc_id", _text_fields())
 
 
 def _searched(c):
@@ -115,7 +115,7 @@ _SEARCHED_SQL = f"""SELECT 'name' AS field, l.id_product * 10 + l.id_lang AS doc
     UNION ALL SELECT 'description', l.id_product * 10 + l.id_lang, unnest({V.words('lower(l.description)')}) FROM product_lang l
     UNION ALL SELECT 'brand', l.id_product * 10 + l.id_lang, unnest({V.words("lower(concat(m.name, ' ', p.reference))")}) FROM product_lang l
         JOIN product p ON p.id_product = l.id_product LEFT JOIN manufacturer m ON m.id_manufacturer = p.id_manufacturer"""
-_ASKED_SQL = f"SELECT DISTINCT qid AS id_query, unnest({V.words('lower(q)')}) AS term FROM (SELECT DISTINCT concat(p_name, ' ', lower(p_brand)) AS q, concat(p_name, ' ', lower(p_brand)) AS qid FROM part WHERE p_size = 7) x"
+_ASKED_SQL = f"SELECT DISTINCT p_name AS id_query, unnest({V.words('lower(p_name)')}) AS term FROM part"
 
 
 @query("multi_match", f"""SELECT id_query, doc, score, rank FROM (
@@ -127,9 +127,8 @@ _ASKED_SQL = f"SELECT DISTINCT qid AS id_query, unnest({V.words('lower(q)')}) AS
             JOIN (SELECT 'name' AS field, 3 AS weight UNION ALL SELECT 'description', 1 UNION ALL SELECT 'brand', 2) w ON w.field = h.field
             CROSS JOIN (SELECT count(*) AS n FROM product_lang) n GROUP BY 1, 2, 3) s GROUP BY 1, 2) b) r WHERE rank <= 20""")
 def _(c):
-    """The 20 best product texts for each query; the queries are product names with a brand."""
-    text = F.concat_ws(" ", "p_name", F.lower("p_brand"))
-    asked = c.raw("part").filter("p_size = 7").select(text.alias("id_query")).distinct()
+    """The 20 best product texts for each query; the queries are the distinct product names."""
+    asked = c.raw("part").select(F.col("p_name").alias("id_query")).distinct()
     queries = asked.select("id_query", F.explode(A.word_tokens(F.lower("id_query"))).alias("term"))
     fields = {name: A.word_tokens(F.lower(name)) for name in ("name", "description", "brand")}
     return R.multi_match(_searched(c), "doc", fields, queries, {"name": 3, "description": 1, "brand": 2}, k=20)
@@ -144,8 +143,11 @@ _ASKED_TERMS_SQL = f"SELECT DISTINCT unnest({V.words(V.fold('lower(text)'))}) AS
     WHERE levenshtein(q.term, v.term) <= CASE WHEN length(q.term) <= 2 THEN 0 WHEN length(q.term) <= 5 THEN 1 ELSE 2 END""")
 def _(c):
     """Accent-folded terms of the benchmark texts against those of all documents."""
-    terms = lambda t: c.raw(t).select(F.explode(F.array_distinct(A.word_tokens(fold_accents(F.lower("text"))))).alias("term"))
-    return R.fuzzy_terms(terms("documents"), terms("benchmark"))
+
+    def terms(frame):
+        return frame.select(F.explode(F.array_distinct(A.word_tokens(fold_accents(F.lower("text"))))).alias("term"))
+
+    return R.fuzzy_terms(terms(c.texts), terms(c.raw("benchmark")))
 
 
 @query("autocomplete_topk", f"""SELECT prefix, entry, weight, rank FROM (SELECT p.prefix, v.term AS entry, v.n AS weight, CAST(row_number() OVER (PARTITION BY p.prefix ORDER BY v.n DESC, v.term) AS INT) AS rank
@@ -239,9 +241,9 @@ def _(c):
     """A category page with its sub-categories, and one without."""
     cats = P.categories(c.category_product, P.category_facts(c.category, c.category_lang))
     docs = c.product_lang.filter("id_lang = 2").select("id_product", "id_lang").join(cats, "id_product")
-    docs = docs.withColumn("cats", P.in_language(F.col("by_lang"), F.col("id_lang"), "cats"))
+    docs = docs.withColumn("cats", P.in_language(F.col("cats"), F.col("id_lang")))
     below = X.fixed_filter(docs, "category", "europe-en", paths=P.category_path_list(F.col("cats")))
-    exact = X.fixed_filter(docs, "category", "nation-3-3-en", subcategories=False, names=F.transform("cats", lambda x: x["name"]))
+    exact = X.fixed_filter(docs, "category", "nation-3-3-en", subcategories=False, names=F.transform("cats", lambda x: x["text"]["name"]))
     return below.select("id_product", F.lit("below").alias("mode")).unionByName(exact.select("id_product", F.lit("exact").alias("mode")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfweave.functions import scalars as S
 from shelfweave.functions.analyzers import word_tokens
-from shelfweave.operators.relational import spread
+from shelfweave.operators.relational import literal_rows, spread, spread_rows
 
 # Nested-set layout: 16 leaf groups per nation, 32 nation slots per region.
 NATION_SPAN = 64
@@ -33,6 +33,11 @@ class Catalog:
             self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
+    @cached_property
+    def texts(self) -> DataFrame:
+        """The documents, spread over the cores when they come in fewer splits."""
+        return spread_rows(self.raw("documents"))
+
     def _ordered_values(self, frame: DataFrame, column: str, ordinal: str) -> DataFrame:
         """Distinct values of a configuration column with their ordinal; reduces in every task first."""
         packed = frame.agg(F.array_sort(F.collect_set(column)).alias("v"))
@@ -58,8 +63,8 @@ class Catalog:
     def category(self) -> DataFrame:
         whole = 8 * REGION_SPAN
         region, nation, supplier = self.raw("region"), self.raw("nation"), self.raw("supplier")
-        top = self.spark.createDataFrame(
-            [(1, 0, 0, 1, whole + 10, True, "Root"), (2, 1, 1, 2, whole + 9, True, "Home")],
+        top = literal_rows(
+            self.spark, [(1, 0, 0, 1, whole + 10, True, "Root"), (2, 1, 1, 2, whole + 9, True, "Home")],
             "id_category long, id_parent long, level_depth int, nleft long, nright long, active boolean, base_name string",
         )
         regions = region.selectExpr(
@@ -133,7 +138,7 @@ class Catalog:
     @cached_property
     def product_lang(self) -> DataFrame:
         return spread(
-            self.raw("part").select("p_partkey", "p_name", "p_size"), self.lang.select("id_lang", "iso_code")
+            spread_rows(self.raw("part").select("p_partkey", "p_name", "p_size")), self.lang.select("id_lang", "iso_code")
         ).filter("(p_partkey + id_lang) % 5 <> 0").selectExpr(
             "p_partkey AS id_product", "id_lang", "concat(p_name, ' ', iso_code) AS name",
             "concat('Long text for ', p_name, ' in ', iso_code) AS description", "p_name AS description_short",
@@ -183,7 +188,7 @@ class Catalog:
     @cached_property
     def attribute_group(self) -> DataFrame:
         names = [(1, "Order Priority"), (2, "Market Segment"), (3, "Part Type"), (4, "Empty Group")]
-        return self.spark.createDataFrame(names, "id_attribute_group int, name string")
+        return literal_rows(self.spark, names, "id_attribute_group int, name string")
 
     @cached_property
     def attribute(self) -> DataFrame:
@@ -369,20 +374,20 @@ class Catalog:
 
     @cached_property
     def doc_token(self) -> DataFrame:
-        return self.raw("documents").select("doc_id", "lang", F.explode(word_tokens(F.lower("text"))).alias("token"))
+        return self.texts.select("doc_id", "lang", F.explode(word_tokens(F.lower("text"))).alias("token"))
 
     @cached_property
     def stop_word(self) -> DataFrame:
         """Tokens that at least 3 in 10 documents of a language use; their number is bounded by text length, not corpus size."""
         sizes = self.raw("documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
-        uses = self.raw("documents").select("lang", F.explode(F.array_distinct(word_tokens(F.lower("text")))).alias("token")) \
+        uses = self.texts.select("lang", F.explode(F.array_distinct(word_tokens(F.lower("text")))).alias("token")) \
             .groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
         return uses.join(sizes, "lang").filter("n * 10 >= n_docs * 3").select("lang", "token")
 
     @cached_property
     def stem_dict(self) -> DataFrame:
         """Inflected form -> stem, derived from the vocabulary."""
-        words = self.raw("documents").select(F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("form")) \
+        words = self.texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("form")) \
             .filter("length(form) > 4 AND (form LIKE '%ing' OR form LIKE '%s' OR form LIKE '%en')").distinct()
         return words.selectExpr(
             "form", "CASE WHEN form LIKE '%ing' THEN substring(form, 1, length(form) - 3) WHEN form LIKE '%en' THEN substring(form, 1, length(form) - 2) "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfweave.operators import sync as Y
 from shelfweave.operators.product import product_documents
-from shelfweave.operators.relational import first_per_key
+from shelfweave.operators.relational import first_per_key, literal_rows
 from shelfweave.operators.rows import entity_rows
 from shelfweave.session import checkpoint_root
 from shelfweave.sources.store import Store, judged
@@ -35,7 +35,7 @@ def product_entity_rows(tables) -> DataFrame:
 
 def _status(store: Store, before: int | None = None) -> DataFrame:
     known = store.read("status", before)
-    return store.spark.createDataFrame([], STATUS_SCHEMA) if known is None else known
+    return literal_rows(store.spark, [], STATUS_SCHEMA) if known is None else known
 
 
 def _tombstones(status: DataFrame, deleted: DataFrame) -> DataFrame:
