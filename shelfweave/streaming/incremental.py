@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,5 +103,7 @@ def run_incremental(spark: SparkSession, tables_of: Callable[[SparkSession], obj
         # Stream batches start at 0, snapshots at 1.
         index_batch(tables_of(spark), store, version, batch_id + 1, changes=latest_changes(batch))
 
-    place = checkpoint or f"{checkpoint_root(spark, out_dir)}/_stream_{version}"
+    # The shared folder serves many streams: the name stands for this source and target.
+    name = hashlib.sha256(f"{source_dir}|{out_dir}|{version}".encode()).hexdigest()[:16]
+    place = checkpoint or f"{checkpoint_root(spark, out_dir)}/stream-{name}"
     return reader.parquet(source_dir).writeStream.foreachBatch(handle).option("checkpointLocation", place).trigger(availableNow=True).start()
