@@ -44,7 +44,7 @@ def php_int(c: Column) -> Column:
     """Leading number of a text as a whole number, 0 where there is none."""
     number = F.regexp_extract(c, r"^\s*([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)", 1)
     plain = F.regexp_extract(number, r"^[+-]?\d+$", 0)
-    whole = F.coalesce(plain.try_cast("bigint"), number.try_cast("double").try_cast("bigint"))
+    whole = F.when(plain != "", plain.try_cast("bigint")).when(number != "", number.try_cast("double").try_cast("bigint"))
     return F.coalesce(whole, F.lit(0).cast("bigint"))
 
 
@@ -69,12 +69,13 @@ def cover_link(id_image: Column, slug: Column, size: str) -> Column:
 
 def parse_date(c: Column) -> Column:
     """Timestamp of a text in any of the three accepted date formats, else NULL."""
-    millis = F.timestamp_millis(F.regexp_extract(c, r"^-?\d{5,}$", 0).try_cast("bigint"))
+    millis = F.nullif(F.regexp_extract(c, r"^-?\d{5,}$", 0), F.lit("")).try_cast("bigint")
+    since_epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=millis.cast("decimal(18,3)") / 1000)
     return F.coalesce(
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd")),
-        millis,
-    ).cast("timestamp_ntz")
+        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
+        F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("timestamp_ntz"),
+        since_epoch,
+    )
 
 
 def stop_word_set(iso: Column) -> Column:

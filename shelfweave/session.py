@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Lists per key are gathered by hash up to this many keys per task, by sorting beyond.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
 }

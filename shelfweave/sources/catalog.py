@@ -364,7 +364,7 @@ class Catalog:
         return self.raw("orders").selectExpr(
             "o_orderkey AS id",
             "CASE o_orderkey % 4 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd') "
-            "WHEN 2 THEN CAST(unix_millis(CAST(o_orderdate AS TIMESTAMP)) AS STRING) ELSE concat('on ', date_format(o_orderdate, 'yyyy-MM-dd')) END AS text",
+            "WHEN 2 THEN CAST((datediff(o_orderdate, DATE '1970-01-01') * 86400L + hour(o_orderdate) * 3600 + minute(o_orderdate) * 60 + second(o_orderdate)) * 1000 AS STRING) ELSE concat('on ', date_format(o_orderdate, 'yyyy-MM-dd')) END AS text",
         )
 
     @cached_property

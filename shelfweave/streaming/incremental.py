@@ -83,7 +83,7 @@ def index_remaining(tables, store: Store, version: int, chunk: int = 0, rounds:
     """
     done = 0
     while rounds is None or done < rounds:
-        todo = Y.objects_to_index(product_entity_rows(tables), _status(store), "product", limit=1)
+        todo = Y.objects_to_index(product_entity_rows(tables), _status(store), "product")
         if todo.isEmpty():
             break
         batch = (store.snapshots("status") or [0])[-1] + 1
