@@ -49,9 +49,20 @@ def category_facts(category: DataFrame, category_lang: DataFrame, hidden: Sequen
     return category.select("id_category", "active", "level_depth", "id_parent").join(texts, "id_category", "left")
 
 
-def categories(category_product: DataFrame, facts: DataFrame) -> DataFrame:
-    """Categories of each product in id order, with the texts of all languages."""
-    rows = category_product.select("id_product", "id_category").join(facts, "id_category")
+def categories(
+    category_product: DataFrame, category: DataFrame, category_lang: DataFrame, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES, broadcast_rows: int = 10_000
+) -> DataFrame:
+    """Categories of each product in id order, with the texts of all languages.
+
+    The tree is counted first. Up to ``broadcast_rows`` categories are sent to the tasks, after the id
+    pairs alone went to their product: the texts then cross no shuffle. A larger tree is joined by shuffle.
+    """
+    facts = category_facts(category, category_lang, hidden)
+    pairs = category_product.select("id_product", "id_category")
+    if category.select("id_category").limit(broadcast_rows + 1).count() <= broadcast_rows:
+        rows = pairs.repartition("id_product").join(F.broadcast(facts), "id_category")
+    else:
+        rows = pairs.join(facts, "id_category")
     return rows.groupBy("id_product").agg(
         F.array_sort(F.collect_list(F.struct("id_category", "active", "level_depth", "id_parent", "texts"))).alias("cats")
     )
@@ -339,7 +350,7 @@ def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[i
     def cut(frame: DataFrame, column: str = "id_product") -> DataFrame:
         return frame if only is None else frame.join(only, frame[column] == only["_only"], "left_semi")
 
-    cats = categories(cut(t.category_product), category_facts(t.category, t.category_lang, hidden))
+    cats = categories(cut(t.category_product), t.category, t.category_lang, hidden)
     per_product = brand(cut(t.product), t.manufacturer, t.supplier_name)
     per_product = per_product.join(tax_rates(t.tax_rule), "id_tax_rules_group", "left")
     for side in (

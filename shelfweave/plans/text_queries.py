@@ -239,7 +239,7 @@ def _(c):
         UNION ALL SELECT c.id_product, 'exact' FROM cat_text c WHERE c.id_lang = 2 AND {V.slug('c.name')} = 'nation-3-3-en') t JOIN product_lang l ON l.id_product = t.id_product AND l.id_lang = 2""")
 def _(c):
     """A category page with its sub-categories, and one without."""
-    cats = P.categories(c.category_product, P.category_facts(c.category, c.category_lang))
+    cats = P.categories(c.category_product, c.category, c.category_lang)
     docs = c.product_lang.filter("id_lang = 2").select("id_product", "id_lang").join(cats, "id_product")
     docs = docs.withColumn("cats", P.in_language(F.col("cats"), F.col("id_lang")))
     below = X.fixed_filter(docs, "category", "europe-en", paths=P.category_path_list(F.col("cats")))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE decides broadcasts, coalescing and skew splits from measured sizes, so no
-# operator here carries a broadcast hint.
+# AQE decides broadcasts, coalescing and skew splits from measured sizes.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

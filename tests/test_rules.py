@@ -201,6 +201,16 @@ def test_leaf_names_drop_blanks_and_zero(spark):
     assert rows.select(P.leaf_names(F.col("p")).alias("y")).first().y == ["B", "E"]
 
 
+def test_small_and_large_trees_agree(spark, sf_dir):
+    from shelfweave.sources.catalog import Catalog
+
+    c = Catalog(spark, sf_dir)
+    ways = [P.categories(c.category_product, c.category, c.category_lang, broadcast_rows=n) for n in (10_000, 5)]
+    sent, joined = (w._jdf.queryExecution().executedPlan().toString() for w in ways)
+    assert "BroadcastHashJoin" in sent and sent != joined
+    assert ways[0].exceptAll(ways[1]).isEmpty() and ways[0].count() == ways[1].count() > 0
+
+
 def test_custom_entity(spark):
     mine = register_entity(Entity("gift", (Attribute("title", "text", lambda: F.upper("name")), Attribute("kind", "keyword", const="g"), Attribute("name", "text"))))
     try:
