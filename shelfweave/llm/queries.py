@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .mixing import mixture
+from .packing import packed
 from .minhash import near_duplicates
 from .quality import quality_scores
 from .scratch import Scratch
@@ -13,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(_table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), Scratch(spark, "op4"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), Scratch(spark, "op6"))
 
@@ -22,5 +33,5 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
-QUERIES = {"op6_quality": op6_quality, "op7_minhash": op7_minhash}
+QUERIES = {"op3_mixing": op3_mixing, "op4_packing": op4_packing, "op6_quality": op6_quality, "op7_minhash": op7_minhash}
 ORACLE: dict[str, str] = {}
