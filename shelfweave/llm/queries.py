@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .mixing import mixture
 from .packing import packed
 from .minhash import near_duplicates
+from .passages import repeated_passages
 from .quality import quality_scores
 from .scratch import Scratch
 
@@ -33,5 +34,9 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op4_packing": op4_packing, "op6_quality": op6_quality, "op7_minhash": op7_minhash}
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
+
+
+QUERIES = {"op3_mixing": op3_mixing, "op4_packing": op4_packing, "op6_quality": op6_quality, "op7_minhash": op7_minhash, "op10_passages": op10_passages}
 ORACLE: dict[str, str] = {}
