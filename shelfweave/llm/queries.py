@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .mixing import mixture
 from .packing import packed
+from .embeddings import near_vectors
+from .fingerprints import fingerprints
+from .languages import languages
 from .minhash import near_duplicates
 from .passages import repeated_passages
 from .quality import quality_scores
@@ -17,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
 
@@ -25,6 +32,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), Scratch(spark, "op4"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op5"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), Scratch(spark, "op6"))
 
@@ -34,9 +45,16 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+
+
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op4_packing": op4_packing, "op6_quality": op6_quality, "op7_minhash": op7_minhash, "op10_passages": op10_passages}
+QUERIES = {
+    "op2_fingerprints": op2_fingerprints, "op3_mixing": op3_mixing, "op4_packing": op4_packing, "op5_embeddings": op5_embeddings, "op6_quality": op6_quality,
+    "op7_minhash": op7_minhash, "op9_language": op9_language, "op10_passages": op10_passages,
+}
 ORACLE: dict[str, str] = {}
