@@ -105,23 +105,32 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _chain_rows(frame):
-    import pandas as pd
-
-    frame = frame.sort_values(["other", "place", "at"])
-    other, x, y = (frame[c].to_numpy() for c in ("other", "place", "at"))
-    rows = []
-    for lo, hi in _runs(other):
-        if hi - lo > 1:
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chains of each pair of documents; rows arrive by (doc_id, other, place), and a pair that may go on in the next batch waits for it."""
+
+    def found(b: pa.RecordBatch) -> pa.RecordBatch:
+        doc, other, x, y = (b[c].to_numpy() for c in ("doc_id", "other", "place", "at"))
+        cut = np.flatnonzero((doc[1:] != doc[:-1]) | (other[1:] != other[:-1])) + 1
+        begin, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(doc)]))
+        rows = []
+        for lo, hi in zip(begin[end - begin > 1], end[end - begin > 1]):
             keep = lo + np.flatnonzero(np.append(True, x[lo + 1 : hi] != x[lo : hi - 1]))
-            rows += [(frame["doc_id"].iloc[0], other[lo], x[keep][c], y[keep][c]) for c in chains(x[keep], y[keep])]
-    return pd.DataFrame(rows, columns=["doc_id", "other", "x", "y"])
+            rows += [(doc[lo], other[lo], x[keep][c], y[keep][c]) for c in chains(x[keep], y[keep])]
+        types = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["doc_id", "other", "x", "y"])
 
-
-def _runs(x: np.ndarray) -> list[tuple[int, int]]:
-    cut = np.flatnonzero(x[1:] != x[:-1]) + 1
-    at = [0, *cut.tolist(), len(x)]
-    return list(zip(at[:-1], at[1:])) if len(x) else []
+    rest = None
+    for b in batches:
+        b = pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0] if rest is not None and rest.num_rows else b
+        if not b.num_rows:
+            continue
+        doc, other = b["doc_id"].to_numpy(), b["other"].to_numpy()
+        end = int(np.flatnonzero((doc == doc[-1]) & (other == other[-1]))[0])
+        if end:
+            yield found(b.slice(0, end))
+        rest = b.slice(end)
+    if rest is not None and rest.num_rows:
+        yield found(rest)
 
 
 def _reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
@@ -242,7 +251,9 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = MIN_
     first = seeded.groupBy("seed").agg(F.min(F.struct("doc_id", "place")).alias("f"), F.max("doc_id").alias("last")).filter("f.doc_id <> last")
     first = scratch.table(first.select("seed", F.col("f.doc_id").alias("other"), F.col("f.place").alias("at")), "first")
     matches = seeded.join(first, "seed").filter("doc_id <> other").select("doc_id", "place", "other", "at")
-    chained = matches.groupBy("doc_id").applyInPandas(_chain_rows, "doc_id long, other long, x array<int>, y array<int>")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the chaining is heavier than its few bytes suggest
+    matches = matches.repartition(tasks, "doc_id", "other").sortWithinPartitions("doc_id", "other", "place", "at")
+    chained = matches.mapInArrow(_chained, "doc_id long, other long, x array<int>, y array<int>")
     chained = scratch.table(chained, "chained")
     ids = scratch.table(chained.select("doc_id").union(chained.select("other")).distinct(), "ids")
     texts = scratch.table(plain.join(ids, "doc_id", "left_semi"), "texts")
