@@ -28,13 +28,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
     A node of any number of edges is handled by reductions and equi-joins only; the number of rounds grows with the logarithm of the size.
     """
     now = scratch.table(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-0")
-    seen, turn = None, 0
-    while True:
+    turn = 0
+    # Done once all edges go from nodes of one edge to nodes that have no smaller neighbour.
+    ends = lambda t: t.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(t.select("v", F.lit(0), F.lit(1)))
+    while ends(now).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or (up > 0 and down > 0)").limit(1).count():
         now = scratch.table(_star(_star(now, True), False), f"{name}-{turn + 1}")
-        sign = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         scratch.drop(f"{name}-{turn}")
         turn += 1
-        if seen is not None and tuple(sign) == seen:
-            break
-        seen = tuple(sign)
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v"), F.col("v")).distinct())
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())

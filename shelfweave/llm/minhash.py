@@ -85,27 +85,28 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its distinct shingles in order and their weights."""
+    """Per document its distinct shingles in order, 32 bits each, and their weights, left out where all are 1."""
     for b in batches:
         for lo, hi, data, at in parts(b["text"], 1 << 19):
             value, row, _ = shingles(words(data, at))
-            value, row, times = counted(value, row)
-            cut = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)), pa.int32())
-            yield pa.RecordBatch.from_arrays([b["doc_id"].slice(lo, hi - lo), pa.ListArray.from_arrays(cut, pa.array(value.view(np.int64))),
-                                              pa.ListArray.from_arrays(cut, pa.array(times, pa.int32()))], names=["doc_id", "value", "weight"])
+            value, row, times = counted(value >> np.uint64(32), row)
+            cut = np.searchsorted(row, np.arange(hi - lo + 1))
+            value, times = value.astype("<u4"), times.astype("<u4")
+            own = [slice(cut[i], cut[i + 1]) for i in range(hi - lo)]
+            yield pa.RecordBatch.from_arrays([b["doc_id"].slice(lo, hi - lo), pa.array([value[x].tobytes() for x in own], pa.binary()),
+                                              pa.array([times[x].tobytes() if (times[x] > 1).any() else b"" for x in own], pa.binary())], names=["doc_id", "value", "weight"])
+
+
+def _set(value: bytes, weight: bytes) -> tuple[np.ndarray, np.ndarray]:
+    v = np.frombuffer(value, "<u4")
+    return v, np.frombuffer(weight, "<u4") if weight else np.ones(len(v), np.uint32)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        cells = []
-        for side in "uv":
-            value, weight = b[f"value_{side}"], b[f"weight_{side}"]
-            at = value.offsets.to_numpy()
-            cells.append((at, value.values.to_numpy().view(np.uint64), weight.values.to_numpy()))
-        sim = np.zeros(b.num_rows)
-        for i in range(b.num_rows):
-            sim[i] = likeness(*(((v[at[i] : at[i + 1]]), w[at[i] : at[i + 1]]) for at, v, w in cells))
-        yield pa.RecordBatch.from_arrays([b["u"], b["v"], pa.array(sim)], names=["u", "v", "likeness"])
+        cells = zip(*(b[c].to_pylist() for c in ("value_u", "weight_u", "value_v", "weight_v")))
+        sim = [likeness(_set(a, x), _set(c, y)) for a, x, c, y in cells]
+        yield pa.RecordBatch.from_arrays([b["u"], b["v"], pa.array(sim, pa.float64())], names=["u", "v", "likeness"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, threshold: float = THRESH
     the class. Documents of equal texts are one document with many ids. Of the others those that share a band are candidates
     (a pair at 0.8 shares none of 25 bands of 5 registers with a chance of 0.00005). Candidates are compared first with the
     smallest id of each bucket; links found so join classes. Then, in the buckets that still hold several classes, pairs of different
-    classes are looked at in blocks and verified unless their registers rule them out. So no bucket's pairs are all listed.
+    classes are compared in blocks, and what leaves a block are links that join classes. So a bucket's pairs are never listed.
 
     A null text counts as empty; empty texts are equal and form one class. Texts of fewer than five words have one shingle. Rows with a null
     id are left out; rows that repeat an id are one document, whose texts all count. Other columns are ignored.
@@ -139,49 +140,64 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, threshold: float = THRESH
     shared = scratch.table(banded.join(scratch.table(least, "least"), ["band", "key"]), "shared")
     stars = scratch.table(shared.filter("doc_id <> least").select(F.col("doc_id").alias("u"), F.col("least").alias("v")).distinct(), "stars")
     members = scratch.table(stars.select(F.col("u").alias("doc_id")).union(stars.select("v")).distinct(), "members")
-    sets = plain.join(members, "doc_id").mapInArrow(_weighted, "doc_id long, value array<long>, weight array<int>")
-    sets = scratch.table(sets.groupBy("doc_id").agg(F.max_by(F.struct("value", "weight"), F.size("value")).alias("s")).select("doc_id", "s.value", "s.weight"), "sets")
-    tried = scratch.table(_verify(stars, sets), "tried")
-    links = scratch.table(tried.filter(F.col("likeness") >= threshold).select("u", "v").union(copies), "links")
+    sets = plain.join(members, "doc_id").mapInArrow(_weighted, "doc_id long, value binary, weight binary")
+    sets = scratch.table(sets.groupBy("doc_id").agg(F.max_by(F.struct("value", "weight"), F.length("value")).alias("s")).select("doc_id", "s.value", "s.weight"), "sets")
+    links = _verify(stars, sets).filter(F.col("likeness") >= threshold).select("u", "v").union(copies)
     found = scratch.table(components(links, scratch, "one"), "found")
-    more = _across(shared, found, single, tried, scratch, threshold)
-    more = scratch.table(_verify(more, sets).filter(F.col("likeness") >= threshold).select("u", "v"), "more")
+    more = scratch.table(_across(shared, found, single, sets, scratch, threshold), "more")
     if more.limit(1).count():
-        found = scratch.table(components(links.union(more), scratch, "two"), "found-all")
+        # Later links join whole classes, so only the classes are nodes of this second, much smaller graph.
+        of = lambda s: found.select(F.col("node").alias(s), F.col("component").alias(f"class_{s}"))
+        between = more.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("class_u", "u").alias("u"), F.coalesce("class_v", "v").alias("v"))
+        wider = components(between, scratch, "two").select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        wider = scratch.table(wider, "wider")
+        grown = found.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
+        alone = wider.join(found.select(F.col("component")).distinct(), "component", "left_anti").select(F.col("component").alias("node"), F.col("wider").alias("component"))
+        found = scratch.table(grown.union(alone), "found-all")
     return (plain.select("doc_id").distinct().join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("class_id")))
 
 
-def _across(shared: DataFrame, found: DataFrame, single: DataFrame, tried: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
-    """Pairs that share a band, lie in different classes, were not tried and may reach the threshold.
+def _across(shared: DataFrame, found: DataFrame, single: DataFrame, sets: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
+    """Links between different classes in the buckets that hold several, at most one less than there are classes in a bucket.
 
-    A bucket of more than ``BLOCK`` rows is cut into blocks, and each pair of blocks is a group of its own.
+    All pairs of a bucket that lie in different classes are looked at where they lie, and verified unless their registers rule them out, the pair
+    met an earlier band, or links found in the bucket have joined their classes. A bucket of more than ``BLOCK`` rows is cut into blocks,
+    and each pair of blocks is a group of its own.
     """
     classed = shared.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "key", "doc_id", F.coalesce("component", "doc_id").alias("class"))
     classed = scratch.table(classed, "classed")
     mixed = classed.groupBy("band", "key").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b")
     mixed = scratch.table(mixed.select("band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = classed.join(mixed, ["band", "key"]).join(single.select("doc_id", "registers"), "doc_id")
+    rows = classed.join(mixed, ["band", "key"]).join(single.select("doc_id", "registers"), "doc_id").join(sets, "doc_id")
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     rows = (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "doc_id", "class", "registers"))
+            .select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "doc_id", "class", "registers", "value", "weight"))
 
-    def pairs(key, frame):
+    def links(key, frame):
         import pandas as pd
 
-        ids, kind, own = frame["doc_id"].to_numpy(), frame["class"].to_numpy(), frame["own"].to_numpy()
+        frame = frame.sort_values("doc_id")
+        ids, own = frame["doc_id"].to_numpy(), frame["own"].to_numpy()
+        root = pd.factorize(frame["class"])[0]
         sign = np.stack([np.frombuffer(x, np.uint8) for x in frame["registers"]])
+        held = [_set(v, w) for v, w in zip(frame["value"], frame["weight"])]
         out = []
         for i in range(len(ids)):
-            j = np.flatnonzero((ids > ids[i]) & (kind != kind[i]) & ((own != own[i]) if key[2] != key[3] else (own == own[i])))
-            if len(j):
-                near = (sign[j] == sign[i]).mean(1) >= threshold - MARGIN
-                out.append(np.stack([ids[j[near]], np.full(near.sum(), ids[i])], 1))
-        got = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"u": got[:, 0], "v": got[:, 1]})
-
-    near = rows.groupBy("band", "key", "x", "y").applyInPandas(pairs, "u long, v long").distinct()
-    return scratch.table(near.join(tried.select("u", "v"), ["u", "v"], "left_anti"), "across")
+            j = i + 1 + np.flatnonzero((own[i + 1 :] != own[i]) if key[2] != key[3] else (own[i + 1 :] == own[i]))
+            j = j[root[j] != root[i]]
+            same = sign[j] == sign[i]
+            near = same.mean(1) >= threshold - MARGIN
+            j, same = j[near], same[near]
+            # The pair is verified in the first band all of whose registers agree.
+            bands = same[:, : BANDS * ROWS].reshape(len(j), BANDS, ROWS).all(2)
+            for k in j[bands.argmax(1) == key[0]]:
+                if root[k] != root[i] and likeness(held[i], held[k]) >= threshold:
+                    out.append((ids[k], ids[i]))
+                    root[root == root[k]] = root[i]
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    return rows.groupBy("band", "key", "x", "y").applyInPandas(links, "u long, v long").distinct()
 
 
 def keep_first(docs: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
