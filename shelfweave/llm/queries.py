@@ -10,16 +10,22 @@ from .packing import packed
 from .embeddings import near_vectors
 from .fingerprints import fingerprints
 from .languages import languages
+from .licences import licences
 from .minhash import near_duplicates
 from .passages import repeated_passages
 from .quality import quality_scores
 from .scratch import Scratch
+from .suffixes import repeated_bytes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(_table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
 
@@ -45,6 +51,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences(_table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(_table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
 
@@ -54,7 +64,7 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_fingerprints": op2_fingerprints, "op3_mixing": op3_mixing, "op4_packing": op4_packing, "op5_embeddings": op5_embeddings, "op6_quality": op6_quality,
-    "op7_minhash": op7_minhash, "op9_language": op9_language, "op10_passages": op10_passages,
+    "op1_suffixes": op1_suffixes, "op2_fingerprints": op2_fingerprints, "op3_mixing": op3_mixing, "op4_packing": op4_packing, "op5_embeddings": op5_embeddings, "op6_quality": op6_quality,
+    "op7_minhash": op7_minhash, "op8_licences": op8_licences, "op9_language": op9_language, "op10_passages": op10_passages,
 }
 ORACLE: dict[str, str] = {}
