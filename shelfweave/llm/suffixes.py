@@ -23,16 +23,17 @@ from .text import mix, parts, powers
 LENGTH = 400
 STARTS = 141
 RUN_BYTES = 1 << 19
+_CODES = [mix(np.arange(256, dtype=np.uint64) + np.uint64(1000 * salt + 1)) for salt in range(3)]
 
 
-def _hashes(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the ``length`` bytes from each byte on, and which of them lie inside one row."""
+def _hashes(data: np.ndarray, at: np.ndarray, length: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the ``length`` bytes from each byte on, and which of them lie inside one row; each ``salt`` gives a hash of its own."""
     n = len(data) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
     up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    np.cumsum(_CODES[salt][data] * up[:-1], out=total[1:])
     value = mix((total[length:] - total[:-length]) * down[:n])
     row = np.repeat(np.arange(len(at) - 1), np.diff(at))
     return value, row[:n] == row[length - 1 :]
@@ -97,7 +98,7 @@ def _named(length: int, starts: int):
                     if p + length <= len(raw):
                         uid.append(number[i])
                         at.append(p)
-                        name.append(hashlib.blake2b(raw[p : p + length + starts - 1], digest_size=16).digest())
+                        name.append(hashlib.blake2b(raw[p : p + length + starts - 1], digest_size=12).digest())
             yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(at, pa.int32()), pa.array(name, pa.binary())], names=["uid", "place", "name"])
 
     return apply
@@ -120,7 +121,7 @@ def _windows(data: np.ndarray, length: int, starts: int) -> tuple[np.ndarray, np
 
 
 def _open(b: pa.RecordBatch, length: int, starts: int) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per text: windows whose sampled start is repeated, that start's hash and distance, and which windows are settled by equal names."""
+    """Per text, for each window: its smallest sampled start's hash and distance, whether equal names settle it, and whether no start rules it out."""
     repeated, certain = b["grams"].to_pylist(), b["certain"].to_pylist()
     for i, data, raw in _texts(b):
         least, place = _windows(data, length, starts)
@@ -130,7 +131,7 @@ def _open(b: pa.RecordBatch, length: int, starts: int) -> Iterator[tuple[int, by
             settled[min(p + starts, len(least))] -= 1
         settled = np.cumsum(settled)[: len(least)] > 0
         known = np.isin(least, np.asarray(repeated[i] or [], np.int64).view(np.uint64))
-        yield i, raw, least, place - np.arange(len(least)), settled, known & ~settled
+        yield i, raw, least, place - np.arange(len(least)), settled, known
 
 
 def _doubtful(length: int, starts: int):
@@ -139,7 +140,8 @@ def _doubtful(length: int, starts: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             gram, low, high = [], [], []
-            for _, _, least, far, _, doubt in _open(b, length, starts):
+            for _, _, least, far, settled, known in _open(b, length, starts):
+                doubt = known & ~settled
                 value, back = np.unique(least[doubt], return_inverse=True)
                 a, z = np.full(len(value), starts), np.zeros(len(value), np.int64)
                 np.minimum.at(a, back, far[doubt])
@@ -154,24 +156,36 @@ def _doubtful(length: int, starts: int):
 
 
 def _merged(length: int, starts: int):
-    """The windows that have to be compared one by one: all, doubtful or not, at a distance in question from a start in question."""
+    """The windows that have to be compared one by one: those at a distance in question from a start in question.
+
+    Doubtful ones come with their place; of settled ones only the names matter, each once a run of rows.
+    """
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             number, asked = b["uid"].to_pylist(), b["asked"].to_pylist()
-            uid, at, name = [], [], []
-            for i, raw, least, far, _, _ in _open(b, length, starts):
+            uid, at, names, sure = [], [], [], []
+            for i, raw, least, far, settled, known in _open(b, length, starts):
                 if not asked[i]:
                     continue
                 gram = np.array([x["gram"] for x in asked[i]], np.int64).view(np.uint64)
                 order = np.argsort(gram)
                 gram, low, high = gram[order], np.array([x["low"] for x in asked[i]])[order], np.array([x["high"] for x in asked[i]])[order]
                 k = np.minimum(np.searchsorted(gram, least), len(gram) - 1)
-                for p in np.flatnonzero((gram[k] == least) & (far >= low[k]) & (far <= high[k])).tolist():
-                    uid.append(number[i])
-                    at.append(p)
-                    name.append(hashlib.blake2b(raw[p : p + length], digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(at, pa.int32()), pa.array(name, pa.binary())], names=["uid", "place", "name"])
+                p = np.flatnonzero(known & (gram[k] == least) & (far >= low[k]) & (far <= high[k]))
+                data = np.frombuffer(raw, np.uint8)
+                name = np.stack([_hashes(data, np.array([0, len(data)]), length, salt)[0][p] for salt in (1, 2)], 1).view(np.int64)
+                doubt = ~settled[p]
+                uid.append(np.full(doubt.sum(), number[i]))
+                at.append(p[doubt])
+                names.append(name[doubt])
+                sure.append(name[~doubt])
+            sure = np.unique(np.concatenate(sure), axis=0) if sure else np.zeros((0, 2), np.int64)
+            names = np.concatenate([*names, sure])
+            join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+            none = pa.nulls(len(sure), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.chunked_array([pa.array(join(uid), pa.int64()), none]).combine_chunks(), pa.chunked_array([pa.array(join(at), pa.int64()), none]).combine_chunks(),
+                                              pa.array(names[:, 0]), pa.array(names[:, 1])], names=["uid", "place", "one", "two"])
 
     return apply
 
@@ -207,10 +221,10 @@ def repeated_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, star
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document: bytes inside a ``length``-byte string that also starts elsewhere.
 
     Strings are bytes of whole texts, never over a text's end; the other start may be in the same document and overlap. Every window of
-    ``length`` bytes has a sampled start among its first ``starts`` bytes, found from its content alone. (1) Starts whose remaining
-    bytes of the window occur once rule their windows out. (2) The others' prefixes are named by digests of all windows that begin up to the
+    ``length`` bytes has a sampled start among its first ``starts`` bytes, found from its content alone. (1) A start whose next
+    ``length - starts + 1`` bytes occur once rules its windows out. (2) The others' prefixes are named by digests of all windows that begin up to the
     next ``starts`` bytes; equal names settle those. (3) What is left, at edges of repeats, is compared window by window, with all
-    windows that have the same start at the same distance. Digests have 128 bits.
+    windows that have the same start at the same distance. Digests have 96 or 128 bits.
 
     A null text is empty; empty and short texts lose nothing unless a row repeats both id and text: such rows repeat each other's
     strings. Null ids are ids like others. An empty table gives no rows. Other columns are ignored.
@@ -228,12 +242,14 @@ def repeated_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, star
     names = held.mapInArrow(_named(length, starts), "uid long, place int, name binary")
     certain = _repeated(weigh(names)).distinct().groupBy("uid").agg(F.collect_list("place").alias("certain"))
     held = scratch.table(held.join(certain, "uid", "left"), "settled")
+    scratch.drop("held")
     asked = held.mapInArrow(_doubtful(length, starts), "gram long, low int, high int").groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     asked = scratch.table(asked, "asked")
     asked = grams.join(asked, "gram").groupBy("uid").agg(F.collect_list(F.struct("gram", "low", "high")).alias("asked"))
-    merged = held.join(asked, "uid").mapInArrow(_merged(length, starts), "uid long, place int, name binary")
+    merged = held.join(asked, "uid").mapInArrow(_merged(length, starts), "uid long, place long, one long, two long")
     merged = scratch.table(merged, "merged")
-    more = _repeated(weigh(merged)).distinct().groupBy("uid").agg(F.collect_list("place").alias("more"))
+    equal = merged.groupBy("one", "two").agg(F.count("uid").alias("doubtful"), F.max(F.col("uid").isNull()).alias("sure")).filter("doubtful > 0 and (doubtful > 1 or sure)")
+    more = merged.filter("uid is not null").join(equal.select("one", "two"), ["one", "two"]).groupBy("uid").agg(F.collect_list("place").alias("more"))
     cut = held.join(more, "uid", "left").mapInArrow(_covered(length, starts), "uid long, removed long, spans long, left string")
     out = signed.select("doc_id", "uid", "n_bytes", "sha256").join(cut, "uid", "left")
     return out.select("doc_id", "n_bytes", F.coalesce("removed", F.lit(0)).alias("n_removed"), F.coalesce("spans", F.lit(0)).alias("n_spans"), F.coalesce("left", "sha256").alias("kept_sha256"))
