@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, train_rows: int
         fit = _shard_fit(model, turn)
         got = sample.groupBy("shard").applyInPandas(fit, "n long, w binary, v binary, b double").collect()  # SHARDS rows
         if not got:
-            break
+            return model | {"v": np.zeros_like(start)}
         got.sort(key=lambda r: (r["n"], r["b"]))
         total = sum(r["n"] for r in got)
         model |= {k: sum(np.frombuffer(r[k]) * (r["n"] / total) for r in got).reshape(model[k].shape) for k in ("w", "v")}

@@ -22,6 +22,7 @@ class Scratch:
         self.spark = spark
         root = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK
         self.folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.latest: dict[str, str] = {}
         self._fs().deleteOnExit(self._path(self.folder))
         # Python workers of a session that was started elsewhere find this package where the driver has it.
         here, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
@@ -35,10 +36,11 @@ class Scratch:
         return self._path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes ``df`` and returns the written rows."""
-        at = f"{self.folder}/{name}"
-        df.write.mode("overwrite").parquet(at)
+        """Writes ``df`` to a folder of its own and returns the written rows."""
+        self.latest[name] = at = f"{self.folder}/{name}-{len(self.latest)}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(at)
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self, name: str) -> None:
-        self._fs().delete(self._path(f"{self.folder}/{name}"), True)
+        """Removes the latest table of that name."""
+        self._fs().delete(self._path(self.latest[name]), True)
