@@ -88,9 +88,9 @@ def filters_of(meta_keywords: Column) -> Column:
 
 
 def category_documents(category: DataFrame, category_lang: DataFrame, category_product: DataFrame, shops: DataFrame) -> DataFrame:
-    """One document per (category, language, shop) without its nested children."""
+    """One document per (active category, language, shop) without its nested children."""
     per_category = (
-        category.join(id_paths(category), "id_category")
+        category.filter("active").join(id_paths(category), "id_category")
         .join(children(category), "id_category", "left")
         .join(product_counts(category_product), "id_category", "left")
     )

@@ -161,10 +161,10 @@ def taxrule_documents(groups: DataFrame, rules: DataFrame, langs: DataFrame, sho
 
 
 def manufacturer_documents(makers: DataFrame, products: DataFrame, logos: DataFrame, langs: DataFrame, shops: DataFrame) -> DataFrame:
-    """Brands with product count and logo id; ``<language>-default`` where the logo manifest has none."""
+    """Active brands with product count and logo id; ``<language>-default`` where the logo manifest has none."""
     counts = products.groupBy("id_manufacturer").agg(F.count(F.lit(1)).alias("product_count"))
     have = logos.select("id_manufacturer", F.lit(True).alias("_logo")).distinct()
-    full = makers.join(counts, "id_manufacturer", "left").join(have, "id_manufacturer", "left").withColumn(
+    full = makers.filter("active").join(counts, "id_manufacturer", "left").join(have, "id_manufacturer", "left").withColumn(
         "product_count", F.coalesce("product_count", F.lit(0).cast("bigint"))
     )
     rows = _rows(full, "id_manufacturer", langs, shops).withColumn(

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfweave.functions import fixed_values as fv
 from shelfweave.functions.scalars import slugify
-from shelfweave.operators.relational import top_per_group
 
 
 def facet_values(docs: DataFrame, fields: Mapping[str, Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -25,16 +24,14 @@ def facet_counts(values: DataFrame, settings: DataFrame | None = None, by: Seque
 
 
 def facet_topk(counts: DataFrame, settings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """The most frequent values of each field, as many as its ``result_limit``; 0 keeps all.
+    """The most frequent values of each field, as many as its ``result_limit``, whatever that is; 0 and null keep all.
 
-    Fields without a limit never meet a window; the others are cut to the largest possible limit in
-    every task first.
+    Fields without a limit never meet the window.
     """
-    limited = counts.join(settings.select("field", "result_limit"), "field")
-    top = top_per_group(
-        limited.filter(F.col("result_limit") > 0), [*by, "field"], [F.col("n").desc(), F.col("value")], max(fv.FACET_LIMITS)
-    ).filter(F.col("rank") <= F.col("result_limit")).drop("rank")
-    return limited.filter(F.col("result_limit") == 0).unionByName(top).drop("result_limit")
+    limited = counts.join(settings.select("field", F.coalesce("result_limit", F.lit(0)).alias("result_limit")), "field")
+    rank = F.row_number().over(Window.partitionBy(*by, "field").orderBy(F.col("n").desc(), F.col("value")))
+    top = limited.filter(F.col("result_limit") > 0).withColumn("rank", rank).filter(F.col("rank") <= F.col("result_limit")).drop("rank")
+    return limited.filter(F.col("result_limit") <= 0).unionByName(top).drop("result_limit")
 
 
 def facet_range(docs: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:

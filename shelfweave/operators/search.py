@@ -124,16 +124,16 @@ def fuzzy_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     return met.filter((F.col("distance") >= 0) & (F.col("distance") <= F.col("edits"))).select("query_term", "term", "distance").distinct()
 
 
-def suggestions(entries: DataFrame, prefixes: DataFrame, k: int, longest: int = 10) -> DataFrame:
+def suggestions(entries: DataFrame, prefixes: DataFrame, k: int) -> DataFrame:
     """(prefix, rank, entry, weight): the ``k`` heaviest entries that start with each prefix.
 
-    Only the prefix lengths someone asks for are produced per entry, and each task keeps k rows per prefix.
+    Prefixes of every length an entry has are looked up, and each task keeps k rows per prefix.
     """
     asked = prefixes.select("prefix").distinct()
     starts = entries.select(
         "entry", "weight",
         F.explode(
-            F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("entry"))), lambda i: F.substring(F.col("entry"), F.lit(1), i))
+            F.transform(F.sequence(F.lit(1), F.length("entry")), lambda i: F.substring(F.col("entry"), F.lit(1), i))
         ).alias("prefix"),
     ).filter(F.length("entry") > 0)
     hits = starts.join(asked, "prefix", "left_semi")

@@ -282,7 +282,7 @@ def _(c):
     JOIN (SELECT id_category, string_agg(CAST(id_ancestor AS VARCHAR), '/' ORDER BY level_depth) AS path FROM ancestor GROUP BY 1) p ON p.id_category = c.id_category
     LEFT JOIN (SELECT id_category, count(*) AS n FROM category_product GROUP BY 1) n ON n.id_category = c.id_category
     LEFT JOIN (SELECT id_parent, string_agg(CAST(id_category AS VARCHAR), ',' ORDER BY id_category) AS children, CAST(count(*) AS INT) AS n FROM category WHERE active GROUP BY 1) k
-        ON k.id_parent = c.id_category""")
+        ON k.id_parent = c.id_category WHERE c.active""")
 def _(c):
     docs = C.category_documents(c.category, c.category_lang, c.category_product, c.shop)
     return docs.select(
@@ -343,7 +343,7 @@ def _(c):
 @query("manufacturer_documents", f"""SELECT m.id_manufacturer AS id, g.id_lang AS elastic_id_lang, shop.id_shop AS elastic_id_shop, 'manufacturer' AS elastic_type, m.name, m.link_rewrite AS url_key,
     m.active AS is_active, CASE WHEN o.id_manufacturer IS NULL THEN concat(g.iso_code, '-default') ELSE CAST(m.id_manufacturer AS VARCHAR) END AS image, coalesce(n.n, 0) AS product_count, m.name AS meta_title
     FROM manufacturer m LEFT JOIN logo_manifest o ON o.id_manufacturer = m.id_manufacturer
-    LEFT JOIN (SELECT id_manufacturer, count(*) AS n FROM product GROUP BY 1) n ON n.id_manufacturer = m.id_manufacturer {_EACH}""")
+    LEFT JOIN (SELECT id_manufacturer, count(*) AS n FROM product GROUP BY 1) n ON n.id_manufacturer = m.id_manufacturer {_EACH} WHERE m.active""")
 def _(c):
     docs = E.manufacturer_documents(c.manufacturer, c.product, c.logo_manifest, c.lang, c.shop)
     return docs.select(F.col("id").cast("int").alias("id"), *_ID[1:], "name", "url_key", "is_active", "image", "product_count", F.col("meta.title").alias("meta_title"))

@@ -172,12 +172,12 @@ def _faceted(c):
     makers = c.manufacturer.select("id_manufacturer", F.col("name").alias("manufacturer"))
     shops = c.product_shop.filter("active").select("id_product", "id_shop", F.col("price"))
     base = c.product.select("id_product", "id_manufacturer", "condition", "weight", "id_tax_rules_group")
-    return base.join(makers, "id_manufacturer").join(P.category_ids(c.category_product), "id_product", "left").join(shops, "id_product")
+    return base.join(makers, "id_manufacturer", "left").join(P.category_ids(c.category_product), "id_product", "left").join(shops, "id_product")
 
 
 def _fields():
     return {
-        "manufacturer": F.array("manufacturer"), "condition": F.array("condition"),
+        "manufacturer": F.array_compact(F.array("manufacturer")), "condition": F.array("condition"),
         "category": F.transform("category_ids", lambda i: i.cast("string")), "weight": F.array(F.col("weight").cast("string")),
     }
 
@@ -190,7 +190,7 @@ def _(c):
 
 @query("facet_topk", f"""SELECT id_shop, field, value, n FROM (SELECT id_shop, field, value, n, result_limit, row_number() OVER (PARTITION BY id_shop, field ORDER BY n DESC, value) AS k FROM (
     SELECT id_shop, f.field, f.value, any_value(m.result_limit) AS result_limit, count(*) AS n FROM ({_FACET_SQL}) f JOIN meta m ON m.code = f.field AND m.meta_type = 'property' GROUP BY 1, 2, 3) g) r
-    WHERE result_limit = 0 OR k <= result_limit""")
+    WHERE coalesce(result_limit, 0) <= 0 OR k <= result_limit""")
 def _(c):
     counts = X.facet_counts(X.facet_values(_faceted(c), _fields(), ["id_shop"]), by=["id_shop"])
     settings = c.meta.filter("meta_type = 'property'").select(F.col("code").alias("field"), "result_limit")

@@ -55,6 +55,23 @@ class Store:
         frame.write.mode("overwrite").parquet(f"{self.root}/{table}/snapshot={number}")
         return number
 
+    def claim(self, stream: str, batch: int) -> int:
+        """The number under which a stream's batch is stored: its own when replayed, otherwise above all numbers used so far.
+
+        The claim is a folder made before anything is written, so a batch that broke off finds its number again.
+        """
+        fs, own = self._fs(), f"batch={batch}"
+        used = [0]
+        for status in fs.globStatus(self._path("streams", "stream=*", "batch=*", "number=*")) or []:
+            at, number = status.getPath(), int(status.getPath().getName().split("=")[1])
+            if at.getParent().getName() == own and at.getParent().getParent().getName() == f"stream={stream}":
+                return number
+            used.append(number)
+        for table in ("*/snapshot=*", "documents/version=*/batch=*"):
+            used += [int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(self._path(*table.split("/"))) or []]
+        fs.mkdirs(self._path("streams", f"stream={stream}", own, f"number={max(used) + 1}"))
+        return max(used) + 1
+
     # --- documents -------------------------------------------------------------------------------
 
     def write_documents(self, docs: DataFrame, version: int, batch: int, max_records: int = 5_000_000) -> None:

@@ -99,11 +99,12 @@ def run_incremental(spark: SparkSession, tables_of: Callable[[SparkSession], obj
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     store = Store(spark, out_dir)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        # Stream batches start at 0, snapshots at 1.
-        index_batch(tables_of(spark), store, version, batch_id + 1, changes=latest_changes(batch))
-
-    # The shared folder serves many streams: the name stands for this source and target.
+    # The shared folder serves many streams: the name stands for this source, target and checkpoint.
     name = hashlib.sha256(f"{source_dir}|{out_dir}|{version}".encode()).hexdigest()[:16]
     place = checkpoint or f"{checkpoint_root(spark, out_dir)}/stream-{name}"
+    stream = hashlib.sha256(place.encode()).hexdigest()[:16]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        index_batch(tables_of(spark), store, version, store.claim(stream, batch_id), changes=latest_changes(batch))
+
     return reader.parquet(source_dir).writeStream.foreachBatch(handle).option("checkpointLocation", place).trigger(availableNow=True).start()

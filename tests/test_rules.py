@@ -347,3 +347,19 @@ def test_paths_of_an_inactive_branch(spark):
     assert {r.id_category: r.path for r in C.id_paths(cat).collect()}[4] == "1/2/3/4"
     tree = {r.id_category: r.tree for r in C.tree_json(cat, names).collect()}
     assert '"children_data":[]' in tree[2] and tree[3].count('"id":') == 3
+
+
+def test_facet_limits_of_any_size(spark):
+    counts = spark.range(60).selectExpr("explode(array('a', 'b', 'c', 'd')) AS field", "CAST(id AS STRING) AS value", "id AS n")
+    limits = spark.createDataFrame([("a", 50), ("b", 0), ("c", None), ("d", 3)], "field string, result_limit int")
+    got = {r.field: r["count"] for r in X.facet_topk(counts, limits).groupBy("field").count().collect()}
+    assert got == {"a": 50, "b": 60, "c": 60, "d": 3}
+
+
+def test_suggestions_of_long_prefixes(spark):
+    from shelfweave.operators.search import suggestions
+
+    entries = spark.createDataFrame([("internationalisation", 3), ("internationally", 5), ("internal", 9)], "entry string, weight long")
+    prefixes = spark.createDataFrame([("internationa",), ("internationalisation",)], "prefix string")
+    got = [(r.prefix, r.entry) for r in suggestions(entries, prefixes, 5).orderBy("prefix", "rank").collect()]
+    assert got == [("internationa", "internationally"), ("internationa", "internationalisation"), ("internationalisation", "internationalisation")]

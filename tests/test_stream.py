@@ -74,6 +74,19 @@ def test_stream_equals_batch(spark, tables, sf_dir, tmp_path):
     assert len(store.snapshots("status")) == 2
 
 
+def test_streams_on_a_loaded_store_lose_nothing(spark, tables, tmp_path):
+    out = str(tmp_path / "out")
+    store = Store(spark, out)
+    I.index_remaining(tables, store, 1)
+    want = keys(store.documents(1))
+    for k, (entity, op) in enumerate(((3, "delete"), (4, "upsert"))):
+        source = str(tmp_path / f"source-{k}")
+        spark.createDataFrame([(entity, op, 1)], "id_entity long, op string, change_id long").selectExpr("id_entity", "op", "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS ts", "change_id").write.parquet(source)
+        I.run_incremental(spark, lambda s: tables, source, out).awaitTermination(300)
+        assert keys(store.documents(1)) == {x for x in want if x[0] != 3}
+    assert store.claim("one", 0) == store.claim("one", 0) != store.claim("one", 1)
+
+
 def test_replayed_batch_changes_nothing(spark, tables, tmp_path):
     store = Store(spark, str(tmp_path))
     I.index_batch(tables, store, 1, 1)
