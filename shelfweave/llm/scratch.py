@@ -39,6 +39,8 @@ class Scratch:
         """Writes ``df`` to a folder of its own and returns the written rows."""
         self.latest[name] = at = f"{self.folder}/{name}-{len(self.latest)}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(at)
+        # Spark removes the shuffle files of finished plans when the driver collects its garbage, which on a large heap is late.
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self, name: str) -> None:

@@ -21,7 +21,7 @@ from .scratch import Scratch
 from .text import mix, parts, powers
 
 LENGTH = 400
-STARTS = 141
+STARTS = 101
 RUN_BYTES = 1 << 19
 _CODES = [mix(np.arange(256, dtype=np.uint64) + np.uint64(1000 * salt + 1)) for salt in range(3)]
 
@@ -120,16 +120,21 @@ def _windows(data: np.ndarray, length: int, starts: int) -> tuple[np.ndarray, np
         at[wrong] += 1
 
 
+def _settled(certain: list[int] | None, windows: int, starts: int) -> np.ndarray:
+    """Which windows begin at a place whose name occurs again, or soon after one."""
+    out = np.zeros(windows + 1, np.int64)
+    for p in certain or ():
+        out[p] += 1
+        out[min(p + starts, windows)] -= 1
+    return np.cumsum(out)[:windows] > 0
+
+
 def _open(b: pa.RecordBatch, length: int, starts: int) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per text, for each window: its smallest sampled start's hash and distance, whether equal names settle it, and whether no start rules it out."""
     repeated, certain = b["grams"].to_pylist(), b["certain"].to_pylist()
     for i, data, raw in _texts(b):
         least, place = _windows(data, length, starts)
-        settled = np.zeros(len(least) + 1, np.int64)
-        for p in certain[i] or ():
-            settled[p] += 1
-            settled[min(p + starts, len(least))] -= 1
-        settled = np.cumsum(settled)[: len(least)] > 0
+        settled = _settled(certain[i], len(least), starts)
         known = np.isin(least, np.asarray(repeated[i] or [], np.int64).view(np.uint64))
         yield i, raw, least, place - np.arange(len(least)), settled, known
 
@@ -193,11 +198,11 @@ def _merged(length: int, starts: int):
 def _covered(length: int, starts: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            number, more = b["uid"].to_pylist(), b["more"].to_pylist()
+            number, certain, more = (b[c].to_pylist() for c in ("uid", "certain", "more"))
             removed, spans, sha = [], [], []
-            for i, raw, least, _, settled, _ in _open(b, length, starts):
+            for i, _, raw in _texts(b):
                 begins = np.zeros(len(raw) + 1, np.int64)
-                p = np.flatnonzero(settled)
+                p = np.flatnonzero(_settled(certain[i], max(len(raw) - length + 1, 0), starts))
                 if more[i]:
                     p = np.union1d(p, np.asarray(more[i], np.int64))
                 begins[p] += 1
@@ -231,14 +236,16 @@ def repeated_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, star
     """
     plain = docs.select("doc_id", "text")
     signed = scratch.table(plain.mapInArrow(_sample_rows(length, starts), "doc_id long, uid long, n_bytes long, sha256 string, grams array<long>"), "signed")
+    rows = scratch.table(signed.drop("grams"), "rows")
     placed = signed.select("uid", F.explode("grams").alias("gram"))
     twice = scratch.table(placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "twice")
     grams = scratch.table(placed.join(twice, "gram").select("uid", "gram").distinct(), "grams")
+    scratch.drop("signed")
     own = grams.groupBy("uid").agg(F.collect_list("gram").alias("grams"))  # at most one text's
     held = scratch.table(plain.mapInArrow(_keyed, "uid long, text string").join(own, "uid").dropDuplicates(["uid"]), "held")
     # Rows that agree in id and text count as often as they are there.
-    copies = scratch.table(signed.groupBy("uid").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "copies")
-    weigh = lambda rows: rows.union(rows.join(copies.select("uid"), "uid").select(*rows.columns))
+    copies = scratch.table(rows.groupBy("uid").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "copies")
+    weigh = lambda t: t.union(t.join(copies.select("uid"), "uid").select(*t.columns))
     names = held.mapInArrow(_named(length, starts), "uid long, place int, name binary")
     certain = _repeated(weigh(names)).distinct().groupBy("uid").agg(F.collect_list("place").alias("certain"))
     held = scratch.table(held.join(certain, "uid", "left"), "settled")
@@ -251,5 +258,5 @@ def repeated_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, star
     equal = merged.groupBy("one", "two").agg(F.count("uid").alias("doubtful"), F.max(F.col("uid").isNull()).alias("sure")).filter("doubtful > 0 and (doubtful > 1 or sure)")
     more = merged.filter("uid is not null").join(equal.select("one", "two"), ["one", "two"]).groupBy("uid").agg(F.collect_list("place").alias("more"))
     cut = held.join(more, "uid", "left").mapInArrow(_covered(length, starts), "uid long, removed long, spans long, left string")
-    out = signed.select("doc_id", "uid", "n_bytes", "sha256").join(cut, "uid", "left")
+    out = rows.join(cut, "uid", "left")
     return out.select("doc_id", "n_bytes", F.coalesce("removed", F.lit(0)).alias("n_removed"), F.coalesce("spans", F.lit(0)).alias("n_spans"), F.coalesce("left", "sha256").alias("kept_sha256"))
