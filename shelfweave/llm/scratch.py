@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from pathlib import Path
@@ -40,6 +41,7 @@ class Scratch:
         self.latest[name] = at = f"{self.folder}/{name}-{len(self.latest)}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(at)
         # Spark removes the shuffle files of finished plans when the driver collects its garbage, which on a large heap is late.
+        gc.collect()
         self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(at)
 

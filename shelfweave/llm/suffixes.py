@@ -190,7 +190,7 @@ def _merged(length: int, starts: int):
             join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
             none = pa.nulls(len(sure), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.chunked_array([pa.array(join(uid), pa.int64()), none]).combine_chunks(), pa.chunked_array([pa.array(join(at), pa.int64()), none]).combine_chunks(),
-                                              pa.array(names[:, 0]), pa.array(names[:, 1])], names=["uid", "place", "one", "two"])
+                                              pa.array(names[:, 0]), pa.array((names[:, 1] >> 32).astype(np.int32))], names=["uid", "place", "one", "two"])
 
     return apply
 
@@ -229,7 +229,7 @@ def repeated_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, star
     ``length`` bytes has a sampled start among its first ``starts`` bytes, found from its content alone. (1) A start whose next
     ``length - starts + 1`` bytes occur once rules its windows out. (2) The others' prefixes are named by digests of all windows that begin up to the
     next ``starts`` bytes; equal names settle those. (3) What is left, at edges of repeats, is compared window by window, with all
-    windows that have the same start at the same distance. Digests have 96 or 128 bits.
+    windows that have the same start at the same distance. Digests have 96 bits.
 
     A null text is empty; empty and short texts lose nothing unless a row repeats both id and text: such rows repeat each other's
     strings. Null ids are ids like others. An empty table gives no rows. Other columns are ignored.
@@ -253,8 +253,10 @@ def repeated_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, star
     asked = held.mapInArrow(_doubtful(length, starts), "gram long, low int, high int").groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     asked = scratch.table(asked, "asked")
     asked = grams.join(asked, "gram").groupBy("uid").agg(F.collect_list(F.struct("gram", "low", "high")).alias("asked"))
-    merged = held.join(asked, "uid").mapInArrow(_merged(length, starts), "uid long, place long, one long, two long")
+    merged = held.join(asked, "uid").mapInArrow(_merged(length, starts), "uid long, place long, one long, two int")
     merged = scratch.table(merged, "merged")
+    scratch.drop("grams")
+    scratch.drop("asked")
     equal = merged.groupBy("one", "two").agg(F.count("uid").alias("doubtful"), F.max(F.col("uid").isNull()).alias("sure")).filter("doubtful > 0 and (doubtful > 1 or sure)")
     more = merged.filter("uid is not null").join(equal.select("one", "two"), ["one", "two"]).groupBy("uid").agg(F.collect_list("place").alias("more"))
     cut = held.join(more, "uid", "left").mapInArrow(_covered(length, starts), "uid long, removed long, spans long, left string")
