@@ -57,8 +57,13 @@ def cue_words() -> list[str]:
 def _grams(words: Column, cues: list[str]) -> Column:
     """One, two and three words in a row of which one is a cue; a paragraph without cues has none and is unknown."""
     cue = F.array(*map(F.lit, cues))
-    every = F.flatten(F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.slice(words, i + 1, n))))
-    return F.when(F.size(words) > 0, F.transform(F.filter(every, lambda g: F.arrays_overlap(g, cue)), lambda g: F.array_join(g, " "))).otherwise(F.array().cast("array<string>"))
+
+    def grams(w: Column) -> Column:
+        every = F.flatten(F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.slice(w, i + 1, n))))
+        return F.transform(F.filter(every, lambda g: F.arrays_overlap(g, cue)), lambda g: F.array_join(g, " "))
+
+    # Bound as a variable, the words are worked out once and not for every place.
+    return F.when(F.size(words) > 0, F.element_at(F.transform(F.array(words), grams), 1)).otherwise(F.array().cast("array<string>"))
 
 
 def _features(rows: DataFrame, cues: list[str]) -> DataFrame:
