@@ -5,14 +5,20 @@ Everything runs as DataFrame operations and the DataFrame-based machine-learning
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-FEATURES = 1 << 14
-UNKNOWN = "unknown"
+from .scratch import Scratch
+
 OVERLAP = 0.6
+WORD = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 
 # Usual wordings of licence notices by family.
@@ -28,7 +34,7 @@ TEMPLATES = {
     "cc-by-sa-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.", "Use of this source code is governed by a BSD-style license."],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."],
-    "proprietary": ["Copyright. All rights reserved.", "All rights reserved. No part of this publication may be reproduced without prior written permission of the publisher."],
+    "proprietary": ["All rights reserved.", "Copyright. All rights reserved.", "All rights reserved. No part of this publication may be reproduced without prior written permission of the publisher."],
 }
 # Sentences with words of the notices that state no licence.
 OTHERS = [
@@ -37,53 +43,77 @@ OTHERS = [
     "The committee met in compliance with the law.", "You can modify the form at any later time.", "The international airport reserved all rights to the common ground.", "Version 2.0 of the program was published in May.",
     "The license of the restaurant was renewed.", "Public use of the file is permitted in part.",
 ]
-# Words of the notices that say nothing of a licence by themselves; every n-gram that counts has another word.
+# Words of the notices that say nothing of a licence by themselves; every feature has another word.
 PLAIN = ("a all and any are as at be been by can either except following for forms free from hereby in is it later may met met modify new no not of on only or part person prior "
          "provided read redistribute terms that the this to under use using version with without work works you your 2 3 4 1").split()
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def cue_words() -> list[str]:
-    """Words of the templates that are not plain."""
-    import re
+def _plain_words(text: str) -> list[str]:
+    return re.findall(WORD, text.lower())
 
-    found = {w for texts in TEMPLATES.values() for t in texts for w in re.findall(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*", t.lower())}
-    return sorted(found - set(PLAIN))
 
+def vocabulary() -> list[str]:
+    """The features: runs of one to three words of a template of which one is not plain."""
+    found = set()
+    for text in (t for texts in TEMPLATES.values() for t in texts):
+        words = _plain_words(text)
+        runs = (words[i : i + n] for n in (1, 2, 3) for i in range(len(words) - n + 1))
+        found |= {" ".join(r) for r in runs if not set(r) <= set(PLAIN)}
+    return sorted(found)
 
-def _grams(words: Column, cues: list[str]) -> Column:
-    """One, two and three words in a row of which one is a cue; a paragraph without cues has none and is unknown."""
-    cue = F.array(*map(F.lit, cues))
-
-    def grams(w: Column) -> Column:
-        every = F.flatten(F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.slice(w, i + 1, n))))
-        return F.transform(F.filter(every, lambda g: F.arrays_overlap(g, cue)), lambda g: F.array_join(g, " "))
 
+def _grams(words: Column) -> Column:
+    """One, two and three words in a row."""
+    runs = lambda w: F.flatten(F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.array_join(F.slice(w, i + 1, n), " "))))
     # Bound as a variable, the words are worked out once and not for every place.
-    return F.when(F.size(words) > 0, F.element_at(F.transform(F.array(words), grams), 1)).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(words) > 0, F.element_at(F.transform(F.array(words), runs), 1)).otherwise(F.array().cast("array<string>"))
+
 
+def _features(rows: DataFrame, grams: list[str]) -> DataFrame:
+    """Which of the n-grams ``grams`` a paragraph has, as a sparse vector."""
+    rows = rows.withColumn("grams", _grams(_words(F.col("paragraph"))))
+    return CountVectorizerModel.from_vocabulary(grams, "grams", "features", binary=True).transform(rows)
 
-def _features(rows: DataFrame, cues: list[str]) -> DataFrame:
-    rows = rows.withColumn("grams", F.array_distinct(_grams(_words(F.col("paragraph")), cues)))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(rows)
+
+def anchors(model: LogisticRegressionModel, grams: list[str]) -> list[str]:
+    """Words of which a paragraph must have one for any family to be likelier than ``unknown``.
+
+    A family's lead over ``unknown`` is at most its intercept's lead and the sum of all positive leads of n-grams without such a word. Words
+    are added, each time the one that lowers these bounds most, until all bounds are below 0.
+    """
+    weight, base = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    lead, bound = np.maximum(weight[:-1] - weight[-1], 0.0), base[:-1] - base[-1]
+    of = {}
+    for k, g in enumerate(grams):
+        for w in set(g.split(" ")):
+            of.setdefault(w, []).append(k)
+    free, chosen = np.ones(len(grams), bool), []
+    while (bound + lead[:, free].sum(1) >= -1e-9).any() and free.any():
+        open_ = np.flatnonzero(bound + lead[:, free].sum(1) >= -1e-9)
+        gain = {w: lead[np.ix_(open_, [k for k in at if free[k]])].sum() for w, at in of.items() if w not in chosen and w not in PLAIN}
+        best = max(sorted(gain), key=gain.get)
+        chosen.append(best)
+        free[of[best]] = False
+    return chosen
 
 
 def _examples(spark: SparkSession) -> DataFrame:
-    """The templates whole, without each of their words, and in halves of unrelated words, which are unknown."""
+    """The templates whole and without each of their words; their single words and other sentences are unknown."""
     kinds = sorted(TEMPLATES)
     rows = []
     for k, family in enumerate(kinds):
         for text in TEMPLATES[family]:
             words = text.split()
-            rows += [(float(k), text)] * 4 + [(float(k), " ".join(words[:i] + words[i + 1 :])) for i in range(len(words)) if len(words) > 3]
-            rows += [(float(len(kinds)), w) for w in words]
+            rows += [(float(k), text, True)] * 4 + [(float(k), " ".join(words[:i] + words[i + 1 :]), False) for i in range(len(words)) if len(words) > 3]
+            rows += [(float(len(kinds)), w, False) for w in words]
     for text in OTHERS:
         words = text.split()
-        rows += [(float(len(kinds)), text)] * 4 + [(float(len(kinds)), " ".join(words[:i] + words[i + 1 :])) for i in range(len(words))]
-    return spark.createDataFrame(rows, "label double, paragraph string").coalesce(1)
+        rows += [(float(len(kinds)), text, True)] * 4 + [(float(len(kinds)), " ".join(words[:i] + words[i + 1 :]), False) for i in range(len(words))]
+    return spark.createDataFrame(rows, "label double, paragraph string, whole boolean").coalesce(1)
 
 
 def _loss(t: float) -> Column:
@@ -94,8 +124,8 @@ def _loss(t: float) -> Column:
 
 
 def train(spark: SparkSession) -> tuple[LogisticRegressionModel, float]:
-    """The sparse multinomial model, and the temperature that makes the probabilities of held-out examples most likely."""
-    rows = _features(_examples(spark), cue_words()).withColumn("fold", F.pmod(F.crc32(F.col("paragraph").cast("binary")), F.lit(5)))
+    """The sparse multinomial model, and the temperature that makes the probabilities of held-out examples most likely; whole templates are always learned."""
+    rows = _features(_examples(spark), vocabulary()).withColumn("fold", F.when(~F.col("whole"), F.pmod(F.crc32(F.col("paragraph").cast("binary")), F.lit(5))).otherwise(1))
     model = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=80).fit(rows.filter("fold <> 0"))
     raw = model.transform(rows.filter("fold = 0")).select("label", vector_to_array("rawPrediction").alias("raw"))
     loss = [_loss(t).alias(str(k)) for k, t in enumerate(TEMPERATURES)]
@@ -103,30 +133,31 @@ def train(spark: SparkSession) -> tuple[LogisticRegressionModel, float]:
     return model, TEMPERATURES[min(range(len(TEMPERATURES)), key=lambda k: got[k])]
 
 
-def licences(docs: DataFrame, overlap: float = OVERLAP) -> DataFrame:
+def licences(docs: DataFrame, scratch: Scratch, overlap: float = OVERLAP) -> DataFrame:
     """One row for each paragraph that states a licence: doc_id, paragraph (number from 0), family, probability, template_overlap, confirmed.
 
-    Paragraphs are the lines of a text. A paragraph without a cue word has no features, so it is unknown whatever the model, and is passed
-    over by one pattern search. The others get the probability of each family and of ``unknown`` at the calibrated temperature; rows whose
-    likeliest class is a family are returned. ``template_overlap`` is the largest share of a family template's words that the paragraph has;
+    Paragraphs are the lines of a text. Each gets the probability of every family and of ``unknown`` at the calibrated temperature; rows whose
+    likeliest class is a family are returned. Paragraphs without an anchor word, which the model's weights prove to be unknown, are
+    passed over first (``anchors``). ``template_overlap`` is the largest share of a family template's words that the paragraph has;
     from ``overlap`` on the find is confirmed.
 
     Null and empty texts have no paragraphs; null ids and repeated rows are scanned like others. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    cues, kinds = cue_words(), sorted(TEMPLATES)
-    model, temperature = train(spark)
-    some = r"(?i)(?<![a-z0-9])(?:" + "|".join(c.replace(".", r"\.").replace("+", r"\+") for c in cues) + r")(?![a-z0-9])"
-    lines = docs.select("doc_id", F.col("text")).filter(F.col("text").rlike(some)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("number", "paragraph"))
-    scored = model.transform(_features(lines.filter(F.col("paragraph").rlike(some)), cues))
-    raw = F.transform(vector_to_array("rawPrediction"), lambda x: x / temperature)
-    odds = F.transform(raw, lambda x: F.exp(x - F.array_max(raw)))
-    scored = scored.select("doc_id", "number", "paragraph", odds.alias("odds")).withColumn("best", F.array_position("odds", F.lit(1.0)).cast("int"))
-    families = F.array(*map(F.lit, [*kinds, UNKNOWN]))
+    grams, kinds = vocabulary(), sorted(TEMPLATES)
+    model, temperature = train(docs.sparkSession)
+    some = anchors(model, grams)
+    near = lambda text: reduce(or_, (F.contains(F.lower(text), F.lit(a)) for a in some))
+    lines = docs.filter(near(F.col("text"))).select("doc_id", F.posexplode(F.split("text", "\n")).alias("number", "paragraph"))
+    lines = lines.filter(near(F.col("paragraph"))).filter(F.arrays_overlap(_words(F.col("paragraph")), F.array(*map(F.lit, some))))
+    # Written, so that no later expression works the features out again.
+    raw = model.transform(_features(lines, grams)).select("doc_id", "number", "paragraph", vector_to_array("rawPrediction").alias("raw"))
+    scored = scratch.table(raw.filter(F.array_position("raw", F.array_max("raw")) <= len(kinds)), "scored")
+    odds = F.transform("raw", lambda x: F.exp((x - F.array_max("raw")) / temperature))
+    total = F.aggregate(odds, F.lit(0.0), lambda s, x: s + x)
+    best = F.array_position("raw", F.array_max("raw")).cast("int")
     words = F.array_distinct(_words(F.col("paragraph")))
-    share = lambda text: F.size(F.array_intersect(words, F.array_distinct(_words(F.lit(text))))) / F.size(F.array_distinct(_words(F.lit(text))))
-    best = F.coalesce(*(F.when(F.col("best") == k + 1, F.greatest(F.lit(0.0), *(share(t) for t in TEMPLATES[kind]))) for k, kind in enumerate(kinds)))
-    total = F.aggregate("odds", F.lit(0.0), lambda s, x: s + x)
-    found = scored.filter(F.col("best") <= len(kinds))
-    return found.select("doc_id", F.col("number").alias("paragraph"), F.element_at(families, F.col("best")).alias("family"), (1 / total).alias("probability"),
-                        best.alias("template_overlap"), (best >= overlap).alias("confirmed"))
+    share = lambda text: F.size(F.array_intersect(words, F.array(*map(F.lit, own := sorted(set(_plain_words(text))))))) / len(own)
+    alike = F.coalesce(*(F.when(F.col("best") == k + 1, F.greatest(F.lit(0.0), *(share(t) for t in TEMPLATES[kind]))) for k, kind in enumerate(kinds)))
+    return scored.withColumn("best", best).select(
+        "doc_id", F.col("number").alias("paragraph"), F.element_at(F.array(*map(F.lit, kinds)), F.col("best")).alias("family"), (1 / total).alias("probability"),
+        alike.alias("template_overlap"), (alike >= overlap).alias("confirmed"))

@@ -52,7 +52,7 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences(_table(spark, sf_dir, "documents"))
+    return licences(_table(spark, sf_dir, "documents"), Scratch(spark, "op8"))
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

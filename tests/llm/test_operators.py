@@ -6,8 +6,10 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from shelfweave.llm import licences as licence_parts
 from shelfweave.llm.embeddings import near_vectors
 from shelfweave.llm.fingerprints import fingerprints
 from shelfweave.llm.languages import languages
@@ -193,10 +195,21 @@ def test_likeness():
 
 def test_licences(spark, docs, odd):
     texts = {r.doc_id: r.text for r in docs.collect()}
-    want = {(i, k) for i, t in texts.items() for k, line in enumerate(t.split("\n")) if "icense" in line}
-    got = licences(docs).collect()
+    want = {(i, k) for i, t in texts.items() for k, line in enumerate(t.split("\n")) if "icense" in line or "rights reserved" in line}
+    got = licences(docs, _scratch(spark)).collect()
     assert {(r.doc_id, r.paragraph) for r in got} == want and all(r.confirmed for r in got)
-    assert licences(odd).count() == 0
+    assert licences(odd, _scratch(spark)).count() == 0
+
+
+def test_anchors_lose_no_find(spark, docs):
+    """Every paragraph through the model, without the anchors before it, gives the same finds."""
+    grams = licence_parts.vocabulary()
+    model, _ = licence_parts.train(spark)
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("number", "paragraph"))
+    raw = model.transform(licence_parts._features(lines, grams)).select("doc_id", "number", vector_to_array("rawPrediction").alias("raw"))
+    want = raw.filter(F.array_position("raw", F.array_max("raw")) <= len(licence_parts.TEMPLATES)).select("doc_id", "number")
+    got = licences(docs, _scratch(spark)).select("doc_id", "paragraph")
+    assert want.count() and sorted(map(tuple, want.collect())) == sorted(map(tuple, got.collect()))
 
 
 def test_languages(spark, docs, odd):
@@ -233,5 +246,5 @@ def test_best_chain():
 def test_empty_tables(spark, none, labels):
     s = _scratch(spark)
     for out in (repeated_bytes(none, s), fingerprints(none, s), mixture(none, s), mixed(none, s), packed(none, public_tokenizers.path("word_bpe_49k.json"), s), quality_scores(none, labels, s), near_duplicates(none, s),
-                keep_first(none, s), licences(none), languages(none, s), repeated_passages(none, s), cut_passages(none, s), near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"), s)):
+                keep_first(none, s), licences(none, s), languages(none, s), repeated_passages(none, s), cut_passages(none, s), near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"), s)):
         assert out.count() == 0
