@@ -56,18 +56,19 @@ def _seed_rows(least_words: int):
     return apply
 
 
-def best_chain(x: np.ndarray, y: np.ndarray, length: int = SHINGLE, cost: float = GAP_COST) -> list[int]:
-    """The best rising chain of matches (x ascending and distinct, y any): each match scores the words it adds, gaps cost by their length.
+def _predecessors(x: np.ndarray, y: np.ndarray, length: int, cost: float) -> tuple[list[float], list[int]]:
+    """Score of the best rising chain that ends in each match, and the match before it there (-1: none).
 
     The score of a predecessor plus the cost of its place is a prefix maximum over y, which a Fenwick tree gives in logarithmic time.
     """
-    rank = np.searchsorted(np.unique(y), y) + 1
-    size = int(rank.max()) if len(y) else 0
+    rank = (np.searchsorted(np.unique(y), y) + 1).tolist()
+    x, y = x.tolist(), y.tolist()
+    size = max(rank, default=0)
     top, who = [-1e18] * (size + 1), [-1] * (size + 1)
     score, before = [0.0] * len(x), [-1] * len(x)
     for i in range(len(x)):
-        at = cost * float(x[i] + y[i])
-        best, j, r = -1e18, -1, int(rank[i]) - 1
+        at = cost * (x[i] + y[i])
+        best, j, r = -1e18, -1, rank[i] - 1
         while r > 0:
             if top[r] > best:
                 best, j = top[r], who[r]
@@ -78,30 +79,56 @@ def best_chain(x: np.ndarray, y: np.ndarray, length: int = SHINGLE, cost: float
             if gain > got:
                 got, before[i] = gain, j
         score[i] = got
-        put, r = got + at, int(rank[i])
+        put, r = got + at, rank[i]
         while r <= size:
             if put > top[r]:
                 top[r], who[r] = put, i
             r += r & -r
-    i = int(np.argmax(score)) if len(score) else -1
-    chain = []
-    while i >= 0:
-        chain.append(i)
-        i = before[i]
-    return chain[::-1]
+    return score, before
+
+
+def disjoint_chains(x: np.ndarray, y: np.ndarray, length: int = SHINGLE, cost: float = GAP_COST) -> list[list[int]]:
+    """Rising chains of matches (x ascending and distinct, y any) that share none, best first: each match scores the words it adds, gaps cost
+    by their length. All come from one scoring: a chain that would run into a better one begins after it.
+    """
+    score, before = _predecessors(x, y, length, cost)
+    free, out = [True] * len(score), []
+    for i in np.argsort(-np.asarray(score), kind="stable").tolist():
+        chain = []
+        while i >= 0 and free[i]:
+            free[i] = False
+            chain.append(i)
+            i = before[i]
+        if chain:
+            out.append(chain[::-1])
+    return out
+
+
+def best_chain(x: np.ndarray, y: np.ndarray, length: int = SHINGLE, cost: float = GAP_COST) -> list[int]:
+    """The best rising chain of matches."""
+    return next(iter(disjoint_chains(x, y, length, cost)), [])
 
 
 def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-    """Disjoint chains of two matches or more, best first, cut where a gap is long or shifts far; each as indices into ``x``."""
+    """Disjoint chains of two matches or more, cut where a gap is long or shifts far; each as indices into ``x``.
+
+    Matches that stay alone are scored again among themselves, as long as chains are found. So a passage that one document holds many times
+    over costs one scoring for all its places, not one for each.
+    """
     out, left = [], np.arange(len(x))
     while len(left) > 1:
-        got = left[best_chain(x[left], y[left])]
-        if len(got) < 2:
+        alone = []
+        for c in disjoint_chains(x[left], y[left]):
+            got = left[c]
+            if len(got) < 2:
+                alone.append(got)
+                continue
+            dx, dy = np.diff(x[got]), np.diff(y[got])
+            cut = np.flatnonzero((np.maximum(dx, dy) > BREAK) | (np.abs(dx - dy) > SHIFT)) + 1
+            out += [c for c in np.split(got, cut) if len(c) > 1]
+        if len(alone) < 2 or len(alone) == len(left):
             break
-        dx, dy = np.diff(x[got]), np.diff(y[got])
-        cut = np.flatnonzero((np.maximum(dx, dy) > BREAK) | (np.abs(dx - dy) > SHIFT)) + 1
-        out += [c for c in np.split(got, cut) if len(c) > 1]
-        left = np.setdiff1d(left, got, assume_unique=True)
+        left = np.sort(np.concatenate(alone))
     return out
 
 

@@ -17,7 +17,7 @@ from shelfweave.llm.licences import licences
 from shelfweave.llm.minhash import keep_first, likeness, near_duplicates
 from shelfweave.llm.mixing import mixed, mixture
 from shelfweave.llm.packing import packed, shortest_pack_first
-from shelfweave.llm.passages import best_chain, cut_passages, repeated_passages
+from shelfweave.llm.passages import best_chain, chains, cut_passages, repeated_passages
 from shelfweave.llm.quality import keep_good, quality_scores
 from shelfweave.llm.scratch import Scratch
 from shelfweave.llm.suffixes import repeated_bytes
@@ -243,6 +243,16 @@ def test_best_chain():
     assert best_chain(x, y) == [0, 1, 3, 4]
 
 
+def test_chains_of_a_passage_repeated_many_times():
+    # 3,000 places of one passage of ten matches, 100 words apart: a chain for each, from one scoring
+    x = (np.arange(3000)[:, None] * 100 + np.arange(10) * 6).ravel()
+    y = np.tile(np.arange(10) * 6 + 40, 3000)
+    found = chains(x, y)
+    assert sorted(map(len, found)) == [10] * 3000
+    assert all((np.diff(x[c]) == 6).all() and (np.diff(y[c]) == 6).all() for c in found)
+    assert sorted(np.concatenate(found)) == list(range(30000))
+
+
 def test_empty_tables(spark, none, labels):
     s = _scratch(spark)
     for out in (repeated_bytes(none, s), fingerprints(none, s), mixture(none, s), mixed(none, s), packed(none, public_tokenizers.path("word_bpe_49k.json"), s), quality_scores(none, labels, s), near_duplicates(none, s),
