@@ -160,21 +160,23 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(rest)
 
 
-def _reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """How far two word runs agree from their beginning: words of each, and equal words, at the best score (+1 equal, -2 not).
+def _reach(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """How far two word runs agree from their beginning, at the best score (+1 equal, -2 not): for each word of ``a`` whether it is equal.
 
     After a difference the runs may go on at a shift of a few words.
     """
-    at_a = at_b = equal = 0
+    at_a = at_b = 0
+    marks = []
     while True:
         n = min(len(a) - at_a, len(b) - at_b, REACH)
         if n <= 0:
-            return at_a, at_b, equal
+            return marks
         same = a[at_a : at_a + n] == b[at_b : at_b + n]
         score = np.cumsum(np.where(same, 1, -2))
         best = int(np.argmax(score))
         if score[best] > 0:
-            at_a, at_b, equal = at_a + best + 1, at_b + best + 1, equal + int(same[: best + 1].sum())
+            at_a, at_b = at_a + best + 1, at_b + best + 1
+            marks.append(same[: best + 1])
             if best + 1 == n:
                 continue
         for d in range(1, 4):  # words put in or left out
@@ -182,35 +184,64 @@ def _reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
                 u, v = a[at_a + da : at_a + da + 6], b[at_b + db : at_b + db + 6]
                 if len(u) == len(v) == 6 and (u == v).all():
                     at_a, at_b = at_a + da, at_b + db
+                    marks.append(np.zeros(da, bool))
                     break
             else:
                 continue
             break
         else:
-            return at_a, at_b, equal
+            return marks
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence of two short word runs."""
-    row = np.zeros(len(b) + 1, np.int64)
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The words of ``a`` that are in the longest common subsequence of two short word runs."""
+    rows = [np.zeros(len(b) + 1, np.int64)]
     for w in a:
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == w)))
-    return int(row[-1])
+        row = rows[-1].copy()
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], rows[-1][:-1] + (b == w)))
+        rows.append(row)
+    mark, i, j = np.zeros(len(a), bool), len(a), len(b)
+    while i and j:
+        if rows[i][j] == rows[i - 1][j]:
+            i -= 1
+        elif rows[i][j] == rows[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            mark[i] = True
+    return mark
 
 
-def align(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = SHINGLE) -> tuple[int, int, int]:
-    """Aligns a chain of matches a[x] = b[y] of ``k`` words: first word, word after the last, and equal words of ``a``."""
-    equal = 0
+def align(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = SHINGLE) -> tuple[int, np.ndarray]:
+    """Aligns a chain of matches a[x] = b[y] of ``k`` words: first word, and for each word from there on whether it is equal."""
+    marks = []
     for i in range(len(x) - 1):
         dx, dy = x[i + 1] - x[i], y[i + 1] - y[i]
-        if dx == dy:
-            equal += int((a[x[i] : x[i + 1]] == b[y[i] : y[i + 1]]).sum())
-        else:
-            equal += _common(a[x[i] : x[i + 1]], b[y[i] : y[i + 1]])
-    lo, hi, end = x[0], x[-1], y[-1]
-    more_a, _, more = _reach(a[hi:], b[end:])
-    back_a, _, back = _reach(a[:lo][::-1], b[: y[0]][::-1])
-    return lo - back_a, hi + max(more_a, k), equal + max(more, k) + back
+        u, v = a[x[i] : x[i + 1]], b[y[i] : y[i + 1]]
+        marks.append(u == v if dx == dy else _common(u, v))
+    hi, end = x[-1], y[-1]
+    after = np.concatenate([*_reach(a[hi:], b[end:]), np.zeros(0, bool)])
+    back = np.concatenate([*_reach(a[: x[0]][::-1], b[: y[0]][::-1]), np.zeros(0, bool)])[::-1]
+    if len(after) < k:
+        after = np.ones(min(k, len(a) - hi), bool)
+    return x[0] - len(back), np.concatenate([back, *marks, after])
+
+
+def passing(equal: np.ndarray, identity: float, least_words: int) -> list[tuple[int, int]]:
+    """The longest runs of ``least_words`` words or more, ``identity`` of them or more equal, that begin and end with an equal word.
+
+    Each goes as far as it can, and none lies inside another; two may overlap where both together have too few equal words.
+    """
+    step = np.diff(np.concatenate(([0], equal.astype(np.int8), [0])))
+    begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    if not len(begin):
+        return []
+    # A run from p to q passes where the sum of (equal - identity) is no smaller at q than at p.
+    total = np.concatenate(([0.0], np.cumsum(equal - identity)))
+    later = np.maximum.accumulate(total[end][::-1])[::-1]
+    last = np.searchsorted(-later, -(total[begin] - 1e-9), "right") - 1
+    whole = np.append(True, last[1:] > np.maximum.accumulate(last)[:-1])
+    return [(int(p), int(q)) for p, q in zip(begin[whole], end[last[whole]]) if q - p >= least_words]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,21 +268,26 @@ def _aligned(identity: float, least_words: int):
                 out = []
                 for i, found in enumerate(b["chains"].slice(lo, hi - lo).to_pylist()):
                     a = w.hash[w.first[i] : w.first[i + 1]]
-                    pieces = []
+                    pieces, equal = [], np.zeros(len(a), bool)
                     for c in found:
                         x, y = np.asarray(c["x"]), np.asarray(c["y"])
-                        begin, end, equal = align(a, np.asarray(c["around"], np.int64).view(np.uint64), x, y)
-                        if equal >= identity * (end - begin):
-                            pieces.append((begin, min(end, len(a)), c["other"]))
-                    spans = []
-                    for begin, end, other in sorted(pieces):
+                        if x[-1] >= len(a):
+                            continue  # of another text with this id
+                        begin, mark = align(a, np.asarray(c["around"], np.int64).view(np.uint64), x, y)
+                        for p, q in passing(mark, identity, SHINGLE):
+                            pieces.append((begin + p, begin + q, c["other"]))
+                            equal[begin + p : begin + q] |= mark[p:q]
+                    spans, pieces = [], sorted(pieces)
+                    for begin, end, _ in pieces:
                         if spans and begin <= spans[-1][1] + JOIN_GAP:
-                            spans[-1] = (spans[-1][0], max(end, spans[-1][1]), spans[-1][2] | {other})
+                            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
                         else:
-                            spans.append((begin, end, {other}))
+                            spans.append((begin, end))
                     doc_id = b["doc_id"][lo + i].as_py()
-                    for begin, end, others in spans:
-                        if end - begin >= least_words:
+                    for low, high in spans:
+                        for p, q in passing(equal[low:high], identity, least_words):
+                            begin, end = low + p, low + q
+                            others = {o for p, q, o in pieces if p < end and q > begin}
                             out.append((doc_id, begin, end, sorted(others), int(w.start[w.first[i] + begin] - at[i]),
                                         int((w.start[w.first[i] + end] if w.first[i] + end < w.first[i + 1] else at[i + 1]) - at[i])))
                 names = ["doc_id", "first_word", "end_word", "others", "first_byte", "end_byte"]
@@ -267,8 +303,9 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = MIN_
     One row for each passage: doc_id, first_word and end_word (from 0, the end excluded), others (ids of the earlier documents), first_byte and
     end_byte of what to cut from the UTF-8 text. Seeds are the smallest of each twelve consecutive five-word hashes, so passages share theirs.
     Each occurrence of a seed is matched with the seed's first occurrence in the corpus, never with all others, so matches are linear in the
-    text however common a passage is. The matches of two documents are chained and the chains aligned; pieces with ``identity`` equal words or
-    more count, and pieces that touch, though their first copies lie in different documents, are one passage.
+    text however common a passage is. The matches of two documents are chained and the chains aligned; their longest pieces with ``identity`` equal
+    words or more count, and pieces that touch, though their first copies lie in different documents, are one passage where they pass together.
+    Where they don't, each that passes is a passage, and two may overlap.
 
     The first document of a repeated passage keeps it. Repeats inside one document don't count. Null and short texts have no passages; rows
     with a null id are left out; rows that repeat an id are one document with several texts, each compared with earlier ids.
@@ -299,7 +336,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raw, left, at = text[i].encode(), [], 0
                 for s in sorted(spans, key=lambda s: s["first_byte"]):
                     left.append(raw[at : s["first_byte"]])
-                    at = s["end_byte"]
+                    at = max(at, s["end_byte"])
                 text[i] = b"".join([*left, raw[at:]]).decode()
         yield pa.RecordBatch.from_arrays([*b["kept"].flatten(), pa.array(text, b["text"].type)], names=[*(b["kept"].type.field(i).name for i in range(b["kept"].type.num_fields)), "text"])
 

@@ -17,7 +17,7 @@ from shelfweave.llm.licences import licences
 from shelfweave.llm.minhash import keep_first, likeness, near_duplicates
 from shelfweave.llm.mixing import mixed, mixture
 from shelfweave.llm.packing import packed, shortest_pack_first
-from shelfweave.llm.passages import best_chain, chains, cut_passages, repeated_passages
+from shelfweave.llm.passages import best_chain, chains, cut_passages, passing, repeated_passages
 from shelfweave.llm.quality import keep_good, quality_scores
 from shelfweave.llm.scratch import Scratch
 from shelfweave.llm.suffixes import repeated_bytes
@@ -238,6 +238,29 @@ def test_passages(spark, docs, odd):
     assert cut[2].text == "" and cut[2].n_chars == 0 and cut[1].text == ODD[0][1] and cut[11].text.strip() == _words(60, "e")
 
 
+def test_passing():
+    marks = lambda *n: np.concatenate([np.full(k, i % 2 == 0) for i, k in enumerate(n)])
+    assert passing(marks(70, 28, 20), 0.8, 50) == [(0, 70)]
+    assert passing(marks(50, 26, 50), 0.8, 50) == [(0, 50), (76, 126)]
+    assert passing(marks(30, 8, 30), 0.8, 50) == [(0, 68)]
+    assert passing(marks(50, 25, 50, 25, 50), 0.8, 50) == [(0, 125), (75, 200)]
+    assert passing(marks(20, 20, 20), 0.8, 50) == [] == passing(np.zeros(90, bool), 0.8, 50)
+
+
+def test_passages_beside_gaps(spark):
+    """A shared run of 50 words or more is found, whatever its chain takes in behind a gap of other words."""
+    rows, want = [], {}
+    for k, (n, gap, m) in enumerate([(70, 28, 20), (50, 26, 50), (100, 30, 16)] * 12):
+        first, last = _words(n, f"f{k}"), _words(m, f"l{k}")
+        rows += [(2 * k, f"{_words(9, f'a{k}')} {first} {_words(gap, f'g{k}')} {last} {_words(9, f'b{k}')}"),
+                 (2 * k + 1, f"{_words(7, f'c{k}')} {first} {_words(gap, f'h{k}')} {last} {_words(8, f'd{k}')}")]
+        want[2 * k + 1] = [(7, 7 + n), *([(7 + n + gap, 7 + n + gap + m)] if m >= 50 else [])]
+    got = {}
+    for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), _scratch(spark)).collect():
+        got.setdefault(r.doc_id, []).append((r.first_word, r.end_word))
+    assert {i: sorted(v) for i, v in got.items()} == want
+
+
 def test_best_chain():
     x, y = np.array([0, 5, 10, 15, 20, 25]), np.array([100, 105, 3, 110, 115, 500])
     assert best_chain(x, y) == [0, 1, 3, 4]
