@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .scratch import Scratch
-from .text import SHINGLE, parts, shingles, words
+from .text import SHINGLE, mix, parts, powers, shingles, words
 
 WINDOW = 12
 MIN_WORDS = 50
@@ -41,7 +41,16 @@ def seeds(value: np.ndarray, row: np.ndarray, width: int = WINDOW) -> np.ndarray
     return np.flatnonzero(_sliding(padded, width, np.maximum) == value)
 
 
+def _in_a_row(least_words: int) -> int:
+    """How many consecutive seeds, up to three, any two equal runs of ``least_words`` words share."""
+    # The first lies in the first WINDOW shingles of the run, the last in the last, and none follows the one before by more than WINDOW.
+    return max(1, min(3, 2 + (least_words - SHINGLE - 2 * WINDOW + 1) // WINDOW))
+
+
 def _seed_rows(least_words: int):
+    """Seeds with their places; ``run`` is a key of the seed and those after it (null where the text has too few), ``span`` the words from the first to the last of these."""
+    more = _in_a_row(least_words) - 1
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, at in parts(b["text"]):
@@ -50,8 +59,39 @@ def _seed_rows(least_words: int):
                 at_seed = seeds(value, row)
                 at_seed = at_seed[np.diff(w.first)[row[at_seed]] >= least_words]
                 doc, place = row[at_seed], first[at_seed] - w.first[row[at_seed]]
-                yield pa.RecordBatch.from_arrays([pa.array(value[at_seed].view(np.int64)), b["doc_id"].slice(lo, hi - lo).take(pa.array(doc)), pa.array(place, pa.int32())],
-                                                 names=["seed", "doc_id", "place"])
+                n = max(len(at_seed) - more, 0)
+                run, span, whole = np.zeros(len(at_seed), np.uint64), np.zeros(len(at_seed), np.int64), np.zeros(len(at_seed), bool)
+                for j in range(more + 1):
+                    run[:n] = mix(run[:n] * np.uint64(0xD1342543DE82EF95) + value[at_seed[j : j + n]] + (place[j : j + n] - place[:n]).astype(np.uint64))
+                span[:n], whole[:n] = place[more : more + n] - place[:n], doc[more : more + n] == doc[:n]
+                yield pa.RecordBatch.from_arrays([pa.array(value[at_seed].view(np.int64)), b["doc_id"].slice(lo, hi - lo).take(pa.array(doc)), pa.array(place, pa.int32()),
+                                                  pa.array(run.view(np.int64), mask=~whole), pa.array(span, pa.int32())], names=["seed", "doc_id", "place", "run", "span"])
+
+    return apply
+
+
+def _whole_runs(least_words: int):
+    """Hashes of all runs of ``least_words`` words that hold one of the document's ``held`` runs of seeds."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, data, at in parts(b["text"]):
+                w = words(data, at)
+                up, down = powers(len(w.hash) + 1)
+                total = np.zeros(len(w.hash) + 1, np.uint64)
+                np.cumsum(w.hash * up[:-1], out=total[1:])
+                begins = np.zeros(len(w.hash) + 1, np.int64)
+                for i, held in enumerate(b["held"].slice(lo, hi - lo).to_pylist()):
+                    place, span = np.array([(h["place"], h["span"]) for h in held]).T
+                    low, high = np.maximum(place + span + SHINGLE - least_words, 0), np.minimum(place, w.first[i + 1] - w.first[i] - least_words)
+                    there = low <= high
+                    np.add.at(begins, w.first[i] + low[there], 1)
+                    np.add.at(begins, w.first[i] + high[there] + 1, -1)
+                begin = np.flatnonzero(np.cumsum(begins) > 0)
+                value = mix((total[begin + least_words] - total[begin]) * down[begin])
+                doc = w.doc[begin]
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), b["doc_id"].slice(lo, hi - lo).take(pa.array(doc)), pa.array(begin - w.first[doc], pa.int32())],
+                                                 names=["whole", "doc_id", "place"])
 
     return apply
 
@@ -88,8 +128,8 @@ def _predecessors(x: np.ndarray, y: np.ndarray, length: int, cost: float) -> tup
 
 
 def disjoint_chains(x: np.ndarray, y: np.ndarray, length: int = SHINGLE, cost: float = GAP_COST) -> list[list[int]]:
-    """Rising chains of matches (x ascending and distinct, y any) that share none, best first: each match scores the words it adds, gaps cost
-    by their length. All come from one scoring: a chain that would run into a better one begins after it.
+    """Rising chains of matches (x ascending, y any, descending where x is equal) that share none, best first: each match scores the words it
+    adds, gaps cost by their length. All come from one scoring: a chain that would run into a better one begins after it.
     """
     score, before = _predecessors(x, y, length, cost)
     free, out = [True] * len(score), []
@@ -132,17 +172,40 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _points(x: np.ndarray, y: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of equal shingles of one pair of documents, and which are of matches of whole runs: a match of more words stands for its ends (and
+    a whole run's middle), and inside long runs of matches one word after the other only every eighth stays.
+    """
+    whole = span > BREAK
+    if span.any():
+        far = span > 0
+        x, y, whole = (np.concatenate((v, v[far] + d * span[far], v[span > BREAK] + d * (span[span > BREAK] // 2))) for v, d in ((x, 1), (y, 1), (whole, 0)))
+        order = np.lexsort((-whole, -y, x))
+        x, y, whole = x[order], y[order], whole[order] > 0
+    new = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+    x, y, whole = x[new], y[new], whole[new]
+    if len(x) > 2:
+        next_to = (np.diff(x) == 1) & (np.diff(y) == 1)
+        keep = np.ones(len(x), bool)
+        keep[1:-1] = ~(next_to[:-1] & next_to[1:]) | (x[1:-1] % 8 == 0)
+        x, y, whole = x[keep], y[keep], whole[keep]
+    return x, y, whole
+
+
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains of each pair of documents; rows arrive by (doc_id, other, place), and a pair that may go on in the next batch waits for it."""
+    """Chains of each pair of documents; rows arrive by (doc_id, other, place, at descending), and a pair that may go on in the next batch waits for it."""
 
     def found(b: pa.RecordBatch) -> pa.RecordBatch:
-        doc, other, x, y = (b[c].to_numpy() for c in ("doc_id", "other", "place", "at"))
+        doc, other, x, y, span = (b[c].to_numpy() for c in ("doc_id", "other", "place", "at", "span"))
         cut = np.flatnonzero((doc[1:] != doc[:-1]) | (other[1:] != other[:-1])) + 1
         begin, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(doc)]))
+        many = (end - begin > 1) | (span[begin] > 0)
         rows = []
-        for lo, hi in zip(begin[end - begin > 1], end[end - begin > 1]):
-            keep = lo + np.flatnonzero(np.append(True, x[lo + 1 : hi] != x[lo : hi - 1]))
-            rows += [(doc[lo], other[lo], x[keep][c], y[keep][c]) for c in chains(x[keep], y[keep])]
+        for lo, hi in zip(begin[many], end[many]):
+            u, v, whole = _points(x[lo:hi], y[lo:hi], span[lo:hi])
+            got = chains(u, v)
+            whole[np.concatenate([*got, np.zeros(0, np.int64)])] = False  # what is left of whole runs is aligned on its own
+            rows += [(doc[lo], other[lo], u[c], v[c]) for c in [*got, *np.flatnonzero(whole)[:, None]]]
         types = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["doc_id", "other", "x", "y"])
 
@@ -302,7 +365,9 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = MIN_
 
     One row for each passage: doc_id, first_word and end_word (from 0, the end excluded), others (ids of the earlier documents), first_byte and
     end_byte of what to cut from the UTF-8 text. Seeds are the smallest of each twelve consecutive five-word hashes, so passages share theirs.
-    Each occurrence of a seed is matched with the seed's first occurrence in the corpus, never with all others, so matches are linear in the
+    Each occurrence of a seed, of a run of seeds (three for 50 words) and of ``least_words`` whole words that hold a repeated run of seeds is
+    matched with the first occurrence of the same in the corpus, never with all others. Equal runs of ``least_words`` words share a run of
+    seeds, so none is lost, wherever its seeds occur first (passages with differences meet by seeds and runs of seeds), and matches are linear in the
     text however common a passage is. The matches of two documents are chained and the chains aligned; their longest pieces with ``identity`` equal
     words or more count, and pieces that touch, though their first copies lie in different documents, are one passage where they pass together.
     Where they don't, each that passes is a passage, and two may overlap.
@@ -311,12 +376,24 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = MIN_
     with a null id are left out; rows that repeat an id are one document with several texts, each compared with earlier ids.
     """
     plain = docs.filter("doc_id is not null").select("doc_id", "text")
-    seeded = plain.mapInArrow(_seed_rows(least_words), "seed long, doc_id long, place int")
-    first = seeded.groupBy("seed").agg(F.min(F.struct("doc_id", "place")).alias("f"), F.max("doc_id").alias("last")).filter("f.doc_id <> last")
-    first = scratch.table(first.select("seed", F.col("f.doc_id").alias("other"), F.col("f.place").alias("at")), "first")
-    matches = seeded.join(first, "seed").filter("doc_id <> other").select("doc_id", "place", "other", "at")
+    seeded = plain.mapInArrow(_seed_rows(least_words), "seed long, doc_id long, place int, run long, span int")
+
+    def firsts(rows: DataFrame, key: str) -> DataFrame:
+        """First occurrence of each key that several documents have."""
+        found = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct("doc_id", "place")).alias("f"), F.max("doc_id").alias("last")).filter("f.doc_id <> last")
+        return scratch.table(found.select(key, F.col("f.doc_id").alias("other"), F.col("f.place").alias("at")), f"first-{key}")
+
+    first, first_run = firsts(seeded, "seed"), firsts(seeded, "run")
+    pair = ("doc_id", "place", "other", "at", "span")
+    matches = seeded.join(first, "seed").filter("doc_id <> other").withColumn("span", F.lit(0)).select(*pair)
+    runs = scratch.table(seeded.join(first_run, "run").select(*pair), "runs")
+    held = runs.groupBy("doc_id").agg(F.collect_set(F.struct("place", "span")).alias("held"))  # at most the seeds of one document
+    whole = plain.join(held, "doc_id").select("doc_id", "text", "held").mapInArrow(_whole_runs(least_words), "whole long, doc_id long, place int")
+    whole = scratch.table(whole, "whole")
+    wholes = whole.join(firsts(whole, "whole"), "whole").filter("doc_id <> other").withColumn("span", F.lit(least_words - SHINGLE)).select(*pair)
+    matches = matches.union(runs.filter("doc_id <> other")).union(wholes)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the chaining is heavier than its few bytes suggest
-    matches = matches.repartition(tasks, "doc_id", "other").sortWithinPartitions("doc_id", "other", "place", "at")
+    matches = matches.repartition(tasks, "doc_id", "other").sortWithinPartitions("doc_id", "other", "place", F.desc("at"))
     chained = matches.mapInArrow(_chained, "doc_id long, other long, x array<int>, y array<int>")
     chained = scratch.table(chained, "chained")
     ids = scratch.table(chained.select("doc_id").union(chained.select("other")).distinct(), "ids")

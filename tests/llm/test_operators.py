@@ -261,6 +261,21 @@ def test_passages_beside_gaps(spark):
     assert {i: sorted(v) for i, v in got.items()} == want
 
 
+@pytest.mark.parametrize("other_first", [False, True])
+def test_passages_whose_seeds_are_elsewhere(spark, other_first):
+    """Two documents share 50 words, and every run of 29 to 49 of these (or of 5 to 12) has its first copy in a document of its own."""
+    rows, want = [], set()
+    for k in range(20):
+        shared = _words(50, f"s{k}").split()
+        n = 40 if other_first else 12
+        for j in range(0, 51 - n):
+            rows.append((1000 * k + j, " ".join([_words(60, f"p{k}-{j}"), *shared[j : j + n], _words(60, f"q{k}-{j}")])))
+        rows += [(1000 * k + 100, " ".join([_words(30, f"a{k}"), *shared, _words(30, f"b{k}")])), (1000 * k + 200, " ".join([_words(41, f"c{k}"), *shared, _words(30, f"d{k}")]))]
+        want.add((1000 * k + 200, 41, 91))
+    got = {(r.doc_id, r.first_word, r.end_word): r.others for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), _scratch(spark)).collect()}
+    assert want <= got.keys() and all(i - 100 in got[i, p, q] for i, p, q in want)
+
+
 def test_best_chain():
     x, y = np.array([0, 5, 10, 15, 20, 25]), np.array([100, 105, 3, 110, 115, 500])
     assert best_chain(x, y) == [0, 1, 3, 4]
