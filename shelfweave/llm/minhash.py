@@ -169,10 +169,10 @@ def _across(shared: DataFrame, found: DataFrame, single: DataFrame, sets: DataFr
     classed = scratch.table(classed, "classed")
     mixed = classed.groupBy("band", "key").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b")
     mixed = scratch.table(mixed.select("band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = classed.join(mixed, ["band", "key"]).join(single.select("doc_id", "registers"), "doc_id").join(sets, "doc_id")
+    rows = classed.join(mixed, ["band", "key"]).join(single, "doc_id").join(sets, "doc_id").withColumn("earlier", F.slice("bands", F.lit(1), F.col("band")))
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     rows = (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "doc_id", "class", "registers", "value", "weight"))
+            .select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "doc_id", "class", "earlier", "registers", "value", "weight"))
 
     def links(key, frame):
         import pandas as pd
@@ -181,17 +181,15 @@ def _across(shared: DataFrame, found: DataFrame, single: DataFrame, sets: DataFr
         ids, own = frame["doc_id"].to_numpy(), frame["own"].to_numpy()
         root = pd.factorize(frame["class"])[0]
         sign = np.stack([np.frombuffer(x, np.uint8) for x in frame["registers"]])
+        earlier = np.stack(frame["earlier"].to_list()).reshape(len(ids), -1)
         held = [_set(v, w) for v, w in zip(frame["value"], frame["weight"])]
         out = []
         for i in range(len(ids)):
             j = i + 1 + np.flatnonzero((own[i + 1 :] != own[i]) if key[2] != key[3] else (own[i + 1 :] == own[i]))
             j = j[root[j] != root[i]]
-            same = sign[j] == sign[i]
-            near = same.mean(1) >= threshold - MARGIN
-            j, same = j[near], same[near]
-            # The pair is verified in the first band all of whose registers agree.
-            bands = same[:, : BANDS * ROWS].reshape(len(j), BANDS, ROWS).all(2)
-            for k in j[bands.argmax(1) == key[0]]:
+            j = j[(sign[j] == sign[i]).mean(1) >= threshold - MARGIN]
+            # The pair is verified in the first band whose key it shares; registers may agree by chance where the keys differ.
+            for k in j[~(earlier[j] == earlier[i]).any(1)]:
                 if root[k] != root[i] and likeness(held[i], held[k]) >= threshold:
                     out.append((ids[k], ids[i]))
                     root[root == root[k]] = root[i]

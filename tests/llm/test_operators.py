@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfweave.llm import licences as licence_parts
+from shelfweave.llm import minhash as minhash_parts
 from shelfweave.llm.embeddings import near_vectors
 from shelfweave.llm.fingerprints import fingerprints
 from shelfweave.llm.languages import languages
@@ -180,6 +181,44 @@ def test_near_duplicates(spark, odd):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 4, 6, 7, 9, 10, 11, 12] and kept.columns == odd.columns
 
 
+def test_across_goes_by_band_keys(spark):
+    """Registers of band 0 agree in their bytes, its keys don't: the pair is verified in band 3, the first it shares, and there only."""
+    shared = spark.createDataFrame([(b, k, i) for i in (1, 2) for b, k in ((3, 33), (4, 44))], "band int, key long, doc_id long")
+    found = spark.createDataFrame([], "node long, component long")
+    single = spark.createDataFrame([(i, [i * 10 + b if b not in (3, 4) else b * 11 for b in range(25)], bytearray(125)) for i in (1, 2)], "doc_id long, bands array<long>, registers binary")
+    sets = spark.createDataFrame([(i, bytearray(np.arange(40, dtype="<u4").tobytes()), bytearray()) for i in (1, 2)], "doc_id long, value binary, weight binary")
+    assert [tuple(r) for r in minhash_parts._across(shared, found, single, sets, _scratch(spark), 0.8).collect()] == [(2, 1)]
+
+
+def test_near_duplicates_are_brute_force(spark):
+    """1,200 variants of three template texts, more than a block in mixed buckets, against all pairs."""
+    random = np.random.default_rng(5)
+    texts = []
+    for k in range(1200):
+        w = _words(130, f"t{k % 3}").split()
+        for p in random.choice(130, int(random.integers(1, 5)), replace=False):
+            w[p] = f"own{k}x{p}"
+        texts.append(w)
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in texts]
+    number = {}
+    cells = np.zeros((len(sets), len({g for s in sets for g in s})), np.float32)
+    for i, s in enumerate(sets):
+        cells[i, [number.setdefault(g, len(number)) for g in s]] = 1
+    common = cells @ cells.T
+    size = cells.sum(1)
+    linked = common / (size[:, None] + size[None, :] - common) >= 0.8
+    want = list(range(len(sets)))
+    for i in range(len(sets)):
+        todo = [i] if want[i] == i else []
+        while todo:
+            for j in np.flatnonzero(linked[todo.pop()]):
+                if j > i and want[j] == j:
+                    want[j] = i
+                    todo.append(j)
+    got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string"), _scratch(spark)).collect()}
+    assert got == dict(enumerate(want)) and len(set(want)) > 3
+
+
 def test_likeness():
     random = np.random.default_rng(3)
     for _ in range(20):
