@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .bpe import encoding_digests
 from .mixing import mixture
 from .packing import packed
 from .embeddings import near_vectors
@@ -14,7 +15,7 @@ from .licences import licences
 from .minhash import near_duplicates
 from .passages import repeated_passages
 from .quality import quality_scores
-from .scratch import Scratch
+from .scratch import Scratch, reachable
 from .suffixes import repeated_bytes
 
 
@@ -63,8 +64,14 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
+    return encoding_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_suffixes": op1_suffixes, "op2_fingerprints": op2_fingerprints, "op3_mixing": op3_mixing, "op4_packing": op4_packing, "op5_embeddings": op5_embeddings, "op6_quality": op6_quality,
     "op7_minhash": op7_minhash, "op8_licences": op8_licences, "op9_language": op9_language, "op10_passages": op10_passages,
+    "op13_bpe": op13_bpe,
 }
 ORACLE: dict[str, str] = {}

@@ -12,6 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 FALLBACK = "/tmp/shelfweave-checkpoints"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Python workers of a session that was started elsewhere find this package where the driver has it."""
+    here, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH", "")]))
+
+
 class Scratch:
     """A folder of its own for one run of an operator, below ``spark.checkpoint.dir``.
 
@@ -25,10 +32,7 @@ class Scratch:
         self.folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.latest: dict[str, str] = {}
         self._fs().deleteOnExit(self._path(self.folder))
-        # Python workers of a session that was started elsewhere find this package where the driver has it.
-        here, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-        if here not in env.get("PYTHONPATH", "").split(os.pathsep):
-            env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH", "")]))
+        reachable(spark)
 
     def _path(self, at: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(at)

@@ -44,8 +44,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column, null as empty, and where each row begins and ends in them."""
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    """All bytes of a string or binary column, null as empty, and where each row begins and ends in them."""
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column, b"" if binary else "").cast(pa.large_binary() if binary else pa.large_string())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
@@ -102,7 +103,7 @@ def shingles(w: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.nda
     left = (number[w.doc] if n else place) - place
     begins = (left >= k) | ((place == 0) & (left < k))
     value = np.zeros(n, np.uint64)
-    for j in range(k):
+    for j in range(min(k, n)):
         c = np.uint64(((2 * j + 1) * 0xD1342543DE82EF95) & ((1 << 64) - 1))
         there = left > j
         value[: n - j] += np.where(there[: n - j], w.hash[j:] * c, np.uint64(0))
