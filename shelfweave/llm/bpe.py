@@ -22,7 +22,7 @@ from .text import parts, text_bytes
 #: Fixed value: the pattern that cuts text into pieces before merges (byte-level vocabularies of this family).
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = np.int32(np.iinfo(np.int32).max)
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 SLICE = 2 << 20
 
 _encoders: dict[tuple[str, bool], "ByteBpe"] = {}
@@ -166,7 +166,7 @@ class ByteBpe:
         from tokenizers import pre_tokenizers
 
         self.vocabulary = Vocabulary(path)
-        self.automaton = Automaton(self.vocabulary)
+        self._automaton: Automaton | None = None
         self._pieces = regex.compile(PIECES)
         names = sorted(self.vocabulary.specials, key=len, reverse=True) if specials else []
         self._special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -184,6 +184,13 @@ class ByteBpe:
             _encoders[path, specials] = cls(path, specials)
         return _encoders[path, specials]
 
+    @property
+    def automaton(self) -> Automaton:
+        """Built when first asked for: decoding does without."""
+        if self._automaton is None:
+            self._automaton = Automaton(self.vocabulary)
+        return self._automaton
+
     def _reset(self) -> None:
         names = self.vocabulary.specials
         self._known: dict[str, int] = {name: k for k, name in enumerate(names)}
@@ -283,10 +290,17 @@ class ByteBpe:
         return self._raw[np.repeat(self._raw_at[ids] - end[:-1], each) + np.arange(end[-1])], end
 
 
-def encoded(docs: DataFrame, tokenizer: str, specials: bool = True) -> DataFrame:
+def _texts(bpe: ByteBpe, ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    raw, begin = bpe.token_bytes(ids)
+    whole, end = raw.tobytes(), begin[at]
+    return pa.array([whole[x:y].decode("utf-8", "replace") for x, y in zip(end[:-1], end[1:])], pa.string())
+
+
+def encoded(docs: DataFrame, tokenizer: str, specials: bool = True, back: bool = False) -> DataFrame:
     """doc_id and ids of each row's whole text; ``ids`` is a binary of little-endian unsigned 32-bit integers.
 
-    With ``specials`` the strings of the file's special tokens become their ids, else they are plain text. A null or empty text has no ids.
+    With ``specials`` the strings of the file's special tokens become their ids, else they are plain text. With ``back`` the text that the
+    ids decode to comes as ``text``, as of ``decoded`` but in the same pass. A null or empty text has no ids.
     Null, tied and repeated doc_ids are rows like others, an empty table gives no rows, other columns are ignored. There is no shuffle; a task
     holds one Arrow batch, and of it works on about ``SLICE`` bytes of text (one text at least) at a time.
     """
@@ -298,9 +312,10 @@ def encoded(docs: DataFrame, tokenizer: str, specials: bool = True) -> DataFrame
                 ids, at = bpe.encode([t or "" for t in b["text"].slice(lo, hi - lo).to_pylist()])
                 packed = ids.astype("<u4").tobytes()
                 rows = pa.array([packed[4 * x : 4 * y] for x, y in zip(at[:-1], at[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(lo, hi - lo), rows], names=["doc_id", "ids"])
+                out = {"doc_id": b["doc_id"].slice(lo, hi - lo), "ids": rows} | ({"text": _texts(bpe, ids, at)} if back else {})
+                yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(apply, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(apply, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary" + (", text string" if back else ""))
 
 
 def decoded(rows: DataFrame, tokenizer: str) -> DataFrame:
@@ -310,15 +325,13 @@ def decoded(rows: DataFrame, tokenizer: str) -> DataFrame:
         bpe = ByteBpe.of(tokenizer)
         for b in batches:
             for lo, hi, data, at in parts(b["ids"], SLICE):
-                raw, begin = bpe.token_bytes(np.frombuffer(data.tobytes(), "<u4").astype(np.int64))
-                whole, end = raw.tobytes(), begin[at // 4]
-                text = [whole[x:y].decode("utf-8", "replace") for x, y in zip(end[:-1], end[1:])]
-                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(lo, hi - lo), b["ids"].slice(lo, hi - lo), pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
+                ids = np.frombuffer(data.tobytes(), "<u4").astype(np.int64)
+                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(lo, hi - lo), b["ids"].slice(lo, hi - lo), _texts(bpe, ids, at // 4)], names=["doc_id", "ids", "text"])
 
     return rows.select("doc_id", "ids").mapInArrow(apply, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, text string")
 
 
 def encoding_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of ``encoded`` and ``decoded``."""
-    both = decoded(encoded(docs, tokenizer), tokenizer)
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of the ids and of the text they decode to."""
+    both = encoded(docs, tokenizer, back=True)
     return both.select("doc_id", F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
