@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -159,8 +159,39 @@ class Automaton:
         self.shorter[ids] = self.longest[fail[at]]
 
 
+class Known:
+    """Ids of the pieces that a worker met, each worked out once by ``solve`` (pieces: ids in a row, number of each). Emptied when full."""
+
+    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], fixed: dict[str, int]):
+        self._solve, self._fixed = solve, fixed
+        self._reset()
+
+    def _reset(self) -> None:
+        self._row = {piece: k for k, piece in enumerate(self._fixed)}
+        self._flat = np.array(list(self._fixed.values()), np.int32)
+        self._at = np.arange(len(self._fixed) + 1)
+
+    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``pieces`` and where each piece begins in them."""
+        coded = pc.dictionary_encode(pa.array(pieces, pa.large_string()))
+        names = coded.dictionary.to_pylist()
+        if len(self._row) > CACHE_PIECES or len(self._flat) > 8 * CACHE_PIECES:
+            self._reset()
+        new = [p for p in names if p not in self._row]
+        if new:
+            ids, count = self._solve(new)
+            first = len(self._at) - 1
+            self._row.update(zip(new, range(first, first + len(new))))
+            self._flat = np.concatenate((self._flat, ids.astype(np.int32)))
+            self._at = np.concatenate((self._at, self._at[-1] + np.cumsum(count)))
+        row = np.fromiter((self._row[p] for p in names), np.int64, len(names))[coded.indices.to_numpy()]
+        begin, each = self._at[row], self._at[row + 1] - self._at[row]
+        end = np.concatenate(([0], np.cumsum(each)))
+        return self._flat[np.repeat(begin - end[:-1], each) + np.arange(end[-1])], end
+
+
 class ByteBpe:
-    """Encoder and decoder of one vocabulary file; a worker keeps the ids of the pieces it met."""
+    """Encoder and decoder of one vocabulary file."""
 
     def __init__(self, path: str, specials: bool = True):
         from tokenizers import pre_tokenizers
@@ -174,7 +205,7 @@ class ByteBpe:
         self._class: dict[int, int | None] = {}  # code point: one of the class that the vocabulary's library puts it in, where ours differs
         self._raw = np.frombuffer(b"".join(self.vocabulary.bytes), np.uint8)
         self._raw_at = np.concatenate(([0], np.cumsum(self.vocabulary.length)))[:-1]
-        self._reset()
+        self._known = Known(self.distinct, self.vocabulary.specials)
 
     @classmethod
     def of(cls, path: str, specials: bool = True) -> "ByteBpe":
@@ -191,12 +222,6 @@ class ByteBpe:
             self._automaton = Automaton(self.vocabulary)
         return self._automaton
 
-    def _reset(self) -> None:
-        names = self.vocabulary.specials
-        self._known: dict[str, int] = {name: k for k, name in enumerate(names)}
-        self._flat = np.array(list(names.values()), np.int32)
-        self._at = np.arange(len(names) + 1)
-
     def _classify(self, c: int) -> int | None:
         """Libraries know different versions of Unicode: a stand-in for a code point that ours would class otherwise."""
         ch = chr(c)
@@ -268,20 +293,8 @@ class ByteBpe:
         for k, text in enumerate(texts):
             pieces += self.cut(text)
             number[k + 1] = len(pieces)
-        coded = pc.dictionary_encode(pa.array(pieces, pa.large_string()))
-        names = coded.dictionary.to_pylist()
-        if len(self._known) > CACHE_PIECES:
-            self._reset()
-        new = [p for p in names if p not in self._known]
-        if new:
-            ids, count = self.distinct(new)
-            self._known.update(zip(new, range(len(self._at) - 1, len(self._at) - 1 + len(new))))
-            self._flat = np.concatenate((self._flat, ids))
-            self._at = np.concatenate((self._at, self._at[-1] + np.cumsum(count)))
-        row = np.fromiter((self._known[p] for p in names), np.int64, len(names))[coded.indices.to_numpy()]
-        begin, each = self._at[row], self._at[row + 1] - self._at[row]
-        end = np.concatenate(([0], np.cumsum(each)))
-        return self._flat[np.repeat(begin - end[:-1], each) + np.arange(end[-1])], end[number]
+        ids, at = self._known.ids(pieces)
+        return ids, at[number]
 
     def token_bytes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all ids, one after the other, and where each id begins in them."""

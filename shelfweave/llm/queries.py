@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .alignment import alignment_digests
 from .bpe import encoding_digests
 from .mixing import mixture
 from .packing import packed
@@ -64,6 +65,11 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_digests(_table(spark, sf_dir, "documents"), a, b, Scratch(spark, "op12"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     reachable(spark)
     return encoding_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -72,6 +78,6 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffixes": op1_suffixes, "op2_fingerprints": op2_fingerprints, "op3_mixing": op3_mixing, "op4_packing": op4_packing, "op5_embeddings": op5_embeddings, "op6_quality": op6_quality,
     "op7_minhash": op7_minhash, "op8_licences": op8_licences, "op9_language": op9_language, "op10_passages": op10_passages,
-    "op13_bpe": op13_bpe,
+    "op12_alignment": op12_alignment, "op13_bpe": op13_bpe,
 }
 ORACLE: dict[str, str] = {}

@@ -4,14 +4,19 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from shelfweave.llm import alignment as alignment_parts
+from shelfweave.llm.alignment import aligned, alignment_digests, pack_postings, unpack_postings
 from shelfweave.llm.bpe import ByteBpe, decoded, encoded, encoding_digests
+from shelfweave.llm.scratch import Scratch
 from shelfweave.llm.text import shingles, words
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE = public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, ids string, n long, word string, digest string"
 LONG = " ".join(hashlib.md5(str(i).encode()).hexdigest()[: 2 + i % 9] for i in range(20000))
 ODD = [(1, "Hello  world's 42 tests"), (2, "Hello  world's 42 tests"), (2, "other text"), (3, None), (4, ""), (None, "null id"), (None, None), (5, LONG), (6, "x<|endoftext|> y<|endoftext|>"), (7, " \n\t "),
@@ -84,6 +89,71 @@ def test_ids_decode_without_the_text(spark):
     assert got == {1: (v.bytes[50176] + b"<|endoftext|>").decode("utf-8", "replace"), 2: "", 3: v.bytes[127].decode("utf-8", "replace")}
 
 
+def _plain_alignment(rows):
+    """Token by token, with sets of documents for the counts."""
+    import sentencepiece
+
+    v, model = ByteBpe.of(BPE).vocabulary, sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    library, found, holds = _library(False), [], {}
+    for row, (doc_id, text) in enumerate(rows):
+        a = library.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = model.encode(text) if text else []
+        b_bytes = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("\u2581", " ").encode() for i in b]
+        if text and b"".join(b_bytes) != (" " + text).encode():
+            a, b, b_bytes = [], [], []
+        i = j = x = y = 0
+        links, groups, now_a, now_b = [], [], [], []
+        while i < len(a):
+            links.append((a[i], b[j]))
+            end_a, end_b = x + len(v.bytes[a[i]]), y + len(b_bytes[j])
+            if end_a <= end_b:
+                now_a.append(a[i])
+                i, x = i + 1, end_a
+            if end_b <= end_a:
+                now_b.append(b[j])
+                j, y = j + 1, end_b
+            if end_a == end_b:
+                groups.append(",".join(map(str, now_a)) + "|" + ",".join(map(str, now_b)))
+                now_a, now_b = [], []
+        for pair in set(links):
+            holds.setdefault(pair, set()).add(row)
+        written = ";".join(groups)
+        found.append((doc_id, len(a), len(b), len(groups), links, hashlib.sha256(written.encode()).hexdigest() if written else ""))
+    best = {}
+    for (x, y), docs in holds.items():
+        best[x] = max(best.get(x, 0), len(docs))
+    out = [(i, na, nb, g, len(links), sum(len(holds[p]) == best[p[0]] for p in links), sum(len(holds[p]) for p in links), sha) for i, na, nb, g, links, sha in found]
+    return sorted(out, key=str), {p: len(d) for p, d in holds.items()}
+
+
+def test_alignment_of_documents_and_odd_rows(spark, odd, none, docs, monkeypatch):
+    strange = spark.createDataFrame(list(enumerate(_strange(300))), "doc_id long, text string").repartition(4)
+    for table, postings in ((odd, 500), (none, 500), (strange, 100), (docs, 4 << 20)):
+        monkeypatch.setattr(alignment_parts, "BLOCK_POSTINGS", postings)
+        rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
+        want, holds = _plain_alignment(rows)
+        assert sorted(map(tuple, alignment_digests(table, BPE, PIECE, Scratch(spark, "t")).collect()), key=str) == want
+        _, pairs = aligned(table, BPE, PIECE, Scratch(spark, "t"))
+        assert {(r["a"], r["b"]): r["pair_docs"] for r in pairs.collect()} == holds
+        assert sum(r["links"] for r in pairs.collect()) == sum(w[4] for w in want)
+
+
+def test_written_groups_come_whole(spark):
+    rows = spark.createDataFrame([(1, "unhappily wandering"), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["groups"], r["groups_sha256"]) for r in aligned(rows, BPE, PIECE, Scratch(spark, "t"), keep_groups=True)[0].collect()}
+    assert got[2] == ("", "") and hashlib.sha256(got[1][0].encode()).hexdigest() == got[1][1]
+
+
+def test_postings_of_dense_pairs_and_high_numbers():
+    pick = np.random.default_rng(3)
+    key = np.concatenate([(p << 16) + np.sort(pick.choice(1 << 16, n, False)) for p, n in ((5, 1), (9, 4096), (11, 4097), (12, 65536), (70000, 9))])
+    number = np.where(pick.random(len(key)) < 0.1, pick.integers(1, 5000, len(key)), 1)
+    pair, count, links, docs, planes = pack_postings(key, number)
+    row, low, times = unpack_postings(count, pa.array(docs, pa.binary()), pa.array(planes, pa.binary()))
+    assert ((pair[row] << 16) + low == key).all() and (times == number).all() and links.sum() == number.sum()
+    assert max(map(len, docs)) == 8192
+
+
 def test_shingles_of_few_words():
     for n in range(7):
         data = " ".join("abcdefg"[:n]).encode()
