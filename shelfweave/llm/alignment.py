@@ -1,7 +1,7 @@
 """Aligning the tokens of two tokenizers: which ids cover the same bytes, in how many documents and how often.
 
 Documents are numbered in blocks. Each pair of ids has one compressed bitmap of documents a block (sorted 16-bit numbers, or a bitset where
-that is smaller), the OR of what the slices of the block hold, and bit planes of how often a document holds the pair beyond once. Population
+that is smaller, as long as its highest number asks), the OR of what the slices of the block hold, and bit planes of how often a document holds the pair beyond once. Population
 counts of bitmaps and planes, added over the blocks, are the document and link counts of a pair; its postings carry them back to the documents.
 """
 
@@ -21,11 +21,11 @@ from .scratch import Scratch
 from .text import parts, text_bytes
 
 BLOCK = 1 << 16  # documents of a block at most: their numbers are 16-bit
-SPARSE = 4096  # up to so many documents numbers are smaller than a bitset
 BLOCK_POSTINGS = 4 << 20  # a block ends beyond, which bounds the memory of a task
 SLICE = 2 << 20
 
 _pieces: dict[str, "PieceBpe"] = {}
+_numbers: list[np.ndarray] = []
 
 
 class PieceBpe:
@@ -52,10 +52,15 @@ class PieceBpe:
         return _pieces[path]
 
     def _solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words, each with the blanks before it, of which the model adds one itself; -1 where their bytes are not the word's."""
-        coded = self._model.encode([w[1:] for w in words], num_threads=1)
-        coded = [[self._blank] if w == " " else ids for w, ids in zip(words, coded)]
-        coded = [ids if b"".join(self.bytes[i] for i in ids) == w.encode() else [-1] for w, ids in zip(words, coded)]
+        """Ids of words, without the one blank before them that the model adds itself; -1 where their bytes are not the word's."""
+        coded = self._model.encode(words, num_threads=1)
+        coded = [ids or [self._blank] for ids in coded]
+        flat, count = np.fromiter((i for ids in coded for i in ids), np.int32), np.fromiter(map(len, coded), np.int64, len(coded))
+        raw = [b" " + w.encode() for w in words]
+        row = np.repeat(np.arange(len(words)), count)
+        if (np.bincount(row, self.length[flat], len(words)) == np.fromiter(map(len, raw), np.int64, len(raw))).all() and b"".join(self.bytes[i] for i in flat.tolist()) == b"".join(raw):
+            return flat, count
+        coded = [ids if b"".join(self.bytes[i] for i in ids) == w else [-1] for w, ids in zip(raw, coded)]
         return np.fromiter((i for ids in coded for i in ids), np.int32), np.fromiter(map(len, coded), np.int64, len(coded))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,12 +68,21 @@ class PieceBpe:
         words: list[str] = []
         number = np.zeros(len(texts) + 1, np.int64)
         for k, text in enumerate(texts):
-            words += self._words.findall(text)
+            words += text.split(" ")[1:] if "  " not in text else [w[1:] for w in self._words.findall(text)]
             number[k + 1] = len(words)
         ids, at = self._known.ids(words)
         return ids, at[number]
 
 
+def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of all numbers up to ``most`` (at least; one byte is left free) and how many each has."""
+    if not _numbers or len(_numbers[1]) <= most:
+        names = [str(i).encode() for i in range(max(most + 1, 1 << 16))]
+        width = len(names[-1]) + 1
+        _numbers[:] = np.frombuffer(b"".join(n.ljust(width) for n in names), np.uint8).reshape(-1, width), np.fromiter(map(len, names), np.int64, len(names))
+    return _numbers[0], _numbers[1]
+
+
 def _written(ids_a: np.ndarray, group_a: np.ndarray, ids_b: np.ndarray, group_b: np.ndarray, groups: int, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Groups as `a1,a2|b1;a3|b2,b3`, in one row of bytes, and where each group begins; groups of ``last`` end their document."""
     before_a = np.concatenate(([0], np.cumsum(np.bincount(group_a, minlength=groups))))
@@ -79,18 +93,12 @@ def _written(ids_a: np.ndarray, group_a: np.ndarray, ids_b: np.ndarray, group_b:
     ends = (before_a + before_b)[1:] - 1
     mark[ends - np.diff(before_b)] = ord("|")
     mark[ends] = np.where(last, 0, ord(";"))
-    width = max(1, len(str(int(ids.max())) if len(ids) else "0"))
-    digits = np.zeros((len(ids), width + 1), np.uint8)
-    size = np.ones(len(ids), np.int64)
-    for k in range(1, width):
-        size += ids >= 10**k
-    for k in range(width):
-        there = size > k
-        digits[there, k] = ids[there] // 10 ** (size[there] - 1 - k) % 10 + 48
-    digits[np.arange(len(ids)), size] = mark
-    size += mark > 0
+    table, length = _digits(int(ids.max()) if len(ids) else 0)
+    written, size = table[ids], length[ids]
+    written[np.arange(len(ids)), size] = mark
+    size = size + (mark > 0)
     end = np.concatenate(([0], np.cumsum(size)))
-    return digits[np.arange(width + 1) < size[:, None]], end[before_a + before_b]
+    return written[np.arange(table.shape[1]) < size[:, None]], end[before_a + before_b]
 
 
 def _slice(a: ByteBpe, b: PieceBpe, texts: list[str]) -> tuple[dict[str, np.ndarray], list[bytes], np.ndarray, np.ndarray]:
@@ -131,7 +139,7 @@ def _slice(a: ByteBpe, b: PieceBpe, texts: list[str]) -> tuple[dict[str, np.ndar
 def pack_postings(key: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, ...]:
     """Pairs with their bitmaps and planes, of sorted distinct keys (pair above 16 bits of document) and how often each holds.
 
-    Returns pair, documents, links (long) and lists ``docs`` (a bitmap: 16-bit numbers, or a bitset above ``SPARSE`` documents) and ``planes``
+    Returns pair, documents, links (long) and lists ``docs`` (a bitmap: 16-bit numbers, or a bitset where that has fewer bytes) and ``planes``
     (bits of the number less one, lowest plane first, in the order of the documents).
     """
     pair = key >> 16
@@ -142,10 +150,10 @@ def pack_postings(key: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, ...]
     most = np.maximum.reduceat(more, at) if len(at) else more[:0]
     raw, docs, planes = low.tobytes(), [], []
     for begin, n, top in zip(at.tolist(), count.tolist(), most.tolist()):
-        if n <= SPARSE:
+        if 2 * n <= (highest := int(low[begin + n - 1])) // 8 + 1:
             docs.append(raw[2 * begin : 2 * (begin + n)])
         else:
-            bits = np.zeros(BLOCK, np.uint8)
+            bits = np.zeros(highest + 1, np.uint8)
             bits[low[begin : begin + n]] = 1
             docs.append(np.packbits(bits, bitorder="little").tobytes())
         some = more[begin : begin + n] if top else None
@@ -159,7 +167,7 @@ def unpack_postings(count: np.ndarray, docs: pa.Array, planes: pa.Array) -> tupl
     bits, bit_at = text_bytes(planes)
     end = np.concatenate(([0], np.cumsum(count)))
     row = np.repeat(np.arange(len(count)), count)
-    low, sparse = np.zeros(end[-1], np.int64), count <= SPARSE
+    low, sparse = np.zeros(end[-1], np.int64), np.diff(at) == 2 * count
     low[sparse[row]] = data[np.repeat(sparse, np.diff(at))].view("<u2")
     for r in np.flatnonzero(~sparse):
         low[end[r] : end[r + 1]] = np.flatnonzero(np.unpackbits(data[at[r] : at[r + 1]], bitorder="little"))
@@ -215,8 +223,8 @@ def _blocks(a_path: str, b_path: str, keep_groups: bool):
 
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds what the postings of a block, which come one after the other, bring to its documents."""
-    now, total = None, np.zeros((3, BLOCK), np.int64)
+    """Adds what the postings of a block bring to its documents. The scores of its pairs come first, then the postings."""
+    now, total, known = None, np.zeros((3, BLOCK), np.int64), []
 
     def scored() -> pa.RecordBatch:
         low = np.flatnonzero(total[0])
@@ -228,14 +236,27 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y in zip(cut[:-1].tolist(), cut[1:].tolist()):
             if now is not None and block[x] != now:
                 yield scored()
+            if block[x] != now:
+                now, known, ordered = block[x], [], False
                 total[:] = 0
-            now = block[x]
             some = batch.slice(x, y - x)
-            row, low, number = unpack_postings(some["n"].to_numpy(), some["docs"], some["planes"])
-            count, best = some["pair_docs"].to_numpy()[row], some["best"].to_numpy(zero_copy_only=False)[row]
-            total[0] += np.bincount(low, number, BLOCK).astype(np.int64)
-            total[1] += np.bincount(low, number * best, BLOCK).astype(np.int64)
-            np.add.at(total[2], low, number * count)
+            scores = some["n"].is_null().to_numpy(zero_copy_only=False)
+            ahead = int(scores.sum())
+            if ahead:
+                some, rest = some.slice(0, ahead), some.slice(ahead)
+                known.append((some["pair"].to_numpy(), some["pair_docs"].to_numpy(), some["best"].to_numpy(zero_copy_only=False).astype(bool)))
+                some = rest
+            if len(some):
+                if len(known) > 1 or not ordered:
+                    pair, docs_of, best_of = (np.concatenate(k) for k in zip(*known))
+                    order = np.argsort(pair)
+                    known, ordered = [(pair[order], docs_of[order], best_of[order])], True
+                row, low, number = unpack_postings(some["n"].to_numpy(), some["docs"], some["planes"])
+                at = np.searchsorted(known[0][0], some["pair"].to_numpy())
+                count, best = known[0][1][at][row], known[0][2][at][row]
+                total[0] += np.bincount(low, number, BLOCK).astype(np.int64)
+                total[1] += np.bincount(low, number * best, BLOCK).astype(np.int64)
+                np.add.at(total[2], low, number * count)
     if now is not None:
         yield scored()
 
@@ -249,7 +270,8 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, scratch: Scratch, keep_gr
     A is applied to a blank and the text, B to the text; special tokens are plain text. A null or empty text, or one that B does not keep byte
     by byte, has no tokens: zeros and an empty digest. Every row is a document, with null and repeated ids too; an empty table gives no rows;
     other columns are ignored. Blocks are bounded in documents and postings; a pair of every document has one row of at most a few bitsets a
-    block. Counting reduces in every task; pairs go to the postings in one equi-join, postings to the documents of their block in one shuffle.
+    block. Counting reduces in every task. The scores of pairs go to the blocks that hold them, where the postings, bitmaps and all, meet them in
+    one shuffle; a task holds the pairs of one block and the sums of its documents.
     """
     fields = "block long, low int, doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", groups_sha256 string, " + ("groups string, " if keep_groups else "")
     fields += "a int, b int, n long, links long, docs binary, planes binary"
@@ -260,8 +282,10 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, scratch: Scratch, keep_gr
     counts = scratch.table(counts, "counts")
     most = counts.groupBy(F.col("a").alias("id")).agg(F.max("pair_docs").alias("most"))
     pairs = counts.join(most, F.col("a") == F.col("id")).select("a", "b", "pair_docs", "links", (F.col("pair_docs") == F.col("most")).alias("best"))
-    carried = postings.select("block", "a", "b", "n", "docs", "planes").join(pairs.select("a", "b", "pair_docs", "best"), ["a", "b"])
-    carried = carried.select("block", "n", "docs", "planes", "pair_docs", "best").repartition("block").sortWithinPartitions("block")
+    pair = (F.shiftleft(F.col("a").cast("long"), 24) + F.col("b")).alias("pair")
+    scored = postings.select("block", "a", "b").join(pairs, ["a", "b"]).select("block", pair, "pair_docs", "best")
+    carried = scored.unionByName(postings.select("block", pair, "n", "docs", "planes"), allowMissingColumns=True)
+    carried = carried.repartition("block").sortWithinPartitions("block", F.col("n").isNotNull())
     scores = carried.mapInArrow(_scores, "block long, low int, n_best long, count_sum long")
     own = rows.filter("low is not null").select("block", "low", "doc_id", *COUNTS, "groups_sha256", *(["groups"] if keep_groups else []))
     zero = {"n_best": 0, "count_sum": 0}

@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -173,18 +172,18 @@ class Known:
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``pieces`` and where each piece begins in them."""
-        coded = pc.dictionary_encode(pa.array(pieces, pa.large_string()))
-        names = coded.dictionary.to_pylist()
         if len(self._row) > CACHE_PIECES or len(self._flat) > 8 * CACHE_PIECES:
             self._reset()
-        new = [p for p in names if p not in self._row]
+        rows = list(map(self._row.get, pieces))
+        new = list(dict.fromkeys(p for p, r in zip(pieces, rows) if r is None))
         if new:
             ids, count = self._solve(new)
             first = len(self._at) - 1
             self._row.update(zip(new, range(first, first + len(new))))
             self._flat = np.concatenate((self._flat, ids.astype(np.int32)))
             self._at = np.concatenate((self._at, self._at[-1] + np.cumsum(count)))
-        row = np.fromiter((self._row[p] for p in names), np.int64, len(names))[coded.indices.to_numpy()]
+            rows = [self._row[p] if r is None else r for p, r in zip(pieces, rows)]
+        row = np.array(rows, np.int64)
         begin, each = self._at[row], self._at[row + 1] - self._at[row]
         end = np.concatenate(([0], np.cumsum(each)))
         return self._flat[np.repeat(begin - end[:-1], each) + np.arange(end[-1])], end
