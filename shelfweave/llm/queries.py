@@ -17,6 +17,7 @@ from .minhash import near_duplicates
 from .passages import repeated_passages
 from .quality import quality_scores
 from .scratch import Scratch, reachable
+from .spelling import spelling_variants
 from .suffixes import repeated_bytes
 
 
@@ -65,6 +66,10 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment_digests(_table(spark, sf_dir, "documents"), a, b, Scratch(spark, "op12"))
@@ -78,6 +83,6 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffixes": op1_suffixes, "op2_fingerprints": op2_fingerprints, "op3_mixing": op3_mixing, "op4_packing": op4_packing, "op5_embeddings": op5_embeddings, "op6_quality": op6_quality,
     "op7_minhash": op7_minhash, "op8_licences": op8_licences, "op9_language": op9_language, "op10_passages": op10_passages,
-    "op12_alignment": op12_alignment, "op13_bpe": op13_bpe,
+    "op11_spelling": op11_spelling, "op12_alignment": op12_alignment, "op13_bpe": op13_bpe,
 }
 ORACLE: dict[str, str] = {}
