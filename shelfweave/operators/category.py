@@ -82,24 +82,33 @@ def product_counts(category_product: DataFrame) -> DataFrame:
     )
 
 
+def shop_product_counts(category_product: DataFrame, product_shop: DataFrame) -> DataFrame:
+    """Distinct products per (category, shop) that are active there."""
+    shown = product_shop.filter("active").select("id_product", "id_shop")
+    return category_product.select("id_category", "id_product").distinct().join(shown, "id_product").groupBy("id_category", "id_shop").agg(
+        F.count(F.lit(1)).alias("product_count")
+    )
+
+
 def filters_of(meta_keywords: Column) -> Column:
     """Facet names a category lists in its keywords."""
     return split_trim(meta_keywords)
 
 
-def category_documents(category: DataFrame, category_lang: DataFrame, category_product: DataFrame, shops: DataFrame) -> DataFrame:
-    """One document per (active category, language, shop) without its nested children."""
-    per_category = (
-        category.filter("active").join(id_paths(category), "id_category")
-        .join(children(category), "id_category", "left")
-        .join(product_counts(category_product), "id_category", "left")
-    )
+def category_documents(category: DataFrame, category_lang: DataFrame, category_product: DataFrame, product_shop: DataFrame, shops: DataFrame, nested: bool = True) -> DataFrame:
+    """One document per (active category, language, shop), with the whole documents of its active children inside, theirs in them and so on.
+
+    ``children_data`` is an array of VARIANT values, as its depth is that of the tree and no schema's. Without ``nested`` it is left out.
+    """
+    per_category = category.filter("active").join(id_paths(category), "id_category").join(children(category), "id_category", "left")
     rows = spread(per_category.join(category_lang, "id_category"), shops.select("id_shop"))
-    return rows.select(
+    rows = rows.join(shop_product_counts(category_product, product_shop), ["id_category", "id_shop"], "left")
+    flat = rows.select(
         F.col("id_category").alias("id"), F.col("id_lang").alias("elastic_id_lang"), F.col("id_shop").alias("elastic_id_shop"),
-        F.lit("category").alias("elastic_type"), F.col("id_parent").cast("int").alias("parent_id"), "name",
+        F.lit("category").alias("elastic_type"), F.col("id_parent").cast("int").alias("parent_id"), "name", "position",
         F.col("level_depth").cast("int").alias("level"),
-        F.coalesce("product_count", F.lit(0).cast("bigint")).alias("product_count"), "path", F.lit(1).alias("include_in_menu"),
+        F.coalesce("product_count", F.lit(0).cast("bigint")).alias("product_count"),
+        F.col("date_add").alias("created_at"), F.col("date_upd").alias("updated_at"), "path", F.lit(1).alias("include_in_menu"),
         F.col("active").alias("is_active"), F.col("link_rewrite").alias("url_key"), F.col("link_rewrite").alias("slug"),
         F.col("link_rewrite").alias("url_path"), F.col("link_rewrite").alias("request_path"),
         F.struct(
@@ -108,6 +117,27 @@ def category_documents(category: DataFrame, category_lang: DataFrame, category_p
         filters_of(F.col("meta_keywords")).alias("filters"), F.col("name").alias("meta_title"),
         F.coalesce("children", F.lit("")).alias("children"), F.coalesce("children_count", F.lit(0)).alias("children_count"),
     )
+    if not nested:
+        return flat
+    # The depth of the tree is asked of the category table alone; documents are built once a level, from the lowest up.
+    deepest = category.agg(F.max("level_depth")).first()[0] or 0
+    return _with_children(flat, deepest)
+
+
+def _with_children(flat: DataFrame, deepest: int) -> DataFrame:
+    """Documents with those of their children: a level's rows meet what the level below was gathered to, one equi-join a level."""
+    place, out, inside = ["elastic_id_lang", "elastic_id_shop"], None, None
+    for level in range(deepest, -1, -1):
+        here = flat.filter(F.col("level") == level)
+        if inside is None:
+            here = here.withColumn("children_data", F.expr("CAST(array() AS ARRAY<VARIANT>)"))
+        else:
+            here = here.join(inside, ["id", *place], "left").withColumn("children_data", F.coalesce("children_data", F.expr("CAST(array() AS ARRAY<VARIANT>)")))
+        whole = F.to_variant_object(F.struct(*[c for c in here.columns]))
+        kept = F.array_sort(F.collect_list(F.struct("id", whole.alias("doc"))), lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0))
+        inside = here.groupBy(F.col("parent_id").cast("long").alias("_parent"), *place).agg(F.transform(kept, lambda k: k["doc"]).alias("children_data")).withColumnRenamed("_parent", "id")
+        out = here if out is None else out.unionByName(here)
+    return out
 
 
 def _quoted(c: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +33,22 @@ class Attribute:
         return F.col(self.name)
 
 
+@dataclass(frozen=True)
+class Dependency:
+    """Documents that take something from another table: ``links`` gives (source_id, id_entity) pairs of rows of ``source`` and documents."""
+
+    source: str
+    links: Callable[..., DataFrame]
+
+
 @dataclass(frozen=True)
 class Entity:
-    """A document type: its fields, how changes are dated, and optionally its own builder."""
+    """A document type: its fields, how changes are dated, and its hooks.
+
+    ``rows(tables)`` gives the (id_entity, id_shop, id_lang) that should have a document, with ``date_upd`` where changes are dated;
+    ``builder(tables, rows)`` the documents, of the given rows only where rows are given; ``changed(rows, status, **page)`` may replace the choice of what is
+    due, ``counter(tables)`` the totals (id_shop, total). ``depends`` names the tables whose changes reach the documents.
+    """
 
     name: str
     attributes: tuple[Attribute, ...]
@@ -44,6 +57,10 @@ class Entity:
     active_level: str | None = "object"
     dated: bool = True
     builder: Callable[..., DataFrame] | None = field(default=None, compare=False)
+    rows: Callable[..., DataFrame] | None = field(default=None, compare=False)
+    changed: Callable[..., DataFrame] | None = field(default=None, compare=False)
+    counter: Callable[..., DataFrame] | None = field(default=None, compare=False)
+    depends: tuple[Dependency, ...] = field(default=(), compare=False)
 
 
 ENTITIES: dict[str, Entity] = {}
@@ -55,6 +72,28 @@ def register_entity(entity: Entity) -> Entity:
     return entity
 
 
+def attach(name: str, **hooks: object) -> Entity:
+    """Gives a registered document type its hooks."""
+    return register_entity(replace(ENTITIES[name], **hooks))
+
+
+def affected(tables, changes: DataFrame) -> DataFrame:
+    """(entity, id_entity, op, forced): the documents that changes of (entity, id_entity, op) reach.
+
+    The rows that changed themselves, and over every declared dependency the documents that draw on them, as updates that no date tells
+    (``forced``). A document that was itself changed keeps its own operation. Semi-joins on ids; nothing is gathered per source.
+    """
+    out = changes.select("entity", "id_entity", "op", F.lit(False).alias("forced"))
+    for entity in ENTITIES.values():
+        for dependency in entity.depends:
+            source = changes.filter(F.col("entity") == dependency.source).select(F.col("id_entity").alias("source_id"))
+            reached = dependency.links(tables).select("source_id", "id_entity").join(source, "source_id", "left_semi").select("id_entity").distinct()
+            out = out.unionByName(reached.select(F.lit(entity.name).alias("entity"), F.col("id_entity").cast("long").alias("id_entity"), F.lit("upsert").alias("op"), F.lit(True).alias("forced")))
+    # Deletions first, then own changes, then what was only reached.
+    rank = F.when(F.col("op") == "delete", 0).when(F.col("forced"), 2).otherwise(1)
+    return out.groupBy("entity", "id_entity").agg(F.min_by("op", rank).alias("op"), F.bool_or("forced").alias("forced"))
+
+
 def project(rows: DataFrame, entity: Entity, run_at: Column | None = None) -> DataFrame:
     """Envelope columns plus every declared field in one projection; ``updated_at`` falls back to ``run_at``."""
     columns = [

@@ -280,11 +280,12 @@ def _(c):
     coalesce(k.children, '') AS children, coalesce(k.n, 0) AS children_count
     FROM category c JOIN category_lang l ON l.id_category = c.id_category CROSS JOIN shop
     JOIN (SELECT id_category, string_agg(CAST(id_ancestor AS VARCHAR), '/' ORDER BY level_depth) AS path FROM ancestor GROUP BY 1) p ON p.id_category = c.id_category
-    LEFT JOIN (SELECT id_category, count(*) AS n FROM category_product GROUP BY 1) n ON n.id_category = c.id_category
+    LEFT JOIN (SELECT cp.id_category, ps.id_shop, count(*) AS n FROM category_product cp JOIN product_shop ps ON ps.id_product = cp.id_product
+        WHERE ps.active GROUP BY 1, 2) n ON n.id_category = c.id_category AND n.id_shop = shop.id_shop
     LEFT JOIN (SELECT id_parent, string_agg(CAST(id_category AS VARCHAR), ',' ORDER BY id_category) AS children, CAST(count(*) AS INT) AS n FROM category WHERE active GROUP BY 1) k
         ON k.id_parent = c.id_category WHERE c.active""")
 def _(c):
-    docs = C.category_documents(c.category, c.category_lang, c.category_product, c.shop)
+    docs = C.category_documents(c.category, c.category_lang, c.category_product, c.product_shop, c.shop, nested=False)
     return docs.select(
         *_ID, "parent_id", "name", "level", "product_count", "path", "include_in_menu", "is_active", "url_key", "request_path",
         F.col("meta.keywords").alias("keywords"), joined("filters").alias("filters"), "children", "children_count",
@@ -310,6 +311,43 @@ def _(c):
     return C.tree_json(c.category, c.category_lang)
 
 
+def _nested_sql() -> str:
+    """Whole documents inside each other: one step a level, fields in alphabetical order as the text of a VARIANT has them."""
+    fields = {
+        "children": "coalesce(kids, '')", "children_count": "CAST(coalesce(n_kids, 0) AS INT)", "children_data": "inside", "created_at": "strftime(date_add, '%Y-%m-%d')",
+        "elastic_id_lang": "id_lang", "elastic_id_shop": "id_shop", "elastic_type": "'category'", "filters": V.split_trim("meta_keywords"), "id": "id_category",
+        "include_in_menu": "1", "is_active": "active", "level": "level_depth", "meta": "{'description': NULL, 'keywords': meta_keywords, 'title': name}",
+        "meta_title": "name", "name": "name", "parent_id": "id_parent", "path": "path", "position": "position", "product_count": "coalesce(n_products, 0)",
+        "request_path": "link_rewrite", "slug": "link_rewrite", "updated_at": "strftime(date_upd, '%Y-%m-%d')", "url_key": "link_rewrite", "url_path": "link_rewrite",
+    }
+    node = "to_json({" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "})"
+    parts = ["""node AS (SELECT c.*, l.id_lang, l.name, l.link_rewrite, l.meta_keywords, shop.id_shop, p.path, n.n AS n_products, k.kids, k.n_kids
+        FROM category c JOIN category_lang l ON l.id_category = c.id_category CROSS JOIN (SELECT id_shop FROM shop) shop
+        JOIN (SELECT id_category, string_agg(CAST(id_ancestor AS VARCHAR), '/' ORDER BY level_depth) AS path FROM ancestor GROUP BY 1) p ON p.id_category = c.id_category
+        LEFT JOIN (SELECT cp.id_category, ps.id_shop, count(*) AS n FROM category_product cp JOIN product_shop ps ON ps.id_product = cp.id_product
+            WHERE ps.active GROUP BY 1, 2) n ON n.id_category = c.id_category AND n.id_shop = shop.id_shop
+        LEFT JOIN (SELECT id_parent AS parent, string_agg(CAST(id_category AS VARCHAR), ',' ORDER BY id_category) AS kids, count(*) AS n_kids FROM category WHERE active GROUP BY 1) k
+            ON k.parent = c.id_category WHERE c.active)""",
+        f"d4 AS (SELECT *, {node} AS doc FROM (SELECT *, CAST([] AS JSON[]) AS inside FROM node WHERE level_depth = 4) x)"]
+    for level in (3, 2, 1, 0):
+        parts.append(f"""d{level} AS (SELECT *, {node} AS doc FROM (SELECT node.*, coalesce(below.inside, CAST([] AS JSON[])) AS inside FROM node LEFT JOIN (
+            SELECT id_parent AS parent, id_lang AS lang_of, id_shop AS shop_of, list(doc ORDER BY id_category) AS inside FROM d{level + 1} GROUP BY 1, 2, 3) below
+            ON parent = node.id_category AND lang_of = node.id_lang AND shop_of = node.id_shop WHERE level_depth = {level}) x)""")
+    union = " UNION ALL ".join(f"""SELECT id_category AS id, id_lang AS elastic_id_lang, id_shop AS elastic_id_shop, position, CAST(date_add AS VARCHAR) AS created_at,
+        CAST(date_upd AS VARCHAR) AS updated_at, CAST(coalesce(n_kids, 0) AS INT) AS children_count, CAST(to_json(inside) AS VARCHAR) AS children_data FROM d{level}""" for level in range(5))
+    return f"SELECT * FROM (WITH {', '.join(parts)} {union}) nested"
+
+
+@query("category_nested", _nested_sql())
+def _(c):
+    """Category documents with the whole documents of their children, as JSON text."""
+    docs = C.category_documents(c.category, c.category_lang, c.category_product, c.product_shop, c.shop)
+    return docs.select(
+        "id", "elastic_id_lang", "elastic_id_shop", "position", F.col("created_at").cast("string").alias("created_at"), F.col("updated_at").cast("string").alias("updated_at"),
+        "children_count", F.to_json(F.to_variant_object("children_data")).alias("children_data"),
+    )
+
+
 # --- other entities ------------------------------------------------------------------------------
 
 _EACH = "CROSS JOIN (SELECT * FROM lang WHERE active) g CROSS JOIN shop"

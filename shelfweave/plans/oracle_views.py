@@ -52,14 +52,16 @@ VIEWS: dict[str, str] = {
     "lang": """SELECT CAST(row_number() OVER (ORDER BY iso) AS INT) AS id_lang, iso AS iso_code, iso <> 'es' AS active
         FROM (SELECT DISTINCT lang AS iso FROM documents) d""",
     "lang_shop": "SELECT id_lang, id_shop FROM lang CROSS JOIN shop WHERE (id_lang + id_shop) % 4 <> 0",
-    "category": f"""SELECT CAST(1 AS BIGINT) AS id_category, CAST(0 AS BIGINT) AS id_parent, 0 AS level_depth, CAST(1 AS BIGINT) AS nleft,
+    "category": f"""SELECT *, CAST(id_category % 7 AS INT) AS position, DATE '2023-01-01' AS date_add,
+            DATE '2024-01-01' + CAST(id_category % 50 AS INT) AS date_upd FROM (
+        SELECT CAST(1 AS BIGINT) AS id_category, CAST(0 AS BIGINT) AS id_parent, 0 AS level_depth, CAST(1 AS BIGINT) AS nleft,
             CAST({_WHOLE + 10} AS BIGINT) AS nright, true AS active, 'Root' AS base_name
         UNION ALL SELECT 2, 1, 1, 2, {_WHOLE + 9}, true, 'Home'
         UNION ALL SELECT 10 + r_regionkey, 2, 2, 3 + r_regionkey * {REGION_SPAN}, 2 + (r_regionkey + 1) * {REGION_SPAN}, true, r_name FROM region
         UNION ALL SELECT 100 + n_nationkey, 10 + n_regionkey, 3, {_NATION_LEFT}, {_NATION_LEFT} + {NATION_SPAN - 1}, n_nationkey % 7 <> 0, n_name FROM nation
         UNION ALL SELECT 1000 + 16 * s_nationkey + b, 100 + s_nationkey, 4, {_NATION_LEFT} + 1 + 2 * b, {_NATION_LEFT} + 2 + 2 * b,
             (s_nationkey + b) % 11 <> 3, concat(n_name, ' ', CAST(b AS VARCHAR))
-        FROM (SELECT DISTINCT s_nationkey, s_suppkey % 16 AS b FROM supplier) g JOIN nation ON s_nationkey = n_nationkey""",
+        FROM (SELECT DISTINCT s_nationkey, s_suppkey % 16 AS b FROM supplier) g JOIN nation ON s_nationkey = n_nationkey) tree""",
     "category_lang": """SELECT id_category, id_lang, concat(base_name, ' ', iso_code) AS name,
         concat(lower(replace(replace(base_name, '_', '-'), ' ', '-')), '-', iso_code) AS link_rewrite,
         concat(base_name, ' , ', iso_code, ',x') AS meta_keywords FROM category CROSS JOIN lang""",
@@ -122,6 +124,13 @@ VIEWS: dict[str, str] = {
         CASE WHEN ps.id_product % 8 = 5 THEN 'mapper failed' END AS error
         FROM product_shop ps JOIN product_lang pl ON ps.id_product = pl.id_product
         WHERE ps.id_product % 4 < 2 AND NOT (ps.id_product % 4 = 0 AND pl.id_lang = 3)""",
+    "category_status": """SELECT c.id_category AS id_entity, 'category' AS index, CAST(shop.id_shop AS INT) AS id_shop, l.id_lang,
+        CASE WHEN c.id_category % 4 = 1 THEN DATE '2023-06-01' ELSE c.date_upd END AS date_upd,
+        CASE WHEN c.id_category % 8 = 5 THEN 'mapper failed' END AS error
+        FROM category c JOIN category_lang l ON l.id_category = c.id_category CROSS JOIN (SELECT id_shop FROM shop) shop WHERE c.active AND c.id_category % 4 < 2""",
+    "change_feed": """SELECT CASE event_type WHEN 'purchase' THEN 'manufacturer' WHEN 'signup' THEN 'category' WHEN 'click' THEN 'tax_rate' ELSE 'product' END AS entity,
+        CASE event_type WHEN 'purchase' THEN 11 + user_id % 90 WHEN 'signup' THEN 1000 + user_id % 800 ELSE user_id END AS id_entity,
+        CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS op, ts, event_id AS change_id FROM events""",
     "entity_type": """SELECT concat('Builder', e) AS class_name, e AS entity_name,
         NOT (e = 'taxrule' AND id_shop = 2) AND NOT (e = 'product' AND id_shop = 4) AS enabled, id_shop
         FROM (SELECT unnest(['attribute', 'category', 'cmscategory', 'cms_page', 'manufacturer', 'product', 'taxrule']) AS e) t CROSS JOIN shop""",

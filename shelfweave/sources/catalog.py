@@ -84,7 +84,10 @@ class Catalog:
             "4 AS level_depth", f"{nation_left} + 1 + 2 * b AS nleft", f"{nation_left} + 2 + 2 * b AS nright",
             "(s_nationkey + b) % 11 <> 3 AS active", "concat(n_name, ' ', CAST(b AS STRING)) AS base_name",
         )
-        return S.union_by_name([top, regions, nations, leaves])
+        return S.union_by_name([top, regions, nations, leaves]).selectExpr(
+            "*", "CAST(id_category % 7 AS INT) AS position", "DATE '2023-01-01' AS date_add",
+            "date_add(DATE '2024-01-01', CAST(id_category % 50 AS INT)) AS date_upd",
+        )
 
     @cached_property
     def category_lang(self) -> DataFrame:
@@ -277,6 +280,28 @@ class Catalog:
             "CASE WHEN id_product % 8 = 5 THEN 'mapper failed' END AS error",
         )
 
+    @cached_property
+    def category_status(self) -> DataFrame:
+        """What is known of category documents: some current, some stale, some failed, the rest not yet indexed."""
+        pairs = spread(
+            self.category.filter("active").select("id_category", "date_upd").join(self.category_lang.select("id_category", "id_lang"), "id_category"),
+            self.shop.select("id_shop"),
+        )
+        return pairs.filter("id_category % 4 < 2").selectExpr(
+            "id_category AS id_entity", "'category' AS index", "CAST(id_shop AS INT) AS id_shop", "id_lang",
+            "CASE WHEN id_category % 4 = 1 THEN DATE '2023-06-01' ELSE date_upd END AS date_upd",
+            "CASE WHEN id_category % 8 = 5 THEN 'mapper failed' END AS error",
+        )
+
+    @cached_property
+    def change_feed(self) -> DataFrame:
+        """Changes of products, brands, categories and tax rates, in no order of time."""
+        return self.raw("events").selectExpr(
+            "CASE event_type WHEN 'purchase' THEN 'manufacturer' WHEN 'signup' THEN 'category' WHEN 'click' THEN 'tax_rate' ELSE 'product' END AS entity",
+            "CASE event_type WHEN 'purchase' THEN 11 + user_id % 90 WHEN 'signup' THEN 1000 + user_id % 800 ELSE user_id END AS id_entity",
+            "CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS op", "ts", "event_id AS change_id",
+        )
+
     @cached_property
     def entity_type(self) -> DataFrame:
         names = self.spark.range(1).selectExpr(

@@ -1,8 +1,8 @@
 """Versioned document store and snapshot tables on any Hadoop file system.
 
 Layout: ``documents/version=V/batch=B/elastic_type=T/elastic_id_shop=S/elastic_id_lang=L/*.parquet`` and
-``<table>/snapshot=N/*.parquet``. Nothing is overwritten while it is read: a batch or snapshot is a new
-folder that counts once its ``_SUCCESS`` marker exists, so a replayed batch replaces only itself.
+``<table>/snapshot=N/*.parquet``; the status and the marks of the change feed are keyed logs (``Ledger``). Nothing is overwritten while it is
+read: a batch or snapshot is a new folder that counts once its ``_SUCCESS`` marker exists, so a replayed batch replaces only itself.
 """
 
 from __future__ import annotations
@@ -12,8 +12,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfweave.sources.ledger import Ledger
+
 TARGET = ["elastic_type", "elastic_id_shop", "elastic_id_lang"]
 DOC_KEY = ["id", *TARGET]
+STATUS_SCHEMA = "id_entity long, index string, id_shop int, id_lang int, date_upd date, error string"
+STATUS_KEY = ["id_entity", "index", "id_shop", "id_lang"]
+MARKS_SCHEMA = "id_entity long, entity string, op string, ts timestamp_ntz, change_id long"
+MARKS_KEY = ["id_entity", "entity"]
 
 
 def judged(docs: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
@@ -26,6 +32,10 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        #: Outcome of every document, and the last change heard of every entity.
+        self.status = Ledger(spark, self.root, "status", STATUS_SCHEMA, STATUS_KEY)
+        self.marks = Ledger(spark, self.root, "marks", MARKS_SCHEMA, MARKS_KEY)
+        self._ledgers = {"status": self.status, "marks": self.marks}
 
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
@@ -36,7 +46,9 @@ class Store:
     # --- snapshots -------------------------------------------------------------------------------
 
     def snapshots(self, table: str) -> list[int]:
-        """Committed snapshot numbers, oldest first."""
+        """Committed snapshot numbers, oldest first; of a keyed log those of its deltas."""
+        if table in self._ledgers:
+            return self._ledgers[table].numbers()
         fs, found = self._fs(), []
         for status in fs.globStatus(self._path(table, "snapshot=*")) or []:
             if fs.exists(self._path(table, status.getPath().getName(), "_SUCCESS")):
@@ -44,7 +56,10 @@ class Store:
         return sorted(found)
 
     def read(self, table: str, before: int | None = None) -> DataFrame | None:
-        """The newest committed snapshot, or the newest with a number below ``before``."""
+        """The newest committed snapshot, or the newest with a number below ``before``; of a keyed log its rows."""
+        if table in self._ledgers:
+            log = self._ledgers[table]
+            return log.read(before) if log.numbers() or log.numbers("base") else None
         numbers = [n for n in self.snapshots(table) if before is None or n < before]
         return self.spark.read.parquet(f"{self.root}/{table}/snapshot={numbers[-1]}") if numbers else None
 
@@ -55,7 +70,7 @@ class Store:
         frame.write.mode("overwrite").parquet(f"{self.root}/{table}/snapshot={number}")
         return number
 
-    def claim(self, stream: str, batch: int) -> int:
+    def claim(self, stream: str, batch: int | str) -> int:
         """The number under which a stream's batch is stored: its own when replayed, otherwise above all numbers used so far.
 
         The claim is a folder made before anything is written, so a batch that broke off finds its number again.
@@ -67,7 +82,7 @@ class Store:
             if at.getParent().getName() == own and at.getParent().getParent().getName() == f"stream={stream}":
                 return number
             used.append(number)
-        for table in ("*/snapshot=*", "documents/version=*/batch=*"):
+        for table in ("*/snapshot=*", "documents/version=*/batch=*", "*/buckets=*/part=delta/number=*"):
             used += [int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(self._path(*table.split("/"))) or []]
         fs.mkdirs(self._path("streams", f"stream={stream}", own, f"number={max(used) + 1}"))
         return max(used) + 1
@@ -97,9 +112,13 @@ class Store:
             F.col("elastic_id_lang").alias("id_lang"), F.col("updated_at").alias("date_upd"), "error",
         )
 
-    def documents(self, version: int | None = None) -> DataFrame:
-        """The current documents: of each key the accepted row of its newest batch, unless that deletes it."""
-        log = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/documents").filter(F.col("error").isNull())
+    def documents(self, version: int | None = None, entity: str | None = None) -> DataFrame:
+        """The current documents: of each key the accepted row of its newest batch, unless that deletes it.
+
+        Types whose fields of one name differ in kind are read one ``entity`` at a time.
+        """
+        reader = self.spark.read.option("mergeSchema", "true").option("basePath", f"{self.root}/documents")
+        log = reader.parquet(f"{self.root}/documents" + (f"/version=*/batch=*/elastic_type={entity}" if entity else "")).filter(F.col("error").isNull())
         if version is not None:
             log = log.filter(F.col("version") == version)
         keys = ["version", *DOC_KEY]
