@@ -138,6 +138,27 @@ def attribute_documents(groups: DataFrame, options: DataFrame, langs: DataFrame,
     return project(_rows(full, "id_attribute_group", langs, shops), ATTRIBUTE)
 
 
+def translated_attribute_documents(
+    groups: DataFrame, group_lang: DataFrame, options: DataFrame, option_lang: DataFrame, group_shop: DataFrame, option_shop: DataFrame
+) -> DataFrame:
+    """Attribute groups per shop and language they have a name in, with the options of that shop by position, labelled in that language.
+
+    An option without a name in the language has an empty label. Options are gathered per (group, shop, language): one document holds those of its group.
+    """
+    each = groups.select("id_attribute_group").join(group_shop, "id_attribute_group").join(group_lang.select("id_attribute_group", "id_lang", "name"), "id_attribute_group")
+    there = options.select("id_attribute", "id_attribute_group", "position").join(option_shop, "id_attribute")
+    keys = ["id_attribute_group", "id_shop", "id_lang"]
+    pairs = each.select(*keys).join(there, ["id_attribute_group", "id_shop"]).join(option_lang.select("id_attribute", "id_lang", F.col("name").alias("_label")), ["id_attribute", "id_lang"], "left")
+    listed = pairs.groupBy(*keys).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("position", "id_attribute", F.coalesce("_label", F.lit("")).alias("label")))),
+            lambda o: F.struct(o["id_attribute"].cast("int").alias("value"), o["label"].alias("label")),
+        ).alias("options")
+    )
+    full = each.join(listed, keys, "left").withColumn("id_entity", F.col("id_attribute_group"))
+    return project(full.withColumn("options", F.coalesce("options", F.array().cast(full.schema["options"].dataType))), ATTRIBUTE)
+
+
 def taxrule_documents(groups: DataFrame, rules: DataFrame, langs: DataFrame, shops: DataFrame) -> DataFrame:
     """Tax groups with their nested rates, region 0 and postcode ``*`` throughout."""
     listed = rules.groupBy("id_tax_rules_group").agg(

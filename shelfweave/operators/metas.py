@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfweave.functions.scalars import slugify
 from shelfweave.operators.registry import Entity
-from shelfweave.operators.relational import first_per_key, literal_rows, lookup_map, numbered
+from shelfweave.operators.relational import first_per_key, literal_rows, numbered, spread
 
 META_KEY = ["code", "meta_type"]
 SETTINGS = [
@@ -43,10 +43,25 @@ def attribute_groups(groups: DataFrame, attributes: DataFrame) -> DataFrame:
     return groups.join(low, "id_attribute_group", "left").select(F.col("id_attribute_group").alias("id"), F.col("name").alias("attribute_group"), "position")
 
 
+def translated_groups(groups: DataFrame, group_lang: DataFrame, options: DataFrame, group_shop: DataFrame, option_shop: DataFrame, languages: DataFrame) -> DataFrame:
+    """(id_shop, id_lang, id, attribute_group, position): attribute groups of each shop with their name in each active language.
+
+    Groups count in the shops they belong to, with options that belong there too; ``position`` is the smallest of those, for ordering by
+    (name, position). A group without a name in a language has null for both its id and its name, as it comes from the name's side. Options reduce to
+    one row per (group, shop) before languages multiply them; their own names add nothing to distinct groups.
+    """
+    low = options.join(option_shop, "id_attribute").groupBy("id_attribute_group", "id_shop").agg(F.min("position").alias("position"))
+    present = groups.select("id_attribute_group").join(group_shop, "id_attribute_group").join(low, ["id_attribute_group", "id_shop"])
+    each = spread(present, languages.filter("active").select("id_lang"))
+    names = group_lang.select("id_attribute_group", "id_lang", F.col("name").alias("attribute_group"), F.col("id_attribute_group").alias("id"))
+    named = each.join(names, ["id_attribute_group", "id_lang"], "left")
+    return named.groupBy("id_shop", "id_lang", "id", "attribute_group").agg(F.min("position").alias("position"))
+
+
 def property_definitions(spark: SparkSession, entity: Entity) -> DataFrame:
     """Declared fields of an entity as rows in declaration order."""
-    rows = [(i, a.name, a.type, list(a.allowed_types) if a.allowed_types else None, a.visible) for i, a in enumerate(entity.attributes)]
-    return literal_rows(spark, rows, "ord int, code string, type string, elastic_types array<string>, visible boolean")
+    rows = [(i, a.name, a.type, list(a.allowed_types) if a.allowed_types else None, a.visible, a.type_configurable) for i, a in enumerate(entity.attributes)]
+    return literal_rows(spark, rows, "ord int, code string, type string, elastic_types array<string>, visible boolean, type_configurable boolean")
 
 
 def effective_type(stored: Column, declared: Column, allowed: Column) -> Column:
@@ -55,7 +70,7 @@ def effective_type(stored: Column, declared: Column, allowed: Column) -> Column:
     return F.when(allowed.isNull() | F.array_contains(allowed, wanted), wanted).otherwise(F.coalesce(declared, F.get(allowed, F.lit(0))))
 
 
-def all_properties(properties: DataFrame, features: DataFrame, groups: DataFrame, metas: DataFrame, meta_lang: DataFrame, id_lang: int) -> DataFrame:
+def all_properties(properties: DataFrame, features: DataFrame, groups: DataFrame, metas: DataFrame, meta_lang: DataFrame, id_lang: int, labelled: bool = False) -> DataFrame:
     """Every field definition with its overrides, unique by code: positioned ones first by position, then source order.
 
     ``features`` has ``name``; ``groups`` is the output of ``attribute_groups``. ``rank_in_source`` orders
@@ -93,7 +108,7 @@ def all_properties(properties: DataFrame, features: DataFrame, groups: DataFrame
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("operator", "display_type", "result_limit")],
         F.when(F.col("meta_type") == "property", effective_type(F.col("elastic_type"), F.col("type"), F.col("elastic_types")))
         .otherwise(F.coalesce("elastic_type", F.lit("text"))).alias("elastic_type"),
-        "visible",
+        "visible", *(["label"] if labelled else []),
     )
     # Among fields with one code a positioned one wins, then the earlier source.
     order = [F.when(F.col("position") > 0, 0).otherwise(1), F.when(F.col("position") > 0, F.lit(0)).otherwise(F.col("source")), F.col("source"), F.col("within")]
@@ -101,8 +116,26 @@ def all_properties(properties: DataFrame, features: DataFrame, groups: DataFrame
 
 
 def ordered_properties(properties: DataFrame) -> DataFrame:
-    """Positioned fields by position, then the rest in source order."""
-    return properties.orderBy((F.col("position") == 0), "position", "source", "within")
+    """The fields with their ``place`` from 1: positioned ones by position, then the rest in source order. One row a field, so a short list."""
+    order = Window.partitionBy(F.lit(0)).orderBy((F.col("position") == 0), "position", "source", "within", "code")
+    return properties.withColumn("place", F.row_number().over(order))
+
+
+def property_catalogue(
+    properties: DataFrame, features: DataFrame, groups: DataFrame, metas: DataFrame, meta_lang: DataFrame, languages: DataFrame, id_lang: int
+) -> DataFrame:
+    """``all_properties`` of a language with the map of names in every active language, the declared types and the place in order.
+
+    A name is the stored one of that language, else the label of the source. ``elastic_types`` and ``type_configurable`` are those declared for the
+    code, null and false where none is.
+    """
+    found = ordered_properties(all_properties(properties, features, groups, metas, meta_lang, id_lang, labelled=True))
+    declared = properties.select("code", "elastic_types", "type_configurable")
+    found = found.join(declared, "code", "left").withColumn("type_configurable", F.coalesce("type_configurable", F.lit(False)))
+    stored = metas.select("id", *META_KEY).join(meta_lang, "id").select(*META_KEY, "id_lang", F.col("name").alias("_stored"))
+    each = spread(found.select(*META_KEY, "label"), languages.filter("active").select("id_lang")).join(stored, [*META_KEY, "id_lang"], "left")
+    names = each.groupBy(*META_KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("id_lang", F.coalesce("_stored", "label").alias("name"))))).alias("names"))
+    return found.drop("label", "name").join(names, META_KEY)
 
 
 def searchable_fields(metas: DataFrame, with_weights: bool = True, required: Sequence[str] = ("name",)) -> DataFrame:
@@ -172,8 +205,3 @@ def label_catalog(files: DataFrame, column: str = "body") -> DataFrame:
 def facet_settings(metas: DataFrame) -> DataFrame:
     """Aggregatable fields with their facet settings."""
     return metas.filter(F.col("aggregatable")).select(F.col("code").alias("field"), "operator", "display_type", "result_limit")
-
-
-def alias_of(metas: DataFrame, kind: str = "property") -> Column:
-    """code -> alias of one kind as a map value usable in any expression."""
-    return lookup_map(metas.filter(F.col("meta_type") == kind).select("code", "alias"), "code", "alias")

@@ -102,6 +102,14 @@ def tax_rates(tax_rule: DataFrame) -> DataFrame:
     return tax_rule.groupBy("id_tax_rules_group").agg(F.min_by("rate", "id_tax_rule").alias("rate"))
 
 
+def with_rates(products: DataFrame, rates: DataFrame) -> DataFrame:
+    """Products with the rate of their tax group. A few groups take all products, so the rows of each are dealt over lanes that all have its rate."""
+    lanes = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = products.withColumn("_lane", F.pmod(F.hash("id_product"), F.lit(lanes)))
+    copied = rates.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    return dealt.join(copied, ["id_tax_rules_group", "_lane"], "left").drop("_lane")
+
+
 def views(page: DataFrame, page_viewed: DataFrame) -> DataFrame:
     """Page views of each product that has a page; view rows are summed per page before the join."""
     hits = page_viewed.groupBy("id_page").agg(F.sum("counter").alias("_hits"))
@@ -352,7 +360,7 @@ def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[i
 
     cats = categories(cut(t.category_product), t.category, t.category_lang, hidden)
     per_product = brand(cut(t.product), t.manufacturer, t.supplier_name)
-    per_product = per_product.join(tax_rates(t.tax_rule), "id_tax_rules_group", "left")
+    per_product = with_rates(per_product, tax_rates(t.tax_rule))
     for side in (
         stock(cut(t.stock_available)),
         reductions(cut(t.specific_price)),

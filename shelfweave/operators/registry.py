@@ -24,6 +24,7 @@ class Attribute:
     allowed_types: tuple[str, ...] | None = None
     visible: bool = True
     children: tuple[tuple[str, str], ...] = ()
+    type_configurable: bool = False
 
     def column(self) -> Column:
         if self.expr is not None:

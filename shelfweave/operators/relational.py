@@ -42,14 +42,30 @@ def spread(rows: DataFrame, dimension: DataFrame, max_rows: int = 10_000) -> Dat
     return rows.select("*", F.explode(packed.scalar()).alias("_dim")).select(*rows.columns, "_dim.*")
 
 
-def lookup_map(dimension: DataFrame, key: str, value: str, max_rows: int = 10_000) -> Column:
-    """A small table as one map value: ``key -> value``; fails beyond ``max_rows``."""
-    packed = dimension.agg(
-        F.when(F.count(F.lit(1)) <= max_rows, F.map_from_entries(F.collect_list(F.struct(key, value))))
-        .otherwise(F.raise_error(F.lit(f"dimension has more than {max_rows} rows")))
-        .alias("packed")
-    )
-    return packed.scalar()
+def hot_keys(rows: DataFrame, keys: Sequence[str], tracked: int = 4096, listed: int = 512) -> Column:
+    """Hashes of the keys that hold more rows than an even share of a partition, as one array value (empty for few rows).
+
+    Found by a mergeable frequency sketch: every task keeps ``tracked`` counters at most, and an estimate is off by no more than a ``tracked``-th of the
+    rows or so. Keys above an even share of the shuffle partitions are fewer than there are partitions.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.select(F.xxhash64(*keys).alias("_h")).agg(F.expr(f"approx_top_k(_h, {listed}, {tracked})").alias("_top"), F.count(F.lit(1)).alias("_n"))
+    return counted.select(F.expr(f"transform(filter(_top, x -> x.count * {parts} > _n), x -> x.item)").alias("hot")).scalar()
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hot: Column | None = None, splits: int | None = None) -> DataFrame:
+    """An equi-join that deals the left rows of hot keys out over ``splits`` tasks, to each of which the right rows of those keys are copied.
+
+    Only hot keys (``hot_keys`` of the left side unless given) are dealt and copied; all others are joined as ever. The right side should have few
+    rows a key. ``how`` may be any kind that keeps left rows (inner, left, left_semi, left_anti).
+    """
+    n = splits or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(left, keys) if hot is None else hot
+    key = F.xxhash64(*keys)
+    lane = F.when(F.array_contains(hot, key), F.pmod(F.hash(*left.columns, F.lit("lane")), F.lit(n))).otherwise(F.lit(0))
+    lanes = F.when(F.array_contains(hot, key), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    dealt = left.withColumn("_lane", lane)
+    return dealt.join(right.withColumn("_lane", F.explode(lanes)), [*keys, "_lane"], how).drop("_lane")
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], keep_last: bool = False) -> DataFrame:
@@ -64,31 +80,47 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return best.select(*keys, *[F.col("_row")[c].alias(c) for c in payload])
 
 
-def numbered(rows: DataFrame, id_column: str, groups: Sequence[str] = (), ties: Sequence[str] = (), span: int = 1_000_000, name: str = "row_no") -> DataFrame:
+#: A window of running counts holds at most so many rows, and as many such steps as 64-bit ids need reach the top.
+_STEP = 16
+
+
+def numbered(rows: DataFrame, id_column: str, groups: Sequence[str] = (), ties: Sequence[str] = (), span: int = 1 << _STEP, name: str = "row_no") -> DataFrame:
     """Exact 1-based position of each row in its group, ordered by ``id_column`` then ``ties``.
 
-    No window ever holds a whole group: rows are numbered within id ranges of width ``span``,
-    and a running total of the range counts gives each range its offset. The id must be a
-    non-negative whole number that is unique per (group, ties).
+    No window ever holds a whole group: rows are numbered within id ranges of width ``span``, ranges within ranges of ranges, and so on up; each
+    gives those inside it their offset. A step holds 2^16 ranges at most, however sparse the ids are, and any 64-bit id has its place. The id must be a
+    whole number that is unique per (group, ties).
     """
-    keyed = rows.withColumn("_range", F.floor(F.col(id_column) / span).cast("bigint"))
-    counts = keyed.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    before = running.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(g).alias(f"_g_{g}") for g in groups],
-        F.col("_range").alias("_at"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    same = F.col("_range") == F.col("_at")
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    local = Window.partitionBy(*groups, "_range").orderBy(id_column, *ties)
-    return (
-        keyed.join(offsets, same)
-        .withColumn(name, (F.col("_before") + F.row_number().over(local)).cast("bigint"))
-        .select(*rows.columns, name)
-    )
+    cell = lambda k: f"_cell{k}"
+    keyed = rows.withColumn(cell(0), F.floor(F.col(id_column) / F.lit(span)).cast("bigint") if span & (span - 1) else F.shiftright(F.col(id_column).cast("bigint"), span.bit_length() - 1))
+    steps = [keyed.groupBy(*groups, cell(0)).agg(F.count(F.lit(1)).alias("_n"))]
+    width = span
+    while width < 1 << 48:
+        k = len(steps)
+        below = steps[-1].withColumn(cell(k), F.shiftright(cell(k - 1), _STEP))
+        steps[-1] = below
+        steps.append(below.groupBy(*groups, cell(k)).agg(F.sum("_n").alias("_n")))
+        width <<= _STEP
+    earlier = (Window.unboundedPreceding, -1)
+    top = len(steps) - 1
+    whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    offsets = steps[top].withColumn("_before", F.coalesce(F.sum("_n").over(whole.orderBy(cell(top)).rowsBetween(*earlier)), F.lit(0)))
+    for k in range(top - 1, -1, -1):
+        inside = Window.partitionBy(*groups, cell(k + 1)).orderBy(cell(k)).rowsBetween(*earlier)
+        local = steps[k].withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        joined = _null_safe(local, offsets.select(*groups, cell(k + 1), "_before"), [*groups, cell(k + 1)])
+        offsets = joined.withColumn("_before", F.col("_before") + F.col("_inside")).select(*groups, cell(k), "_before")
+    place = F.row_number().over(Window.partitionBy(*groups, cell(0)).orderBy(id_column, *ties))
+    return _null_safe(keyed, offsets, [*groups, cell(0)]).withColumn(name, (F.col("_before") + place).cast("bigint")).select(*rows.columns, name)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An inner equi-join in which null keys meet; the keys come from the left."""
+    side = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(side, same).drop(*[f"_r_{k}" for k in keys])
 
 
 def top_per_group(rows: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:

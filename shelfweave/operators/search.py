@@ -4,24 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfweave.functions import analyzers as A
 from shelfweave.functions.scalars import fold_accents
-from shelfweave.operators.relational import spread, top_per_group
+from shelfweave.operators.relational import split_join, spread, top_per_group
 
 
 def stemmed(docs: DataFrame, key: str, text: str, dictionary: DataFrame, stop_words: DataFrame, on: tuple[str, ...] = (), fold: bool = False) -> DataFrame:
     """(key, tokens): blank-separated lower-case tokens, stemmed through (form, stem), then without stop words.
 
     ``stop_words`` has ``token`` and the columns of ``on`` (for instance the language). Stop words are
-    matched against stems, as the chain orders it. Only inflected tokens meet the dictionary and only
-    one row per document is shuffled back.
+    matched against stems, as the chain orders it. Tokens that are very frequent are dealt out over many tasks
+    in the dictionary join and leave as stop words in a join that does the same; one row per document is shuffled back.
     """
     rows = docs.select(key, *on, F.posexplode(A.blank_tokens(F.lower(text))).alias("pos", "form"))
-    stems = rows.join(dictionary, "form", "left").select(key, *on, "pos", F.coalesce("stem", "form").alias("token"))
-    kept = stems.join(stop_words, [*on, "token"], "left_anti")
+    stems = split_join(rows, dictionary, ["form"]).select(key, *on, "pos", F.coalesce("stem", "form").alias("token"))
+    kept = without(stems, stop_words, on)
     token = fold_accents(F.col("token")) if fold else F.col("token")
     lists = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", token.alias("token")))).alias("_t")).select(
         key, F.transform("_t", lambda t: t["token"]).alias("tokens")
@@ -29,9 +29,17 @@ def stemmed(docs: DataFrame, key: str, text: str, dictionary: DataFrame, stop_wo
     return docs.select(key).join(lists, key, "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
 
 
+def without(tokens: DataFrame, stop_words: DataFrame, on: tuple[str, ...] = ("lang",)) -> DataFrame:
+    """Token rows that are no stop words (of their language): stop words are the hot keys, so each is copied to every lane of the rows."""
+    lanes = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tokens.withColumn("_lane", F.pmod(F.hash(*tokens.columns, F.lit("lane")), F.lit(lanes)))
+    copied = stop_words.select(*on, "token").distinct().withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    return dealt.join(copied, [*on, "token", "_lane"], "left_anti").drop("_lane")
+
+
 def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, on: tuple[str, ...] = ("lang", "token")) -> DataFrame:
     """Token rows that are no stop words of their language."""
-    return tokens.join(stop_words, list(on), "left_anti")
+    return without(tokens, stop_words, tuple(c for c in on if c != "token"))
 
 
 def postings(docs: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFrame:
@@ -47,9 +55,66 @@ def document_frequency(posting: DataFrame) -> DataFrame:
 
 
 def term_postings(docs: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFrame:
-    """Postings with the document frequency of their term; a hot term is split by the skew-join rule."""
+    """Postings with the document frequency of their term.
+
+    Terms in more documents than an even share of a partition, which the frequencies themselves tell, are dealt out over many tasks.
+    """
     posting = postings(docs, key, fields)
-    return posting.join(document_frequency(posting), ["field", "term"])
+    frequency = document_frequency(posting)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = frequency.agg(F.sum("df").alias("n")).scalar()
+    # Fewer terms than partitions have more than an even share.
+    hot = frequency.filter(F.col("df") * parts > share).agg(F.collect_list(F.xxhash64("field", "term")).alias("hot")).scalar()
+    return split_join(posting, frequency, ["field", "term"], "inner", hot)
+
+
+def _hits(docs: DataFrame, key: str, fields: Mapping[str, Column], wanted: DataFrame) -> DataFrame:
+    """(field, term, key, tf) of the terms that any query asks for."""
+    asked = wanted.select("term").distinct()
+    lists = [F.struct(F.lit(name).alias("field"), tokens.alias("tokens")) for name, tokens in fields.items()]
+    exploded = docs.select(key, F.explode(F.array(*lists)).alias("f")).select(key, "f.field", F.explode("f.tokens").alias("term"))
+    return exploded.join(asked, "term", "left_semi").groupBy("field", "term", key).agg(F.count(F.lit(1)).alias("tf"))
+
+
+def _part(gain: Column, tf: Column) -> Column:
+    # Fixed-point parts add up to the same sum in any order.
+    return F.round(gain * tf, 6).cast("decimal(24,6)")
+
+
+def _gains(docs: DataFrame, hits: DataFrame, weights: Mapping[str, float], k: int) -> DataFrame:
+    """(field, term, gain, most, sure): the worth of one occurrence, of as many as any document has, and of as many as ``k`` documents have."""
+    total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
+    weight = F.create_map(*[F.lit(x) for name, w in weights.items() for x in (name, float(w))])
+    counts = hits.groupBy("field", "term", "tf").agg(F.count(F.lit(1)).alias("n"))
+    above = F.sum("n").over(Window.partitionBy("field", "term").orderBy(F.desc("tf")))
+    per_term = counts.withColumn("above", above).groupBy("field", "term").agg(
+        F.sum("n").alias("df"), F.max("tf").alias("max_tf"), F.max(F.when(F.col("above") >= k, F.col("tf"))).alias("sure_tf")
+    )
+    gain = F.try_element_at(weight, F.col("field")) * F.log(1 + total / F.col("df"))
+    return per_term.withColumn("gain", gain).select("field", "term", "gain", _part(F.col("gain"), F.col("max_tf")).alias("most"), _part(F.col("gain"), F.col("sure_tf")).alias("sure"))
+
+
+def match_plan(wanted: DataFrame, gains: DataFrame) -> DataFrame:
+    """(id_query, field, term, gain, needed, bound, rest): which terms of a query lead to its best documents.
+
+    ``bound`` is a score that k documents reach for sure, as one term alone gives it to them. Terms of a field, least worth first, whose worths
+    together stay below it lead to nothing by themselves: documents are looked for by the others (``needed``) and the former only looked up.
+    ``rest`` is what those can add at most.
+    """
+    terms = wanted.join(gains, "term")
+    bounds = terms.groupBy("id_query").agg(F.coalesce(F.max("sure"), F.lit(0).cast("decimal(24,6)")).alias("bound"))
+    up = Window.partitionBy("id_query", "field").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = terms.withColumn("_sum", F.sum("most").over(up)).join(bounds, "id_query").withColumn("needed", F.col("_sum") >= F.col("bound"))
+    rest = F.coalesce(F.max(F.when(~F.col("needed"), F.col("_sum"))).over(Window.partitionBy("id_query", "field")), F.lit(0))
+    return ranked.withColumn("rest", rest).select("id_query", "field", "term", "gain", "needed", "bound", "rest")
+
+
+def candidates(plan: DataFrame, hits: DataFrame, key: str) -> DataFrame:
+    """(id_query, key, field, part, bound): documents that hold a needed term and whose score may still reach the bound."""
+    found = plan.filter("needed").join(hits, ["field", "term"]).groupBy("id_query", key, "field").agg(
+        F.sum(_part(F.col("gain"), F.col("tf"))).alias("part"), F.first("rest").alias("rest"), F.first("bound").alias("bound")
+    )
+    return found.filter(F.col("part") + F.col("rest") >= F.col("bound")).drop("rest")
 
 
 def multi_match(docs: DataFrame, key: str, fields: Mapping[str, Column], queries: DataFrame, weights: Mapping[str, float], k: int | None = None) -> DataFrame:
@@ -58,26 +123,22 @@ def multi_match(docs: DataFrame, key: str, fields: Mapping[str, Column], queries
     Score of a field: sum over its matched query terms of weight * tf * ln(1 + N/df), where df counts the
     documents whose field has the term. ``queries`` has ``id_query, term``. Terms no query asks for
     leave before anything is counted, so the work follows the matches.
+
+    With ``k`` documents that cannot be among a query's best ``k`` are not scored (``match_plan``): a score below one that ``k`` documents reach
+    for sure is out, in every field. Ties are by key. Exact: what is left out scores less than the last of the best.
     """
     wanted = queries.select("id_query", "term").distinct()
-    asked = wanted.select("term").distinct()
-    lists = [F.struct(F.lit(name).alias("field"), tokens.alias("tokens")) for name, tokens in fields.items()]
-    exploded = docs.select(key, F.explode(F.array(*lists)).alias("f")).select(key, "f.field", F.explode("f.tokens").alias("term"))
-    hits = exploded.join(asked, "term", "left_semi").groupBy("field", "term", key).agg(F.count(F.lit(1)).alias("tf"))
-    frequency = hits.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    weight = F.create_map(*[F.lit(x) for name, w in weights.items() for x in (name, float(w))])
-    per_term = frequency.withColumn("idf", F.log(1 + total / F.col("df"))).select(
-        "field", "term", (F.try_element_at(weight, F.col("field")) * F.col("idf")).alias("gain")
-    )
-    # Fixed-point parts add up to the same sum in any order.
-    scored = wanted.join(per_term, "term").join(hits, ["field", "term"]).withColumn(
-        "part", F.round(F.col("gain") * F.col("tf"), 6).cast("decimal(24,6)")
-    )
-    fields_scored = scored.groupBy("id_query", key, "field").agg(F.sum("part").alias("part"))
-    best = fields_scored.groupBy("id_query", key).agg(F.max("part").cast("double").alias("score"))
+    hits = _hits(docs, key, fields, wanted)
     if k is None:
-        return best
+        plan = wanted.join(_gains(docs, hits, weights, 1), "term").select("id_query", "field", "term", "gain")
+        scored = plan.join(hits, ["field", "term"]).groupBy("id_query", key, "field").agg(F.sum(_part(F.col("gain"), F.col("tf"))).alias("part"))
+        return scored.groupBy("id_query", key).agg(F.max("part").cast("double").alias("score"))
+    plan = match_plan(wanted, _gains(docs, hits, weights, k))
+    found = candidates(plan, hits, key)
+    looked_up = found.select("id_query", key, "field").join(plan.filter(~F.col("needed")).select("id_query", "field", "term", "gain"), ["id_query", "field"])
+    added = looked_up.join(hits, ["field", "term", key]).groupBy("id_query", key, "field").agg(F.sum(_part(F.col("gain"), F.col("tf"))).alias("more"))
+    whole = found.join(added, ["id_query", key, "field"], "left").withColumn("score", F.col("part") + F.coalesce("more", F.lit(0)))
+    best = whole.filter(F.col("score") >= F.col("bound")).groupBy("id_query", key).agg(F.max("score").cast("double").alias("score"))
     return top_per_group(best, ["id_query"], [F.col("score").desc(), F.col(key)], k)
 
 
@@ -95,48 +156,75 @@ def _piece(length: str) -> tuple[str, str]:
     return start, size
 
 
+#: Up to so many characters a query term is met by what is left after deletions; longer ones by pieces, which then are long enough to be rare.
+SHORT = 6
+
+
+def _cuts(term: str, times: int) -> str:
+    """SQL for a term and all that up to ``times`` deletions of a character leave of it."""
+    one = "transform(sequence(1, length({x})), i -> concat(substring({x}, 1, i - 1), substring({x}, i + 1)))"
+    first = f"IF(length({term}) > 0, {one.format(x=term)}, array())"
+    if times < 2:
+        return f"array_distinct(concat(array({term}), {first}))"
+    second = f"flatten(transform(filter({first}, x -> length(x) > 0), x -> {one.format(x='x')}))"
+    return f"array_distinct(concat(array({term}), {first}, {second}))"
+
+
 def fuzzy_terms(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_term, term, distance) within the edits the query term allows, exactly.
 
-    A text within e edits keeps at least one of e+1 pieces of the vocabulary term unchanged, moved by
-    at most e places. Pieces are joined by value, position and length, and only those pairs are
-    measured. Terms shorter than e+1 characters have an empty piece and are met by length alone.
+    Short query terms (``SHORT``): texts within e edits have a text in common that at most e deletions leave of each. Longer ones: a text
+    within e edits keeps at least one of e+1 pieces of the vocabulary term unchanged, moved by at most e places; pieces are joined by value, position and
+    length. Only pairs that meet are measured.
     """
     queries = queries.select(F.col("term").alias("query_term")).distinct().withColumns(
         {"n": F.length("query_term"), "edits": allowed_edits(F.col("query_term"))}
     )
     vocabulary = vocabulary.select("term").distinct().withColumn("n", F.length("term"))
-    start, size = _piece("n")
-    stored = (
-        "flatten(transform(sequence(0, 2), e -> transform(sequence(0, e), i -> "
-        f"struct(e AS e, n AS len, i AS i, substring(term, {start}, {size}) AS piece))))"
+    # One set of keys for one edit and one for two, as a text of five characters allows one and meets one of six that allows two.
+    left = f"CASE edits WHEN 0 THEN array(query_term) WHEN 1 THEN {_cuts('query_term', 1)} ELSE {_cuts('query_term', 2)} END"
+    short = queries.filter(F.col("n") <= SHORT).select("query_term", "edits", F.explode(F.expr(left)).alias("cut"))
+    kept = (
+        f"concat(IF(n <= 2, array(struct(0 AS edits, term AS cut)), array()), "
+        f"IF(n BETWEEN 2 AND 6, transform({_cuts('term', 1)}, x -> struct(1 AS edits, x AS cut)), array()), "
+        f"IF(n BETWEEN 4 AND {SHORT + 2}, transform({_cuts('term', 2)}, x -> struct(2 AS edits, x AS cut)), array()))"
     )
+    cuts = vocabulary.filter(F.col("n") <= SHORT + 2).select("term", F.explode(F.expr(kept)).alias("k")).select("term", "k.edits", "k.cut")
+    near = _measured(short.join(cuts, ["edits", "cut"]))
+    start, size = _piece("n")
+    stored = f"transform(sequence(0, 2), i -> struct(n AS len, i AS i, substring(term, {start}, {size}) AS piece))".replace("(e + 1", "(2 + 1")
     start, size = _piece("n + d")
     asked = (
-        "flatten(transform(array(edits), e -> flatten(transform(sequence(-e, e), d -> flatten(transform(sequence(0, e), i -> "
-        f"transform(filter(sequence(-e, e), s -> n + d >= 1 AND {start} + s >= 1 AND {start} + s + {size} <= n + 1), s -> "
-        f"struct(e AS e, n + d AS len, i AS i, substring(query_term, {start} + s, {size}) AS piece))))))))"
-    )
-    stored_keys = vocabulary.select("term", F.explode(F.expr(stored)).alias("k"))
-    asked_keys = queries.select("query_term", "edits", F.explode(F.expr(asked)).alias("k"))
-    # Measured where they meet, with the bounded form, so that only true matches reach the shuffle of the distinct step.
-    met = asked_keys.join(stored_keys, "k").withColumn("distance", F.levenshtein("query_term", "term", 2))
-    return met.filter((F.col("distance") >= 0) & (F.col("distance") <= F.col("edits"))).select("query_term", "term", "distance").distinct()
+        "flatten(transform(sequence(-2, 2), d -> flatten(transform(sequence(0, 2), i -> "
+        f"transform(filter(sequence(-2, 2), s -> n + d >= 1 AND {start} + s >= 1 AND {start} + s + {size} <= n + 1), s -> "
+        f"struct(n + d AS len, i AS i, substring(query_term, {start} + s, {size}) AS piece))))))"
+    ).replace("(e + 1", "(2 + 1")
+    stored_keys = vocabulary.filter(F.col("n") >= SHORT - 1).select("term", F.explode(F.expr(stored)).alias("k"))
+    asked_keys = queries.filter(F.col("n") > SHORT).select("query_term", "edits", F.explode(F.expr(asked)).alias("k"))
+    return near.union(_measured(asked_keys.join(stored_keys, "k")))
+
+
+def _measured(met: DataFrame) -> DataFrame:
+    """Pairs within their edits; measured where they meet, with the bounded form, so that only true matches reach the distinct step."""
+    far = met.withColumn("distance", F.levenshtein("query_term", "term", 2))
+    return far.filter((F.col("distance") >= 0) & (F.col("distance") <= F.col("edits"))).select("query_term", "term", "distance").distinct()
+
+
+#: Entries are found by up to so many leading characters; what is typed beyond is compared where they meet.
+LEADING = 8
 
 
 def suggestions(entries: DataFrame, prefixes: DataFrame, k: int) -> DataFrame:
-    """(prefix, rank, entry, weight): the ``k`` heaviest entries that start with each prefix.
+    """(prefix, rank, entry, weight): the ``k`` heaviest entries that start with each prefix, of any length.
 
-    Prefixes of every length an entry has are looked up, and each task keeps k rows per prefix.
+    An entry is listed under its first characters up to ``LEADING``, for those lengths only that are asked; longer prefixes meet it there and are compared
+    in full. Each task keeps k rows per prefix.
     """
-    asked = prefixes.select("prefix").distinct()
-    starts = entries.select(
-        "entry", "weight",
-        F.explode(
-            F.transform(F.sequence(F.lit(1), F.length("entry")), lambda i: F.substring(F.col("entry"), F.lit(1), i))
-        ).alias("prefix"),
-    ).filter(F.length("entry") > 0)
-    hits = starts.join(asked, "prefix", "left_semi")
+    asked = prefixes.select("prefix").distinct().filter(F.length("prefix") > 0).withColumn("lead", F.substring("prefix", 1, LEADING))
+    lengths = asked.agg(F.collect_set(F.length("lead")).alias("sizes")).scalar()
+    starts = entries.withColumn("_size", F.explode(lengths)).filter(F.col("_size") <= F.length("entry")).select(
+        "entry", "weight", F.substring(F.col("entry"), F.lit(1), F.col("_size")).alias("lead"))
+    hits = starts.join(asked, "lead").filter(F.startswith("entry", "prefix")).select("entry", "weight", "prefix")
     return top_per_group(hits, ["prefix"], [F.col("weight").desc(), F.col("entry")], k)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfweave.functions import fixed_values as fv
 from shelfweave.functions import scalars as S
 from shelfweave.operators import category as C
 from shelfweave.operators import entities as E
@@ -229,6 +230,14 @@ def _(c):
     return docs.select("id", F.col("elastic_id_shop").alias("id_shop"), F.col("elastic_id_lang").alias("id_lang"), body.alias("body"))
 
 
+@query("documents_json_whole", _DOC_SQL)
+def _(c):
+    """Every field of every product document through its JSON text: what is read back from the text alone is the document."""
+    docs = P.product_documents(c)
+    body = docs.select(F.to_json(F.struct(*docs.columns)).alias("body"))
+    return flat_products(body.select(F.from_json("body", docs.schema).alias("d")).select("d.*"))
+
+
 @query("aggregatable_copies", f"""SELECT r.id_entity AS id, r.id_lang, r.id_shop, {V.slug('l.name')} AS name_agg, {V.slug('m.name')} AS manufacturer_agg, ll.agg AS categories_without_path_agg
     FROM entity_row r JOIN product p ON p.id_product = r.id_entity JOIN product_lang l ON l.id_product = r.id_entity AND l.id_lang = r.id_lang
     LEFT JOIN manufacturer m ON m.id_manufacturer = p.id_manufacturer
@@ -408,15 +417,24 @@ def _(c):
 
 
 def _schema_sql() -> str:
-    from shelfweave.operators.registry import _schema_rows
-
+    """The declarations as plain rows; which paths, analysers and formats follow from them is said here, from the rules, not by the code."""
     def text(v):
         return "NULL" if v is None else f"'{v}'"
 
-    rows = ", ".join("(" + ", ".join(text(v) for v in r) + ")" for e in ENTITIES.values() for r in _schema_rows(e))
-    return f"""SELECT * FROM (VALUES {rows}) v(entity, path, type, format, analyzer, search_analyzer)
-        UNION ALL SELECT DISTINCT 'product', {V.code('name')}, 'keyword', NULL, NULL, NULL FROM feature_name
-        WHERE {V.code('name')} NOT IN (SELECT path FROM (VALUES {rows}) v(entity, path, type, format, analyzer, search_analyzer) WHERE entity = 'product')"""
+    fields = [(e.name, a.name, None, a.type) for e in ENTITIES.values() for a in e.attributes if a.name != "id" and not a.children]
+    fields += [(e.name, a.name, child, kind) for e in ENTITIES.values() for a in e.attributes for child, kind in a.children]
+    rows = ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in fields)
+    names = ", ".join(f"('{name}')" for name in ENTITIES)
+    return f"""SELECT * FROM (WITH field AS (SELECT entity, CASE WHEN child IS NULL THEN top ELSE concat(top, '.', child) END AS path, top, child, type
+            FROM (VALUES {rows}) v(entity, top, child, type) WHERE type IS NOT NULL),
+        declared AS (
+            SELECT entity, 'id' AS path, 'integer' AS type, NULL AS format, NULL AS analyzer, NULL AS search_analyzer FROM (VALUES {names}) e(entity)
+            UNION ALL SELECT DISTINCT entity, top, 'nested', NULL, NULL, NULL FROM field WHERE child IS NOT NULL
+            UNION ALL SELECT entity, path, type, CASE WHEN type = 'date' THEN '{fv.DATE_FORMATS}' END, NULL, NULL FROM field
+            UNION ALL SELECT entity, concat(path, '.', variant), 'text', NULL, variant, CASE WHEN variant = 'autocomplete' THEN 'autocomplete_search' END FROM field
+                CROSS JOIN (SELECT unnest(['trigram', 'reverse', 'lang_pl', 'lang_pl_ascii', 'lang_pl_trigram', 'autocomplete']) AS variant) w WHERE type IN ('text', 'keyword'))
+    SELECT * FROM declared UNION ALL SELECT DISTINCT 'product', {V.code('name')}, 'keyword', NULL, NULL, NULL FROM feature_name
+        WHERE {V.code('name')} NOT IN (SELECT path FROM declared WHERE entity = 'product')) s"""
 
 
 @query("schema_catalog", _schema_sql())
@@ -430,3 +448,22 @@ def _(c):
     return M.attribute_groups(c.attribute_group, c.attribute).orderBy("attribute_group", "position")
 
 
+
+
+@query("attribute_groups_named", "SELECT id_shop, id_lang, id, attribute_group, position FROM group_named")
+def _(c):
+    """Attribute groups of every shop in every active language."""
+    return M.translated_groups(c.attribute_group, c.attribute_group_lang, c.attribute, c.attribute_group_shop, c.attribute_shop, c.lang)
+
+
+@query("attribute_documents_named", f"""SELECT ag.id_attribute_group AS id, gl.id_lang AS elastic_id_lang, gs.id_shop AS elastic_id_shop, 'attribute' AS elastic_type,
+        {V.code('gl.name')} AS attribute_code, gl.name AS frontend_label, coalesce(o.options, '') AS options
+    FROM attribute_group ag JOIN attribute_group_shop gs ON gs.id_attribute_group = ag.id_attribute_group JOIN attribute_group_lang gl ON gl.id_attribute_group = ag.id_attribute_group
+    LEFT JOIN (SELECT a.id_attribute_group, ats.id_shop, lang.id_lang, string_agg(concat(CAST(a.id_attribute AS VARCHAR), ':', coalesce(al.name, '')), '|' ORDER BY a.position, a.id_attribute) AS options
+        FROM attribute a JOIN attribute_shop ats ON ats.id_attribute = a.id_attribute CROSS JOIN lang
+        LEFT JOIN attribute_lang al ON al.id_attribute = a.id_attribute AND al.id_lang = lang.id_lang GROUP BY 1, 2, 3) o
+    ON o.id_attribute_group = ag.id_attribute_group AND o.id_shop = gs.id_shop AND o.id_lang = gl.id_lang""")
+def _(c):
+    docs = E.translated_attribute_documents(c.attribute_group, c.attribute_group_lang, c.attribute, c.attribute_lang, c.attribute_group_shop, c.attribute_shop)
+    text = F.array_join(F.transform("options", lambda o: F.concat_ws(":", o["value"].cast("string"), o["label"])), "|")
+    return docs.select(F.col("id").cast("int").alias("id"), *_ID[1:], "attribute_code", "frontend_label", text.alias("options"))

@@ -78,6 +78,49 @@ def _(c):
     return M.all_properties(declared, c.feature_name, groups, c.meta, c.meta_lang, 2).drop("source", "within")
 
 
+def _catalogue_sql() -> str:
+    """Names of all active languages, declared types and the order, for language 2 and shop 1."""
+    def text(v):
+        return "NULL" if v is None else f"'{v}'"
+
+    rows = ", ".join(f"({i}, '{a.name}', {'NULL' if not a.allowed_types else '[' + ', '.join(text(t) for t in a.allowed_types) + ']'})" for i, a in enumerate(PRODUCT.attributes))
+    return f"""SELECT * FROM (WITH declared AS (SELECT * FROM (VALUES {rows}) p(ord, code, allowed)),
+        source AS (SELECT 0 AS source, lpad(CAST(ord AS VARCHAR), 9, '0') AS within, code, 'property' AS meta_type, code AS label FROM declared
+            UNION ALL SELECT 1, name, {V.slug('name')}, 'feature', name FROM feature_name
+            UNION ALL SELECT 2, concat_ws('|', attribute_group, lpad(CAST(coalesce(position, 0) AS VARCHAR), 9, '0')), {V.slug('attribute_group')}, 'attribute', attribute_group
+                FROM group_named WHERE id_shop = 1 AND id_lang = 2 AND id IS NOT NULL),
+        kept AS (SELECT * FROM (SELECT s.*, coalesce(m.position, 0) AS position,
+                row_number() OVER (PARTITION BY s.code ORDER BY CASE WHEN coalesce(m.position, 0) > 0 THEN 0 ELSE 1 END, s.source, s.within) AS k
+            FROM source s LEFT JOIN (SELECT meta.* FROM meta JOIN meta_lang ON meta_lang.id = meta.id WHERE meta_lang.id_lang = 2) m ON m.code = s.code AND m.meta_type = s.meta_type) x WHERE k = 1),
+        named AS (SELECT kept.code, kept.meta_type, string_agg(concat(CAST(lang.id_lang AS VARCHAR), '=', coalesce(n.name, kept.label)), '|' ORDER BY lang.id_lang) AS names
+            FROM kept CROSS JOIN (SELECT * FROM lang WHERE active) lang LEFT JOIN (SELECT meta.code, meta.meta_type, meta_lang.id_lang, meta_lang.name FROM meta JOIN meta_lang ON meta_lang.id = meta.id) n
+                ON n.code = kept.code AND n.meta_type = kept.meta_type AND n.id_lang = lang.id_lang GROUP BY 1, 2)
+    SELECT kept.code, kept.meta_type, kept.position, CAST(row_number() OVER (ORDER BY kept.position = 0, kept.position, kept.source, kept.within, kept.code) AS INT) AS place,
+        array_to_string(declared.allowed, ',') AS elastic_types, false AS type_configurable, named.names
+    FROM kept JOIN named ON named.code = kept.code AND named.meta_type = kept.meta_type LEFT JOIN declared ON declared.code = kept.code) c"""
+
+
+@query("property_catalogue", _catalogue_sql())
+def _(c):
+    groups = M.translated_groups(c.attribute_group, c.attribute_group_lang, c.attribute, c.attribute_group_shop, c.attribute_shop, c.lang)
+    here = groups.filter("id_shop = 1 AND id_lang = 2 AND id IS NOT NULL")
+    found = M.property_catalogue(M.property_definitions(c.spark, PRODUCT), c.feature_name, here, c.meta, c.meta_lang, c.lang, 2)
+    text = F.array_join(F.transform(F.map_entries("names"), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"])), "|")
+    return found.select("code", "meta_type", "position", "place", F.array_join("elastic_types", ",").alias("elastic_types"), "type_configurable", text.alias("names"))
+
+
+@query("renamed_fields", """SELECT CAST(max(CASE WHEN code = 'name' THEN alias END) AS VARCHAR) AS name_alias, CAST(max(CASE WHEN code = 'price' THEN alias END) AS VARCHAR) AS price_alias,
+    (SELECT count(*) FROM product_lang) AS documents, (SELECT count(DISTINCT name) FROM product_lang) AS names FROM meta WHERE meta_type = 'property' AND code IN ('name', 'price')""")
+def _(c):
+    """Product texts with their fields under the stored aliases; the new names are read off the result."""
+    docs = c.product_lang.select("id_product", "name", F.lit(1.0).alias("price"))
+    renamed = M.rename_by_alias(docs, c.meta, ["name", "price"])
+    return renamed.agg(
+        F.lit(renamed.columns[1]).alias("name_alias"), F.lit(renamed.columns[2]).alias("price_alias"), F.count(F.lit(1)).alias("documents"),
+        F.count_distinct(renamed.columns[1]).alias("names"),
+    )
+
+
 @query("save_metas_dedupe", """SELECT alias, ord, CAST(row_number() OVER (ORDER BY ord) AS INT) AS position FROM (
     SELECT alias, min(ord) AS ord FROM meta_edit GROUP BY 1) d""")
 def _(c):

@@ -102,6 +102,18 @@ VIEWS: dict[str, str] = {
         CAST(row_number() OVER (PARTITION BY g ORDER BY v DESC) AS INT) AS position
         FROM (SELECT DISTINCT 1 AS g, o_orderpriority AS v FROM orders UNION ALL SELECT DISTINCT 2, c_mktsegment FROM customer
               UNION ALL SELECT DISTINCT 3, p_type FROM part) a""",
+    "attribute_group_lang": """SELECT g.id_attribute_group, lang.id_lang, concat(g.name, ' ', lang.iso_code) AS name FROM attribute_group g CROSS JOIN lang
+        WHERE (g.id_attribute_group + lang.id_lang) % 5 <> 0""",
+    "attribute_lang": """SELECT a.id_attribute, lang.id_lang, concat(a.name, ' ', lang.iso_code) AS name FROM attribute a CROSS JOIN lang
+        WHERE (a.id_attribute + lang.id_lang) % 7 <> 0""",
+    "attribute_group_shop": "SELECT g.id_attribute_group, shop.id_shop FROM attribute_group g CROSS JOIN (SELECT id_shop FROM shop) shop WHERE (g.id_attribute_group + shop.id_shop) % 4 <> 0",
+    "attribute_shop": "SELECT a.id_attribute, shop.id_shop FROM attribute a CROSS JOIN (SELECT id_shop FROM shop) shop WHERE (a.id_attribute + shop.id_shop) % 3 <> 0",
+    "group_named": """SELECT gs.id_shop, lang.id_lang, gl.id_attribute_group AS id, gl.name AS attribute_group, min(a.position) AS position
+        FROM attribute_group ag JOIN attribute_group_shop gs ON gs.id_attribute_group = ag.id_attribute_group CROSS JOIN (SELECT * FROM lang WHERE active) lang
+        LEFT JOIN attribute_group_lang gl ON gl.id_attribute_group = ag.id_attribute_group AND gl.id_lang = lang.id_lang
+        LEFT JOIN attribute a ON a.id_attribute_group = ag.id_attribute_group
+        LEFT JOIN attribute_lang al ON al.id_attribute = a.id_attribute AND al.id_lang = lang.id_lang
+        JOIN attribute_shop ats ON ats.id_attribute = a.id_attribute AND ats.id_shop = gs.id_shop GROUP BY 1, 2, 3, 4""",
     "tax_rule": """SELECT s_suppkey AS id_tax_rule, CAST(s_suppkey // 8 AS INT) + 1 AS id_tax_rules_group, s_nationkey AS id_country,
         concat('N', CAST(s_nationkey AS VARCHAR)) AS country_iso, CAST(5 + (s_suppkey % 4) * 5 AS DOUBLE) AS rate FROM supplier""",
     "tax_rules_group": """SELECT id_tax_rules_group, concat('Tax group ', CAST(id_tax_rules_group AS VARCHAR)) AS name

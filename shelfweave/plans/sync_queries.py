@@ -181,11 +181,11 @@ def _(c):
     return Y.progress(indexed, Y.count_objects(c.product_shop.filter("active")), errors, Y.count_languages(c.lang_shop, c.lang))
 
 
-@query("updated_at_default", """SELECT id_entity AS id, CASE WHEN id_entity % 3 = 0 THEN TIMESTAMP '2024-12-31 00:00:00' ELSE CAST(date_upd AS TIMESTAMP) END AS updated_at
-    FROM entity_row WHERE id_shop = 1""")
+@query("updated_at_default", """SELECT id_entity AS id, id_shop, id_lang, CASE WHEN id_entity % 3 = 0 THEN TIMESTAMP '2024-12-31 00:00:00' ELSE CAST(date_upd AS TIMESTAMP) END AS updated_at
+    FROM entity_row""")
 def _(c):
-    rows = product_rows(c).filter("id_shop = 1").select(
-        F.col("id_entity").alias("id"), F.when(F.col("id_entity") % 3 != 0, F.col("date_upd").cast("timestamp_ntz")).alias("updated_at")
+    rows = product_rows(c).select(
+        F.col("id_entity").alias("id"), "id_shop", "id_lang", F.when(F.col("id_entity") % 3 != 0, F.col("date_upd").cast("timestamp_ntz")).alias("updated_at")
     )
     return default_updated_at(rows, F.lit("2024-12-31 00:00:00").cast("timestamp_ntz"))
 

@@ -11,6 +11,7 @@ from shelfweave.operators import facets as X
 from shelfweave.operators import metas as M
 from shelfweave.operators import product as P
 from shelfweave.operators import search as R
+from shelfweave.functions import scalars as S
 from shelfweave.plans import oracle_views as V
 from shelfweave.plans.registry import query
 
@@ -197,6 +198,26 @@ def _(c):
     return X.facet_topk(counts, settings, ["id_shop"])
 
 
+@query("facet_settings", f"""SELECT id_shop, id_lang, field, value, n FROM (SELECT f.id_shop, f.id_lang, f.field, f.value, m.result_limit, f.n,
+        row_number() OVER (PARTITION BY f.id_shop, f.id_lang, f.field ORDER BY f.n DESC, f.value) AS k FROM (
+            SELECT id_shop, id_lang, field, value, count(*) AS n FROM (
+                SELECT t.id_product, t.id_shop, l.id_lang, t.field, t.value FROM ({_FACET_SQL}) t JOIN product_lang l ON l.id_product = t.id_product
+                UNION ALL SELECT s.id_product, s.id_shop, l.id_lang, 'price', CAST(s.price AS VARCHAR) FROM product_shop s JOIN product_lang l ON l.id_product = s.id_product WHERE s.active
+                UNION ALL SELECT DISTINCT s.id_product, s.id_shop, l.id_lang, {V.slug('x.name')}, x.value FROM product_shop s JOIN product_lang l ON l.id_product = s.id_product
+                    JOIN feature_product x ON x.id_product = s.id_product AND x.id_lang = l.id_lang WHERE s.active) r GROUP BY 1, 2, 3, 4) f
+        JOIN (SELECT code, any_value(result_limit) AS result_limit FROM meta WHERE aggregatable GROUP BY 1) m ON m.code = f.field) g WHERE coalesce(result_limit, 0) <= 0 OR k <= result_limit""")
+def _(c):
+    """Facets of whatever fields the documents have, features among them, as far as the settings make them aggregatable, with their limits."""
+    slugged = c.feature_product.select("id_product", "id_lang", S.slugify(F.col("name")).alias("code"), "value").groupBy("id_product", "id_lang", "code").agg(
+        F.collect_set("value").alias("values"))
+    features = slugged.groupBy("id_product", "id_lang").agg(F.map_from_entries(F.collect_list(F.struct("code", "values"))).alias("features"))
+    docs = _faceted(c).withColumn("category", F.transform("category_ids", lambda i: i.cast("string"))).drop("category_ids", "id_manufacturer", "id_tax_rules_group")
+    docs = docs.join(c.product_lang.select("id_product", "id_lang"), "id_product").join(features, ["id_product", "id_lang"], "left")
+    settings = c.meta.filter("aggregatable").groupBy(F.col("code").alias("field")).agg(F.first("result_limit").alias("result_limit"))
+    counts = X.facet_counts(X.unpivoted(docs, ["id_product", "id_shop", "id_lang"]), settings, ["id_shop", "id_lang"])
+    return X.facet_topk(counts, settings, ["id_shop", "id_lang"])
+
+
 @query("facet_price_range", """SELECT s.id_shop, min(s.price) AS low, max(s.price) AS high, min(round(s.price * (1 + t.rate / 100), 6)) AS low_with_tax, max(round(s.price * (1 + t.rate / 100), 6)) AS high_with_tax
     FROM product_shop s CROSS JOIN (SELECT arg_min(rate, id_tax_rule) AS rate FROM tax_rule WHERE id_tax_rules_group = 1) t WHERE s.active GROUP BY 1""")
 def _(c):
@@ -234,17 +255,19 @@ def _(c):
     return X.selected_counts(_named(c), fields, {"manufacturer": (_OR, fv.FACET_OR), "condition": (("new",), fv.FACET_OR)}, ["id_shop"])
 
 
-@query("fixed_filter_category", f"""SELECT DISTINCT t.id_product, t.mode FROM (
-        SELECT c.id_product, 'below' AS mode FROM cat_text c WHERE c.id_lang = 2 AND starts_with(concat(array_to_string(list_transform(string_split(c.path, ' /// '), lambda s: {V.slug('s')}), '/'), '/'), 'europe-en/')
-        UNION ALL SELECT c.id_product, 'exact' FROM cat_text c WHERE c.id_lang = 2 AND {V.slug('c.name')} = 'nation-3-3-en') t JOIN product_lang l ON l.id_product = t.id_product AND l.id_lang = 2""")
+@query("fixed_filter_category", f"""SELECT DISTINCT t.id_product, t.id_lang, t.mode FROM (
+        SELECT c.id_product, c.id_lang, 'below' AS mode FROM cat_text c JOIN lang ON lang.id_lang = c.id_lang
+            WHERE starts_with(concat(array_to_string(list_transform(string_split(c.path, ' /// '), lambda s: {V.slug('s')}), '/'), '/'), concat('europe-', lang.iso_code, '/'))
+        UNION ALL SELECT c.id_product, c.id_lang, 'exact' FROM cat_text c JOIN lang ON lang.id_lang = c.id_lang WHERE {V.slug('c.name')} = concat('nation-3-3-', lang.iso_code)) t
+    JOIN product_lang l ON l.id_product = t.id_product AND l.id_lang = t.id_lang""")
 def _(c):
-    """A category page with its sub-categories, and one without."""
+    """A category page with its sub-categories, and one without, in every language."""
     cats = P.categories(c.category_product, c.category, c.category_lang)
-    docs = c.product_lang.filter("id_lang = 2").select("id_product", "id_lang").join(cats, "id_product")
+    docs = c.product_lang.select("id_product", "id_lang").join(cats, "id_product").join(c.lang.select("id_lang", "iso_code"), "id_lang")
     docs = docs.withColumn("cats", P.in_language(F.col("cats"), F.col("id_lang")))
-    below = X.fixed_filter(docs, "category", "europe-en", paths=P.category_path_list(F.col("cats")))
-    exact = X.fixed_filter(docs, "category", "nation-3-3-en", subcategories=False, names=F.transform("cats", lambda x: x["text"]["name"]))
-    return below.select("id_product", F.lit("below").alias("mode")).unionByName(exact.select("id_product", F.lit("exact").alias("mode")))
+    below = X.fixed_filter(docs, "category", F.concat(F.lit("europe-"), "iso_code"), paths=P.category_path_list(F.col("cats")))
+    exact = X.fixed_filter(docs, "category", F.concat(F.lit("nation-3-3-"), "iso_code"), subcategories=False, names=F.transform("cats", lambda x: x["text"]["name"]))
+    return below.select("id_product", "id_lang", F.lit("below").alias("mode")).unionByName(exact.select("id_product", "id_lang", F.lit("exact").alias("mode")))
 
 
 @query("fixed_filter_brand", f"""SELECT p.id_product, 'brand' AS kind FROM product p JOIN manufacturer m ON m.id_manufacturer = p.id_manufacturer WHERE {V.slug('m.name')} = 'brand-7'
@@ -253,3 +276,14 @@ def _(c):
     docs = P.brand(c.product, c.manufacturer, c.supplier_name)
     maker = X.fixed_filter(docs, "manufacturer", "brand-7").select("id_product", F.lit("brand").alias("kind"))
     return maker.unionByName(X.fixed_filter(docs, "supplier_name", "supplier-000000003").select("id_product", F.lit("supplier").alias("kind")))
+
+
+@query("autocomplete_typed", f"""SELECT prefix, entry, weight, rank FROM (SELECT p.prefix, v.term AS entry, v.n AS weight, CAST(row_number() OVER (PARTITION BY p.prefix ORDER BY v.n DESC, v.term) AS INT) AS rank
+    FROM (SELECT DISTINCT substring(term, 1, CAST(k AS INT)) AS prefix FROM (SELECT DISTINCT unnest({V.words('lower(text)')}) AS term FROM benchmark) t, generate_series(1, length(term)) g(k)) p
+    JOIN (SELECT token AS term, count(*) AS n FROM doc_token GROUP BY 1) v ON starts_with(v.term, p.prefix)) r WHERE rank <= 5""")
+def _(c):
+    """Suggestions while the words of the benchmark texts are typed, letter by letter to their end."""
+    entries = c.doc_token.groupBy(F.col("token").alias("entry")).agg(F.count(F.lit(1)).alias("weight"))
+    typed = c.raw("benchmark").select(F.explode(A.word_tokens(F.lower("text"))).alias("t")).distinct()
+    prefixes = typed.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("t")), lambda n: F.substring(F.col("t"), F.lit(1), n))).alias("prefix"))
+    return R.suggestions(entries, prefixes, 5)

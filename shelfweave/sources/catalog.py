@@ -205,6 +205,24 @@ class Catalog:
             ))
         return S.union_by_name(parts)
 
+    @cached_property
+    def attribute_group_lang(self) -> DataFrame:
+        return spread(self.attribute_group, self.lang.select("id_lang", "iso_code")).filter("(id_attribute_group + id_lang) % 5 <> 0").selectExpr(
+            "id_attribute_group", "id_lang", "concat(name, ' ', iso_code) AS name")
+
+    @cached_property
+    def attribute_lang(self) -> DataFrame:
+        return spread(self.attribute, self.lang.select("id_lang", "iso_code")).filter("(id_attribute + id_lang) % 7 <> 0").selectExpr(
+            "id_attribute", "id_lang", "concat(name, ' ', iso_code) AS name")
+
+    @cached_property
+    def attribute_group_shop(self) -> DataFrame:
+        return spread(self.attribute_group, self.shop.select("id_shop")).filter("(id_attribute_group + id_shop) % 4 <> 0").select("id_attribute_group", "id_shop")
+
+    @cached_property
+    def attribute_shop(self) -> DataFrame:
+        return spread(self.attribute, self.shop.select("id_shop")).filter("(id_attribute + id_shop) % 3 <> 0").select("id_attribute", "id_shop")
+
     @cached_property
     def tax_rule(self) -> DataFrame:
         return self.raw("supplier").selectExpr(

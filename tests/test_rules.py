@@ -20,7 +20,7 @@ from shelfweave.operators import search as R
 from shelfweave.operators import sync as Y
 from shelfweave.operators.publish import plan_new_version
 from shelfweave.operators.registry import ENTITIES, Attribute, Entity, default_updated_at, project, register_entity
-from shelfweave.operators.relational import containing_intervals, first_per_key, literal_rows, numbered, spread, top_per_group
+from shelfweave.operators.relational import containing_intervals, first_per_key, hot_keys, literal_rows, numbered, split_join, spread, top_per_group
 from shelfweave.operators.rows import entity_rows
 
 
@@ -363,3 +363,67 @@ def test_suggestions_of_long_prefixes(spark):
     prefixes = spark.createDataFrame([("internationa",), ("internationalisation",)], "prefix string")
     got = [(r.prefix, r.entry) for r in suggestions(entries, prefixes, 5).orderBy("prefix", "rank").collect()]
     assert got == [("internationa", "internationally"), ("internationa", "internationalisation"), ("internationalisation", "internationalisation")]
+
+
+# --- search at scale -----------------------------------------------------------------------------
+
+def _matched(spark, seed, n_docs=300, n_queries=25):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(30)]
+    some = lambda most: [words[min(29, int(rng.expovariate(0.2)))] for _ in range(rng.randint(0, most))]
+    docs = [(d, some(12), some(3)) for d in range(n_docs)]
+    queries = [(q, t) for q in range(n_queries) for t in some(4)]
+    frame = spark.createDataFrame(docs, "doc long, body array<string>, title array<string>")
+    return frame, spark.createDataFrame(queries, "id_query long, term string"), {"body": F.col("body"), "title": F.col("title")}, {"body": 1, "title": 3}
+
+
+def test_best_matches_without_scoring_all(spark):
+    for seed in (1, 2):
+        docs, queries, fields, weights = _matched(spark, seed)
+        whole = R.multi_match(docs, "doc", fields, queries, weights)
+        for k in (1, 5, 40):
+            want = {tuple(r) for r in top_per_group(whole, ["id_query"], [F.col("score").desc(), F.col("doc")], k).select("id_query", "doc", "score", "rank").collect()}
+            got = {tuple(r) for r in R.multi_match(docs, "doc", fields, queries, weights, k).select("id_query", "doc", "score", "rank").collect()}
+            assert got == want
+        wanted = queries.distinct()
+        hits = R._hits(docs, "doc", fields, wanted)
+        plan = R.match_plan(wanted, R._gains(docs, hits, weights, 5))
+        assert R.candidates(plan, hits, "doc").select("id_query", "doc").distinct().count() < 0.8 * whole.count()
+
+
+def test_split_join_deals_out_hot_keys_only(spark):
+    rows = spark.range(4000).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 500)) AS key", "id AS v")
+    side = spark.createDataFrame([("hot", 1), ("k1", 2), ("k499", 3), ("none", 4)], "key string, x int")
+    assert [len(r[0]) for r in spark.range(1).select(hot_keys(rows, ["key"])).collect()] == [1]
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        plain, dealt = rows.join(side, ["key"], how), split_join(rows, side, ["key"], how)
+        assert sorted(map(str, plain.select(*dealt.columns).collect())) == sorted(map(str, dealt.collect()))
+    plan = split_join(rows, side, ["key"]).select("key", "v", "x")
+    assert plan.count() == 4000
+    assert split_join(rows.limit(0), side, ["key"]).count() == 0
+
+
+def test_short_terms_by_deletions_and_long_ones_by_pieces(spark):
+    rng = random.Random(11)
+    word = lambda low, high: "".join(rng.choice("ab") for _ in range(rng.randint(low, high)))
+    words, asked = {word(1, 10) for _ in range(300)}, {word(2, 8) for _ in range(60)}
+    got = {(r.query_term, r.term, r.distance) for r in R.fuzzy_terms(column(spark, words).toDF("term"), column(spark, asked).toDF("term")).collect()}
+    allowed = lambda q: 0 if len(q) <= 2 else 1 if len(q) <= 5 else 2
+    assert got == {(q, w, distance(q, w)) for q, w in itertools.product(asked, words) if distance(q, w) <= allowed(q)}
+
+
+def test_numbered_of_sparse_ids(spark):
+    rng = random.Random(5)
+    rows = [(g, i, t) for g in ("a", None) for i in {rng.randrange(-(1 << 62), 1 << 62) for _ in range(200)} | {-1, 0, 1, 65535, 65536, (1 << 62) + 7} for t in (1, 2)]
+    frame = spark.createDataFrame(rows, "g string, id long, t int").repartition(5)
+    got = {(r.g, r.id, r.t): r.row_no for r in numbered(frame, "id", groups=["g"], ties=["t"]).collect()}
+    for g in ("a", None):
+        for place, (i, t) in enumerate(sorted((i, t) for h, i, t in rows if h == g), 1):
+            assert got[(g, i, t)] == place
+    assert [r.row_no for r in numbered(frame.filter("g = 'a' AND t = 1"), "id").orderBy("id").collect()] == list(range(1, len(rows) // 4 + 1))
+
+
+def test_unpivoted_fields_are_those_of_the_data(spark):
+    docs = spark.createDataFrame([(1, "x", ["a", "b", "a"], {"size": ["s", "m"]}, None), (2, None, [], {}, 2.5)], "id int, kind string, tags array<string>, more map<string,array<string>>, price double")
+    got = {tuple(r) for r in X.unpivoted(docs, ["id"]).collect()}
+    assert got == {(1, "kind", "x"), (1, "tags", "a"), (1, "tags", "b"), (1, "size", "s"), (1, "size", "m"), (2, "price", "2.5")}
