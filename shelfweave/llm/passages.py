@@ -19,6 +19,7 @@ BREAK = 40
 SHIFT = 12
 REACH = 64
 JOIN_GAP = 3
+EDGE = 2 * WINDOW
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -90,8 +91,8 @@ def _whole_runs(least_words: int):
                 begin = np.flatnonzero(np.cumsum(begins) > 0)
                 value = mix((total[begin + least_words] - total[begin]) * down[begin])
                 doc = w.doc[begin]
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), b["doc_id"].slice(lo, hi - lo).take(pa.array(doc)), pa.array(begin - w.first[doc], pa.int32())],
-                                                 names=["whole", "doc_id", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), *(b[c].slice(lo, hi - lo).take(pa.array(doc)) for c in ("doc_id", "version")), pa.array(begin - w.first[doc], pa.int32())],
+                                                 names=["whole", "doc_id", "version", "place"])
 
     return apply
 
@@ -172,55 +173,90 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _points(x: np.ndarray, y: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of equal shingles of one pair of documents, and which are of matches of whole runs: a match of more words stands for its ends (and
-    a whole run's middle), and inside long runs of matches one word after the other only every eighth stays.
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], work) -> Iterator[pa.RecordBatch]:
+    """``work`` over sorted batches, cut so that rows equal in ``keys`` come together: what may go on in the next batch waits for it."""
+    rest = None
+    for b in batches:
+        b = pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0] if rest is not None and rest.num_rows else b
+        if not b.num_rows:
+            continue
+        same = np.ones(b.num_rows, bool)
+        for k in keys:
+            same &= (v := b[k].to_numpy(zero_copy_only=False)) == v[-1]
+        end = b.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+        if end:
+            yield work(b.slice(0, end))
+        rest = b.slice(end)
+    if rest is not None and rest.num_rows:
+        yield work(rest)
+
+
+def _covered(least_words: int):
+    """Maximal runs of a text's words that lie in runs of ``least_words`` words which earlier documents have too, with the ids of these."""
+
+    def joined(b: pa.RecordBatch) -> pa.RecordBatch:
+        doc, version, place, other = (b[c].to_numpy() for c in ("doc_id", "version", "place", "other"))
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (place[1:] > place[:-1] + least_words)
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(doc))
+        others = [np.unique(other[x:y]) for x, y in zip(begin, end)]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(o) for o in others]))), pa.int32()), pa.array(np.concatenate(others)))
+        return pa.RecordBatch.from_arrays([pa.array(doc[begin]), pa.array(version[begin]), pa.array(place[begin], pa.int32()), pa.array(place[end - 1] + least_words, pa.int32()), lists],
+                                          names=["doc_id", "version", "begin", "end", "others"])
+
+    return lambda batches: _grouped(batches, ["doc_id", "version"], joined)
+
+
+def _points(x: np.ndarray, y: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal shingles of one pair of documents: a match of more words stands for its ends, and inside long runs of matches one word after
+    the other only every eighth stays.
     """
-    whole = span > BREAK
     if span.any():
         far = span > 0
-        x, y, whole = (np.concatenate((v, v[far] + d * span[far], v[span > BREAK] + d * (span[span > BREAK] // 2))) for v, d in ((x, 1), (y, 1), (whole, 0)))
-        order = np.lexsort((-whole, -y, x))
-        x, y, whole = x[order], y[order], whole[order] > 0
+        x, y = np.concatenate((x, x[far] + span[far])), np.concatenate((y, y[far] + span[far]))
+        order = np.lexsort((-y, x))
+        x, y = x[order], y[order]
     new = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
-    x, y, whole = x[new], y[new], whole[new]
+    x, y = x[new], y[new]
     if len(x) > 2:
         next_to = (np.diff(x) == 1) & (np.diff(y) == 1)
         keep = np.ones(len(x), bool)
         keep[1:-1] = ~(next_to[:-1] & next_to[1:]) | (x[1:-1] % 8 == 0)
-        x, y, whole = x[keep], y[keep], whole[keep]
-    return x, y, whole
+        x, y = x[keep], y[keep]
+    return x, y
 
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains of each pair of documents; rows arrive by (doc_id, other, place, at descending), and a pair that may go on in the next batch waits for it."""
+    """Chains of each pair of documents. Rows arrive by doc_id, covered runs first (``span`` -1, from ``place`` to ``at``), then by (other, place, at descending).
+
+    Matches more than ``EDGE`` words inside a covered run are passed over: their words are found already, and by its edges a run goes on.
+    """
+    now, low, high = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def found(b: pa.RecordBatch) -> pa.RecordBatch:
+        nonlocal now, low, high
         doc, other, x, y, span = (b[c].to_numpy() for c in ("doc_id", "other", "place", "at", "span"))
-        cut = np.flatnonzero((doc[1:] != doc[:-1]) | (other[1:] != other[:-1])) + 1
-        begin, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(doc)]))
-        many = (end - begin > 1) | (span[begin] > 0)
+        cut = np.flatnonzero((doc[1:] != doc[:-1]) | (other[1:] != other[:-1]) | ((span[1:] < 0) != (span[:-1] < 0))) + 1
         rows = []
-        for lo, hi in zip(begin[many], end[many]):
-            u, v, whole = _points(x[lo:hi], y[lo:hi], span[lo:hi])
-            got = chains(u, v)
-            whole[np.concatenate([*got, np.zeros(0, np.int64)])] = False  # what is left of whole runs is aligned on its own
-            rows += [(doc[lo], other[lo], u[c], v[c]) for c in [*got, *np.flatnonzero(whole)[:, None]]]
+        for begin, end in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(doc)])).tolist()):
+            if doc[begin] != now:
+                now, low, high = doc[begin], np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if span[begin] < 0:
+                low, high = x[begin:end] + EDGE, y[begin:end] - EDGE
+                continue
+            u, v, far = x[begin:end], y[begin:end], span[begin:end]
+            if len(low):
+                run = np.searchsorted(low, u, "right") - 1
+                open_ = (run < 0) | (u + far + SHINGLE > high[run])
+                u, v, far = u[open_], v[open_], far[open_]
+            if len(u) > 1 or far.any():
+                u, v = _points(u, v, far)
+                rows += [(doc[begin], other[begin], u[c], v[c]) for c in chains(u, v)]
         types = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["doc_id", "other", "x", "y"])
 
-    rest = None
-    for b in batches:
-        b = pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0] if rest is not None and rest.num_rows else b
-        if not b.num_rows:
-            continue
-        doc, other = b["doc_id"].to_numpy(), b["other"].to_numpy()
-        end = int(np.flatnonzero((doc == doc[-1]) & (other == other[-1]))[0])
-        if end:
-            yield found(b.slice(0, end))
-        rest = b.slice(end)
-    if rest is not None and rest.num_rows:
-        yield found(rest)
+    yield from _grouped(batches, ["doc_id", "other"], found)
 
 
 def _reach(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
@@ -329,10 +365,15 @@ def _aligned(identity: float, least_words: int):
             for lo, hi, data, at in parts(b["text"]):
                 w = words(data, at)
                 out = []
+                covered = b["covered"].slice(lo, hi - lo).to_pylist()
                 for i, found in enumerate(b["chains"].slice(lo, hi - lo).to_pylist()):
                     a = w.hash[w.first[i] : w.first[i + 1]]
                     pieces, equal = [], np.zeros(len(a), bool)
-                    for c in found:
+                    for c in covered[i] or []:
+                        if c["version"] == b["version"][lo + i].as_py():
+                            equal[c["begin"] : c["end"]] = True
+                            pieces += [(c["begin"], c["end"], o) for o in c["others"]]
+                    for c in found or []:
                         x, y = np.asarray(c["x"]), np.asarray(c["y"])
                         if x[-1] >= len(a):
                             continue  # of another text with this id
@@ -368,7 +409,8 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = MIN_
     Each occurrence of a seed, of a run of seeds (three for 50 words) and of ``least_words`` whole words that hold a repeated run of seeds is
     matched with the first occurrence of the same in the corpus, never with all others. Equal runs of ``least_words`` words share a run of
     seeds, so none is lost, wherever its seeds occur first (passages with differences meet by seeds and runs of seeds), and matches are linear in the
-    text however common a passage is. The matches of two documents are chained and the chains aligned; their longest pieces with ``identity`` equal
+    text however common a passage is. Words in such equal runs (by hashes of 64 bits) are found as they are, and what lies well inside them is
+    chained no more. The other matches of two documents are chained and the chains aligned; their longest pieces with ``identity`` equal
     words or more count, and pieces that touch, though their first copies lie in different documents, are one passage where they pass together.
     Where they don't, each that passes is a passage, and two may overlap.
 
@@ -388,20 +430,27 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = MIN_
     matches = seeded.join(first, "seed").filter("doc_id <> other").withColumn("span", F.lit(0)).select(*pair)
     runs = scratch.table(seeded.join(first_run, "run").select(*pair), "runs")
     held = runs.groupBy("doc_id").agg(F.collect_set(F.struct("place", "span")).alias("held"))  # at most the seeds of one document
-    whole = plain.join(held, "doc_id").select("doc_id", "text", "held").mapInArrow(_whole_runs(least_words), "whole long, doc_id long, place int")
-    whole = scratch.table(whole, "whole")
-    wholes = whole.join(firsts(whole, "whole"), "whole").filter("doc_id <> other").withColumn("span", F.lit(least_words - SHINGLE)).select(*pair)
-    matches = matches.union(runs.filter("doc_id <> other")).union(wholes)
+    whole = plain.join(held, "doc_id").select("doc_id", "text", F.xxhash64("text").alias("version"), "held")
+    whole = scratch.table(whole.mapInArrow(_whole_runs(least_words), "whole long, doc_id long, version long, place int"), "whole")
+    wholes = whole.join(firsts(whole, "whole"), "whole").filter("doc_id <> other").select("doc_id", "version", "place", "other")
+    covered = wholes.repartition("doc_id").sortWithinPartitions("doc_id", "version", "place")
+    covered = scratch.table(covered.mapInArrow(_covered(least_words), "doc_id long, version long, begin int, end int, others array<long>"), "covered")
+    # Of an id with several texts all matches are chained: a covered run of one says nothing of the other.
+    again = plain.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    inside = covered.join(again, "doc_id", "left_anti").select("doc_id", F.col("begin").alias("place"), F.lit(0).cast("long").alias("other"), F.col("end").alias("at"), F.lit(-1).alias("span"))
+    matches = matches.union(runs.filter("doc_id <> other")).union(inside.select(*pair))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the chaining is heavier than its few bytes suggest
-    matches = matches.repartition(tasks, "doc_id", "other").sortWithinPartitions("doc_id", "other", "place", F.desc("at"))
+    matches = matches.repartition(tasks, "doc_id").sortWithinPartitions("doc_id", F.col("span") >= 0, "other", "place", F.desc("at"))
     chained = matches.mapInArrow(_chained, "doc_id long, other long, x array<int>, y array<int>")
     chained = scratch.table(chained, "chained")
-    ids = scratch.table(chained.select("doc_id").union(chained.select("other")).distinct(), "ids")
+    ids = scratch.table(chained.select("doc_id").union(chained.select("other")).union(covered.select("doc_id")).distinct(), "ids")
     texts = scratch.table(plain.join(ids, "doc_id", "left_semi"), "texts")
     around = (chained.join(texts.withColumnRenamed("doc_id", "other"), "other").select("doc_id", "other", "x", "y", "text")
               .mapInArrow(_windows, "doc_id long, other long, x array<int>, y array<int>, around array<long>"))
     own = around.groupBy("doc_id").agg(F.collect_list(F.struct("other", "x", "y", "around")).alias("chains"))  # at most the seeds of one document
-    rows = own.join(texts, "doc_id").select("doc_id", "text", "chains")
+    held = covered.groupBy("doc_id").agg(F.collect_list(F.struct("version", "begin", "end", "others")).alias("covered"))  # at most the words of one document
+    rows = texts.join(own, "doc_id", "left").join(held, "doc_id", "left").filter("chains is not null or covered is not null")
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("version"), "chains", "covered")
     return rows.mapInArrow(_aligned(identity, least_words), "doc_id long, first_word int, end_word int, others array<long>, first_byte long, end_byte long")
 
 

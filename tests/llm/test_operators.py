@@ -335,3 +335,45 @@ def test_empty_tables(spark, none, labels):
     for out in (repeated_bytes(none, s), fingerprints(none, s), mixture(none, s), mixed(none, s), packed(none, public_tokenizers.path("word_bpe_49k.json"), s), quality_scores(none, labels, s), near_duplicates(none, s),
                 keep_first(none, s), licences(none, s), languages(none, s), repeated_passages(none, s), cut_passages(none, s), near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"), s)):
         assert out.count() == 0
+
+
+def _chained_rows(spark, n):
+    base, rng = _words(300, "v").split(), np.random.default_rng(5)
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for k in rng.choice(300, 6, False):
+            text[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(text)))
+    s = _scratch(spark)
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), s).collect()
+    assert len({r.doc_id for r in found}) >= n - 2
+    return spark.read.parquet(s.latest["chained"]).count()
+
+
+def test_chains_grow_with_the_texts_not_with_their_pairs(spark):
+    few, many = _chained_rows(spark, 40), _chained_rows(spark, 160)
+    assert many <= 4 * 1.5 * few
+
+
+@pytest.mark.parametrize(("share", "least"), [(0.05, 0.95), (0.1, 0.9)])
+def test_passages_with_changed_words(spark, share, least):
+    rng, rows, n = np.random.default_rng(8), [], 60
+    for k in range(n):
+        first = _words(120, f"z{k}").split()
+        second = [f"new{k}x{i}" if rng.random() < share else w for i, w in enumerate(first)]
+        rows += [(2 * k, " ".join([_words(40, f"e{k}"), *first, _words(40, f"f{k}")])), (2 * k + 1, " ".join([_words(50, f"g{k}"), *second, _words(30, f"h{k}")]))]
+    got = np.zeros(n)
+    for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), _scratch(spark)).collect():
+        got[r.doc_id // 2] += max(0, min(r.end_word, 170) - max(r.first_word, 50)) / 120
+        assert r.first_word >= 48 and r.end_word <= 172
+    assert np.mean(np.minimum(got, 1)) >= least
+
+
+@pytest.mark.parametrize("total", range(7))
+def test_batches_of_few_words(spark, total):
+    """A table whose only text has ``total`` words, through all that cut words into shingles."""
+    table = spark.createDataFrame([(1, " ".join("abcdefg"[:total]))], "doc_id long, text string")
+    assert fingerprints(table, _scratch(spark)).count() == 1
+    assert near_duplicates(table, _scratch(spark)).count() == 1
+    assert repeated_passages(table, _scratch(spark)).count() == 0
