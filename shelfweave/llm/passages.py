@@ -280,8 +280,9 @@ def _reach(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
                 continue
         for d in range(1, 4):  # words put in or left out
             for da, db in ((d, 0), (0, d), (d, d)):
-                u, v = a[at_a + da : at_a + da + 6], b[at_b + db : at_b + db + 6]
-                if len(u) == len(v) == 6 and (u == v).all():
+                if at_a + da + 6 > len(a) or at_b + db + 6 > len(b) or a[at_a + da] != b[at_b + db]:
+                    continue
+                if (a[at_a + da : at_a + da + 6] == b[at_b + db : at_b + db + 6]).all():
                     at_a, at_b = at_a + da, at_b + db
                     marks.append(np.zeros(da, bool))
                     break
@@ -344,7 +345,7 @@ def passing(equal: np.ndarray, identity: float, least_words: int) -> list[tuple[
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of the other document around each chain, as hashes, with the chain's places in them."""
+    """The words of the other document around each chain, as hashes of 32 bits in a row, with the chain's places in them."""
     for b in batches:
         for lo, hi, data, at in parts(b["text"]):
             w = words(data, at)
@@ -352,10 +353,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, y in enumerate(b["y"].slice(lo, hi - lo).to_pylist()):
                 begin = max(0, y[0] - REACH * 8)
                 own = w.hash[w.first[i] : w.first[i + 1]]
-                around.append(own[begin : y[-1] + SHINGLE + REACH * 8].view(np.int64))
-                shifted.append(np.asarray(y) - begin)
-            cut = lambda x: pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(v) for v in x]))), pa.int32()), pa.array(np.concatenate(x) if x else []))
-            yield pa.RecordBatch.from_arrays([*(b[c].slice(lo, hi - lo) for c in ("doc_id", "other", "x")), cut(shifted).cast(pa.list_(pa.int32())), cut(around)],
+                around.append(own[begin : y[-1] + SHINGLE + REACH * 8].astype(np.uint32).tobytes())
+                shifted.append(np.asarray(y, np.int32) - np.int32(begin))
+            yield pa.RecordBatch.from_arrays([*(b[c].slice(lo, hi - lo) for c in ("doc_id", "other", "x")), pa.array(shifted, pa.list_(pa.int32())), pa.array(around, pa.binary())],
                                              names=["doc_id", "other", "x", "y", "around"])
 
 
@@ -367,7 +367,7 @@ def _aligned(identity: float, least_words: int):
                 out = []
                 covered = b["covered"].slice(lo, hi - lo).to_pylist()
                 for i, found in enumerate(b["chains"].slice(lo, hi - lo).to_pylist()):
-                    a = w.hash[w.first[i] : w.first[i + 1]]
+                    a = w.hash[w.first[i] : w.first[i + 1]].astype(np.uint32)
                     pieces, equal = [], np.zeros(len(a), bool)
                     for c in covered[i] or []:
                         if c["version"] == b["version"][lo + i].as_py():
@@ -377,7 +377,7 @@ def _aligned(identity: float, least_words: int):
                         x, y = np.asarray(c["x"]), np.asarray(c["y"])
                         if x[-1] >= len(a):
                             continue  # of another text with this id
-                        begin, mark = align(a, np.asarray(c["around"], np.int64).view(np.uint64), x, y)
+                        begin, mark = align(a, np.frombuffer(c["around"], np.uint32), x, y)
                         for p, q in passing(mark, identity, SHINGLE):
                             pieces.append((begin + p, begin + q, c["other"]))
                             equal[begin + p : begin + q] |= mark[p:q]
@@ -446,7 +446,7 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, least_words: int = MIN_
     ids = scratch.table(chained.select("doc_id").union(chained.select("other")).union(covered.select("doc_id")).distinct(), "ids")
     texts = scratch.table(plain.join(ids, "doc_id", "left_semi"), "texts")
     around = (chained.join(texts.withColumnRenamed("doc_id", "other"), "other").select("doc_id", "other", "x", "y", "text")
-              .mapInArrow(_windows, "doc_id long, other long, x array<int>, y array<int>, around array<long>"))
+              .mapInArrow(_windows, "doc_id long, other long, x array<int>, y array<int>, around binary"))
     own = around.groupBy("doc_id").agg(F.collect_list(F.struct("other", "x", "y", "around")).alias("chains"))  # at most the seeds of one document
     held = covered.groupBy("doc_id").agg(F.collect_list(F.struct("version", "begin", "end", "others")).alias("covered"))  # at most the words of one document
     rows = texts.join(own, "doc_id", "left").join(held, "doc_id", "left").filter("chains is not null or covered is not null")
