@@ -21,7 +21,11 @@ BATCHES = 4
 
 
 def _store(c: Catalog) -> Store:
-    root = checkpoint_root(c.spark, "") or tempfile.mkdtemp(prefix="shelfweave-")
+    root = checkpoint_root(c.spark, "")
+    if not root:
+        if not c.spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="shelfweave-")
     store = Store(c.spark, f"{root.rstrip('/')}/store-{uuid.uuid4().hex}")
     store._fs().deleteOnExit(store._path())
     return store
