@@ -241,20 +241,24 @@ def licences(docs: DataFrame, scratch: Scratch, overlap: float = OVERLAP) -> Dat
     lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("number", "paragraph")).filter(telling(F.col("paragraph")))
     candidates = lines.select("doc_id", "row", "number", F.lit(1).alias("n_lines"), "paragraph").union(_blocks(texts))
     # Written, so that no later expression works the features out again.
-    raw = model.transform(_features(candidates, grams)).select("doc_id", "row", "number", "n_lines", "paragraph", vector_to_array("rawPrediction").alias("raw"))
+    raw = model.transform(_features(candidates, grams)).select("doc_id", "row", "number", "n_lines", F.array_join(_words(F.col("paragraph")), " ").alias("words"), vector_to_array("rawPrediction").alias("raw"))
     scored = scratch.table(raw.filter(F.array_position("raw", F.array_max("raw")) <= n), "scored")
     odds = F.transform("raw", lambda x: F.exp((x - F.array_max("raw")) / temperature))
     leading = F.filter(F.transform(odds, lambda x, i: F.struct((i + 1).alias("best"), x.alias("odds"))), lambda x: (x["best"] <= n) & (x["odds"] >= F.get(odds, F.lit(n))))
     total = F.aggregate(odds, F.lit(0.0), lambda s, x: s + x)
-    each = scored.select("doc_id", "row", "number", "n_lines", _words(F.col("paragraph")).alias("words"), F.array_position("raw", F.array_max("raw")).alias("top"),
+    each = scored.select("doc_id", "row", "number", "n_lines", "words", F.array_position("raw", F.array_max("raw")).alias("top"),
                          total.alias("total"), F.explode(leading).alias("f")).select("*", "f.best", "f.odds")
-    each = each.join(F.broadcast(_comparison(spark)), "best").withColumn("own", F.array_intersect(_pairs(F.col("words")), "known"))
-    alike = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, "own")) / F.size(t)))
-    each = each.withColumn("template_overlap", alike)
-    marked = F.regexp_like(F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")), F.col("mark"))
-    finds = each.select("doc_id", "row", "number", "n_lines", "family", (F.col("odds") / F.col("total")).alias("probability"), "template_overlap",
-                        ((F.col("template_overlap") >= overlap) & marked).alias("confirmed"), (F.col("best") == F.col("top")).alias("likeliest"))
-    finds = scratch.table(finds.filter("confirmed or (likeliest and n_lines = 1)"), "finds")
+    each = each.join(F.broadcast(_comparison(spark)), "best")
+    own = F.array_intersect(_pairs(F.split("words", " ")), F.col("known"))
+    # Bound as a variable, the pairs are worked out once and not for every template.
+    alike = lambda o: F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, o)) / F.size(t)))
+    marked = F.regexp_like(F.concat(F.lit(" "), "words", F.lit(" ")), F.col("mark"))
+    judged = F.element_at(F.transform(F.array(own), lambda o: F.transform(F.array(alike(o)), lambda x: F.struct(x.alias("overlap"), ((x >= overlap) & marked).alias("confirmed")))[0]), 1)
+    each = each.withColumn("judged", judged)
+    finds = each.select("doc_id", "row", "number", "n_lines", "family", (F.col("odds") / F.col("total")).alias("probability"), F.col("judged.overlap").alias("template_overlap"),
+                        F.col("judged.confirmed").alias("confirmed"), (F.col("best") == F.col("top")).alias("likeliest"))
+    # Filtered after writing: a filter before it would judge every row twice.
+    finds = scratch.table(finds, "finds").filter("confirmed or (likeliest and n_lines = 1)")
     single, runs = finds.filter("n_lines = 1").alias("s"), finds.filter("n_lines > 1").alias("r")
     inside = F.expr("r.row = s.row and r.family = s.family and s.number >= r.number and s.number < r.number + r.n_lines")
     # A run goes where a line of it states the same; unconfirmed lines go where they are part of a notice that a run states.
