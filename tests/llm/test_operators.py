@@ -275,6 +275,15 @@ def test_licence_wordings(spark):
     assert got[-2] == [(0, 1, "apache-2.0", True), (0, 1, "mit", True)] and got[-1] == [(2, 3, "apache-2.0", True), (7, 1, "proprietary", True)]
 
 
+def test_licences_of_odd_tables(spark, none):
+    """Null and repeated ids, columns with the operator's own names, many blank lines, no rows."""
+    schema = "doc_id long, text string, row string, words string, family string, number long, paragraph string"
+    rows = [(i, "Released under the MIT License.", "a", "b", "c", 1, "d") for i in (None, None, 3, 3)] + [(4, "x\n\n" * 3000 + "y\nReleased under the\nMIT License.\n", "a", "b", "c", 1, "d")]
+    got = licences(spark.createDataFrame(rows, schema), _scratch(spark)).collect()
+    assert sorted((r.doc_id or 0, r.paragraph, r.n_lines, r.family, r.confirmed) for r in got) == [(0, 0, 1, "mit", True)] * 2 + [(3, 0, 1, "mit", True)] * 2 + [(4, 6000, 3, "mit", True)]
+    assert licences(none, _scratch(spark)).count() == 0
+
+
 def test_wrapped_notices(spark):
     """Every notice in lines of at most 40 letters, between other lines and between blank lines, is found once and confirmed."""
     notices = [(family, n) for family, of in licence_parts.FAMILIES.items() for n in of.notices if len(n) > 50]
