@@ -6,7 +6,8 @@ hash partitioning on ``id_product``, and the fan-out to shops and languages come
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from dataclasses import replace
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -49,20 +50,13 @@ def category_facts(category: DataFrame, category_lang: DataFrame, hidden: Sequen
     return category.select("id_category", "active", "level_depth", "id_parent").join(texts, "id_category", "left")
 
 
-def categories(
-    category_product: DataFrame, category: DataFrame, category_lang: DataFrame, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES, broadcast_rows: int = 10_000
-) -> DataFrame:
+def categories(category_product: DataFrame, category: DataFrame, category_lang: DataFrame, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES) -> DataFrame:
     """Categories of each product in id order, with the texts of all languages.
 
-    The tree is counted first. Up to ``broadcast_rows`` categories are sent to the tasks, after the id
-    pairs alone went to their product: the texts then cross no shuffle. A larger tree is joined by shuffle.
+    The id pairs alone go to their product first: of a tree that the planner sends to the tasks the texts cross no shuffle. A larger tree is joined by shuffle.
     """
-    facts = category_facts(category, category_lang, hidden)
-    pairs = category_product.select("id_product", "id_category")
-    if category.select("id_category").limit(broadcast_rows + 1).count() <= broadcast_rows:
-        rows = pairs.repartition("id_product").join(F.broadcast(facts), "id_category")
-    else:
-        rows = pairs.join(facts, "id_category")
+    pairs = category_product.select("id_product", "id_category").repartition("id_product")
+    rows = pairs.join(category_facts(category, category_lang, hidden), "id_category")
     return rows.groupBy("id_product").agg(
         F.array_sort(F.collect_list(F.struct("id_category", "active", "level_depth", "id_parent", "texts"))).alias("cats")
     )
@@ -254,6 +248,9 @@ _STOCK_CHILDREN = tuple(
     + [("low_stock_date", "date"), ("handling_time", "integer"), ("handling_time_oos", "integer")]
 )
 
+#: Prices come from the shop row, the tax rate and the reduction.
+_PRICES = ("rates", "reductions")
+
 PRODUCT = register_entity(Entity(
     name="product",
     key="id_product",
@@ -262,13 +259,13 @@ PRODUCT = register_entity(Entity(
         Attribute("sku", "keyword", _is("reference")),
         Attribute("name", "text"),
         Attribute("name_autocomplete", "text", lambda: S.autocomplete_text(
-            F.col("name"), F.col("reference"), F.col("ean13"), F.col("id_product"), F.col("manufacturer"))),
+            F.col("name"), F.col("reference"), F.col("ean13"), F.col("id_product"), F.col("manufacturer")), needs=("brand",)),
         Attribute("attribute_set_id", "integer", const=0),
-        Attribute("price", "float", allowed_types=("float",)),
-        Attribute("special_price", "float", allowed_types=("float",)),
-        Attribute("special_price_incl_tax", "float", allowed_types=("float",)),
-        Attribute("original_price", "float", allowed_types=("float",)),
-        Attribute("original_price_incl_tax", "float", allowed_types=("float",)),
+        Attribute("price", "float", allowed_types=("float",), needs=_PRICES),
+        Attribute("special_price", "float", allowed_types=("float",), needs=_PRICES),
+        Attribute("special_price_incl_tax", "float", allowed_types=("float",), needs=_PRICES),
+        Attribute("original_price", "float", allowed_types=("float",), needs=_PRICES),
+        Attribute("original_price_incl_tax", "float", allowed_types=("float",), needs=_PRICES),
         Attribute("status", "integer", const=1),
         Attribute("visibility", "integer", const=3),
         Attribute("type_id", "text", const="simple"),
@@ -278,10 +275,10 @@ PRODUCT = register_entity(Entity(
         Attribute("required_options", "integer", const=0),
         Attribute("has_options", "boolean", const=False),
         Attribute("tax_class_id", "integer", lambda: F.col("id_tax_rules_group").cast("int")),
-        Attribute("category_ids", "text"),
+        Attribute("category_ids", "text", needs=("categories",)),
         Attribute("category", None, children=(
             ("category_id", "integer"), ("is_parent", "boolean"), ("is_virtual", "text"), ("name", "keyword"),
-            ("position", "integer"), ("level_depth", "integer"), ("slug", "keyword"), ("id_parent", "integer"))),
+            ("position", "integer"), ("level_depth", "integer"), ("slug", "keyword"), ("id_parent", "integer")), needs=("categories",)),
         Attribute("reference", None),
         Attribute("ean13", "text"),
         Attribute("is_salable", "boolean", _flag("available_for_order")),
@@ -291,20 +288,20 @@ PRODUCT = register_entity(Entity(
         Attribute("url_path", "keyword", _is("link_rewrite")),
         Attribute("description", "text"),
         Attribute("short_description", "text", _is("description_short")),
-        Attribute("stock", None, stock_struct, children=_STOCK_CHILDREN),
-        Attribute("media_gallery", None, _is("gallery"), children=(("image", "text"), ("pos", "integer"), ("lab", "text"), ("typ", "text"))),
-        Attribute("image", "text", lambda: S.image_path(F.col("cover_image"))),
-        Attribute("categories_without_path", "text"),
+        Attribute("stock", None, stock_struct, children=_STOCK_CHILDREN, needs=("stock",)),
+        Attribute("media_gallery", None, _is("gallery"), children=(("image", "text"), ("pos", "integer"), ("lab", "text"), ("typ", "text")), needs=("media",)),
+        Attribute("image", "text", lambda: S.image_path(F.col("cover_image")), needs=("media",)),
+        Attribute("categories_without_path", "text", needs=("categories",)),
         Attribute("condition", "keyword"),
         Attribute("customization_required", "boolean", _flag("customization_required")),
         Attribute("date_add", "date"),
         Attribute("date_upd", "date"),
-        Attribute("in_stock", "boolean", lambda: in_stock(F.col("quantity"), allows_backorder(F.col("out_of_stock"))), visible=False),
+        Attribute("in_stock", "boolean", lambda: in_stock(F.col("quantity"), allows_backorder(F.col("out_of_stock"))), visible=False, needs=("stock",)),
         Attribute("is_virtual", "boolean", _flag("is_virtual"), allowed_types=("boolean",)),
         Attribute("link", "keyword", lambda: product_link(F.col("id_lang"), F.col("id_product"), F.col("link_rewrite")), visible=False, allowed_types=("keyword",)),
         Attribute("id_tax_rules_group", "integer", visible=False, allowed_types=("integer",)),
-        Attribute("manufacturer_link", "keyword"),
-        Attribute("manufacturer", "keyword"),
+        Attribute("manufacturer_link", "keyword", needs=("brand",)),
+        Attribute("manufacturer", "keyword", needs=("brand",)),
         Attribute("manufacturer_logo", "keyword", lambda: F.concat(F.lit("/m/"), F.col("id_manufacturer").cast("string"), F.lit(".jpg"))),
         Attribute("manufacturer_id", "keyword", _is("id_manufacturer")),
         Attribute("minimal_quantity", "integer", lambda: F.col("minimal_quantity").cast("int"), visible=False, allowed_types=("integer",)),
@@ -312,77 +309,107 @@ PRODUCT = register_entity(Entity(
         Attribute("show_price", "boolean", _flag("show_price"), visible=False, allowed_types=("boolean",)),
         Attribute("on_sale", "boolean", _flag("on_sale"), allowed_types=("boolean",)),
         Attribute("online_only", "boolean", _flag("online_only"), allowed_types=("boolean",)),
-        Attribute("ordered_qty", "integer", lambda: F.coalesce("ordered_qty", F.lit(0).cast("bigint")), visible=False, allowed_types=("integer",)),
-        Attribute("stock_qty", "integer", lambda: F.coalesce("quantity", F.lit(0).cast("bigint")), visible=False, allowed_types=("integer",)),
+        Attribute("ordered_qty", "integer", lambda: F.coalesce("ordered_qty", F.lit(0).cast("bigint")), visible=False, allowed_types=("integer",), needs=("sales",)),
+        Attribute("stock_qty", "integer", lambda: F.coalesce("quantity", F.lit(0).cast("bigint")), visible=False, allowed_types=("integer",), needs=("stock",)),
         Attribute("weight", "float", visible=False, allowed_types=("float",)),
-        Attribute("pageviews", "integer", lambda: F.coalesce("pageviews", F.lit(0).cast("bigint")), allowed_types=("integer",)),
-        Attribute("sales", "integer", lambda: F.coalesce("sales", F.lit(0).cast("bigint")), allowed_types=("integer",)),
+        Attribute("pageviews", "integer", lambda: F.coalesce("pageviews", F.lit(0).cast("bigint")), allowed_types=("integer",), needs=("views",)),
+        Attribute("sales", "integer", lambda: F.coalesce("sales", F.lit(0).cast("bigint")), allowed_types=("integer",), needs=("sales",)),
         Attribute("meta", None, lambda: F.struct(
             F.col("meta_title").alias("title"), F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("keywords"))),
-        Attribute("specs"),
+        Attribute("specs", needs=("features",)),
     ),
 ))
 
 
 # --- assembly ------------------------------------------------------------------------------------
 
+#: Columns of every document.
+ENVELOPE = ("id", "elastic_id_lang", "elastic_id_shop", "elastic_type")
+
+
 def _or_empty(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.withColumns({c: F.coalesce(c, F.array().cast(frame.schema[c].dataType)) for c in columns})
 
 
-def localized(product_lang: DataFrame, cats: DataFrame, features: DataFrame) -> DataFrame:
+def localized(product_lang: DataFrame, cats: DataFrame | None, features: DataFrame | None) -> DataFrame:
     """The translation rows of products with all that depends on the language, worked out before shops multiply them."""
-    rows = product_lang.join(cats, "id_product", "left").join(features, "id_product", "left")
-    picked = rows.withColumns({
-        "_cats": in_language(F.col("cats"), F.col("id_lang")),
-        "_features": features_in(F.col("features_all"), F.col("id_lang")),
-    })
-    full = _or_empty(picked, "_cats", "_features")
-    return full.withColumns({
-        "category_ids": F.transform("_cats", lambda c: c["id_category"]),
-        "category": category_structs(F.col("_cats")),
-        "categories_without_path": leaf_names(category_path_list(F.col("_cats"))),
-        "specs": spec_map(F.col("_features")),
-        "features": feature_map(F.col("_features")),
-    }).drop("cats", "features_all", "_cats", "_features")
-
-
-def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES) -> DataFrame:
+    rows = product_lang
+    if cats is not None:
+        picked = rows.join(cats, "id_product", "left").withColumn("_cats", in_language(F.col("cats"), F.col("id_lang")))
+        rows = _or_empty(picked, "_cats").withColumns({
+            "category_ids": F.transform("_cats", lambda c: c["id_category"]),
+            "category": category_structs(F.col("_cats")),
+            "categories_without_path": leaf_names(category_path_list(F.col("_cats"))),
+        }).drop("cats", "_cats")
+    if features is not None:
+        picked = rows.join(features, "id_product", "left").withColumn("_features", features_in(F.col("features_all"), F.col("id_lang")))
+        rows = _or_empty(picked, "_features").withColumns({
+            "specs": spec_map(F.col("_features")), "features": feature_map(F.col("_features")),
+        }).drop("features_all", "_features")
+    return rows
+
+
+#: What a product document draws on beyond the product's own rows; fields name theirs (``Attribute.needs``).
+PARTS = frozenset({"brand", "rates", "stock", "reductions", "views", "sales", "media", "categories", "features"})
+
+
+def assemble(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES, parts: Collection[str] = PARTS) -> DataFrame:
     """Everything a product document is projected from, one row per (product, language, shop).
 
     ``rows`` (id_entity, id_shop, id_lang) limits the work to those documents; its product ids cut
-    every large source before its own aggregation.
+    every large source before its own aggregation. Only the sources of the given ``parts`` are read and joined.
     """
     only = None if rows is None else rows.select(F.col("id_entity").alias("_only")).distinct()
 
     def cut(frame: DataFrame, column: str = "id_product") -> DataFrame:
         return frame if only is None else frame.join(only, frame[column] == only["_only"], "left_semi")
 
-    cats = categories(cut(t.category_product), t.category, t.category_lang, hidden)
-    per_product = brand(cut(t.product), t.manufacturer, t.supplier_name)
-    per_product = with_rates(per_product, tax_rates(t.tax_rule))
-    for side in (
-        stock(cut(t.stock_available)),
-        reductions(cut(t.specific_price)),
-        views(cut(t.page, "id_object"), t.page_viewed),
-        sales(cut(t.order_detail, "product_id")),
-        media(cut(t.image)),
-    ):
-        per_product = per_product.join(side, "id_product", "left")
-    per_product = _or_empty(per_product, "gallery")
-    texts = localized(cut(t.product_lang), cats, feature_lists(cut(t.feature_product)))
+    per_product = cut(t.product)
+    if "brand" in parts:
+        per_product = brand(per_product, t.manufacturer, t.supplier_name)
+    if "rates" in parts:
+        per_product = with_rates(per_product, tax_rates(t.tax_rule))
+    sides = {
+        "stock": lambda: stock(cut(t.stock_available)),
+        "reductions": lambda: reductions(cut(t.specific_price)),
+        "views": lambda: views(cut(t.page, "id_object"), t.page_viewed),
+        "sales": lambda: sales(cut(t.order_detail, "product_id")),
+        "media": lambda: media(cut(t.image)),
+    }
+    for part, side in sides.items():
+        if part in parts:
+            per_product = per_product.join(side(), "id_product", "left")
+    if "media" in parts:
+        per_product = _or_empty(per_product, "gallery")
+    cats = categories(cut(t.category_product), t.category, t.category_lang, hidden) if "categories" in parts else None
+    texts = localized(cut(t.product_lang), cats, feature_lists(cut(t.feature_product)) if "features" in parts else None)
     # Price, active flag and change date are those of the shop row.
     shop = cut(t.product_shop).select("id_product", "id_shop", "active", F.col("price").alias("base_price"), "date_upd")
     fanned = entity_rows(per_product, shop, texts, key="id_product", active_level="shop")
     fanned = fanned.withColumn("id_entity", F.col("id_product"))
     if rows is not None:
         fanned = fanned.join(rows.select("id_entity", "id_shop", "id_lang").distinct(), ["id_entity", "id_shop", "id_lang"], "left_semi")
-    return fanned.withColumns(S.price_columns(F.col("base_price"), F.col("rate"), F.col("reduction")))
+    priced = {"rates", "reductions"} <= set(parts)
+    return fanned.withColumns(S.price_columns(F.col("base_price"), F.col("rate"), F.col("reduction"))) if priced else fanned
 
 
-def product_documents(t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES, run_at: Column | None = None) -> DataFrame:
-    """Product documents; features of the data come as the map column ``features``."""
-    return hide_declared(project(assemble(t, rows, hidden), PRODUCT_WITH_FEATURES, run_at))
+def product_documents(
+    t: ProductTables, rows: DataFrame | None = None, hidden: Sequence[int] = fv.HIDDEN_CATEGORIES, run_at: Column | None = None, fields: Collection[str] | None = None
+) -> DataFrame:
+    """Product documents; features of the data come as the map column ``features``.
+
+    ``fields`` limits the documents to the envelope and those fields, and the work to the sources they are worked out from. Which features a document
+    hides depends on all its fields, so ``features`` takes the whole document.
+    """
+    if fields is None or "features" in fields:
+        docs = hide_declared(project(assemble(t, rows, hidden), PRODUCT_WITH_FEATURES, run_at))
+        return docs if fields is None else docs.select(*ENVELOPE, *[a.name for a in PRODUCT_WITH_FEATURES.attributes if a.name in fields])
+    chosen = replace(PRODUCT, attributes=tuple(a for a in PRODUCT.attributes if a.name in fields))
+    unknown = set(fields) - {a.name for a in chosen.attributes}
+    if unknown:
+        raise ValueError(f"no such fields: {sorted(unknown)}")
+    parts = {part for a in chosen.attributes for part in a.needs}
+    return project(assemble(t, rows, hidden, parts), chosen, run_at if "updated_at" in fields else None)
 
 
 PRODUCT_WITH_FEATURES = Entity(
@@ -427,5 +454,4 @@ def drop_hidden_fields(docs: DataFrame, hidden: str = fv.DEFAULT_HIDDEN_FIELDS)
 
 def enabled_fields(docs: DataFrame, enabled: Sequence[str]) -> DataFrame:
     """Envelope columns plus the enabled fields."""
-    envelope = ["id", "elastic_id_lang", "elastic_id_shop", "elastic_type"]
-    return docs.select(*envelope, *[c for c in enabled if c in docs.columns and c not in envelope])
+    return docs.select(*ENVELOPE, *[c for c in enabled if c in docs.columns and c not in ENVELOPE])

@@ -15,7 +15,10 @@ from shelfweave.operators.relational import literal_rows
 
 @dataclass(frozen=True)
 class Attribute:
-    """One document field: a column expression, a constant, or the source column of the same name."""
+    """One document field: a column expression, a constant, or the source column of the same name.
+
+    ``needs`` names the parts of the builder's input, beyond the entity's own rows, that the field is worked out from.
+    """
 
     name: str
     type: str | None = None
@@ -25,6 +28,7 @@ class Attribute:
     visible: bool = True
     children: tuple[tuple[str, str], ...] = ()
     type_configurable: bool = False
+    needs: tuple[str, ...] = ()
 
     def column(self) -> Column:
         if self.expr is not None:

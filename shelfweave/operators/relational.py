@@ -28,18 +28,22 @@ def spread_rows(frame: DataFrame) -> DataFrame:
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
-def spread(rows: DataFrame, dimension: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Every row once per row of a small configuration table (languages, shops).
+def spread(rows: DataFrame, dimension: DataFrame, block_rows: int = 1_000, lanes: int = 32) -> DataFrame:
+    """Every row once per row of a dimension (languages, shops) of any size.
 
-    The dimension reaches the tasks as one scalar-subquery value, so the fan-out is a
-    narrow generator with no shuffle. The job fails if the dimension outgrows ``max_rows``.
+    The dimension is dealt into blocks of about ``block_rows`` by hash, every row goes to each block once, and both meet in an equi-join on block
+    and lane. Languages and shops are one block, which the planner sends to the tasks by its size, so the rows do not move; of a dimension too
+    large for that, each block and lane is a task's own share.
     """
-    packed = dimension.agg(
-        F.when(F.count(F.lit(1)) <= max_rows, F.collect_list(F.struct(*dimension.columns)))
-        .otherwise(F.raise_error(F.lit(f"dimension has more than {max_rows} rows")))
-        .alias("packed")
-    )
-    return rows.select("*", F.explode(packed.scalar()).alias("_dim")).select(*rows.columns, "_dim.*")
+    blocks = dimension.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("int").alias("n")).scalar()
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    # Numbers tell rows apart at less cost than texts; nested values cannot all be hashed.
+    keys = [c for c, kind in kinds.items() if isinstance(kind, T.NumericType)] or [c for c, kind in kinds.items() if isinstance(kind, T.StringType)]
+    lane = F.pmod(F.xxhash64(*keys), F.lit(lanes)).cast("int") if keys else F.lit(0)
+    dealt = rows.select("*", lane.alias("_lane"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"))
+    block = F.pmod(F.xxhash64(*dimension.columns), blocks).cast("int")
+    copied = dimension.select("*", block.alias("_block"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("_lane"))
+    return dealt.join(copied, ["_block", "_lane"]).select(*rows.columns, *dimension.columns)
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], tracked: int = 4096, listed: int = 512) -> Column:

@@ -50,15 +50,14 @@ _ID = ["id", "elastic_id_lang", "elastic_id_shop", "elastic_type"]
 
 @query("product_core", f"SELECT {_ID_SQL}, {_CORE_SQL} {_ROWS_SQL}")
 def _(c):
-    return P.product_documents(c).select(*_ID, *_CORE)
+    return P.product_documents(c, fields=_CORE).select(*_ID, *_CORE)
 
 
 @query("product_flags", f"""SELECT {_ID_SQL}, p.is_virtual, p.on_sale, p.online_only, p.show_price, p.is_new AS new, p.available_for_order AS is_salable,
     p.customization_required, true AS is_active, l.available_now NOT IN ('', '0') AS available_now, coalesce(l.available_later NOT IN ('', '0'), false) AS available_later {_ROWS_SQL}""")
 def _(c):
-    docs = P.product_documents(c).select(
-        *_ID, "is_virtual", "on_sale", "online_only", "show_price", "new", "is_salable", "customization_required", "is_active"
-    )
+    flags = ["is_virtual", "on_sale", "online_only", "show_price", "new", "is_salable", "customization_required", "is_active"]
+    docs = P.product_documents(c, fields=flags).select(*_ID, *flags)
     texts = c.product_lang.select(
         F.col("id_product").alias("id"), F.col("id_lang").alias("elastic_id_lang"), S.php_bool(F.col("available_now")).alias("available_now"),
         S.php_bool(F.col("available_later")).alias("available_later"),
@@ -68,9 +67,8 @@ def _(c):
 
 @query("product_prices", "SELECT id_entity AS id, id_shop AS elastic_id_shop, id_lang AS elastic_id_lang, price, original_price, original_price_incl_tax, special_price, special_price_incl_tax FROM price")
 def _(c):
-    return P.product_documents(c).select(
-        "id", "elastic_id_shop", "elastic_id_lang", "price", "original_price", "original_price_incl_tax", "special_price", "special_price_incl_tax"
-    )
+    prices = ["price", "original_price", "original_price_incl_tax", "special_price", "special_price_incl_tax"]
+    return P.product_documents(c, fields=prices).select("id", "elastic_id_shop", "elastic_id_lang", *prices)
 
 
 @query("product_pageviews", "SELECT id_product, pageviews FROM hit")
@@ -123,7 +121,7 @@ def _(c):
 @query("product_categories", """SELECT r.id_entity AS id, r.id_lang AS elastic_id_lang, r.id_shop AS elastic_id_shop, c.category
     FROM entity_row r LEFT JOIN cat_list c ON c.id_product = r.id_entity AND c.id_lang = r.id_lang""")
 def _(c):
-    docs = P.product_documents(c)
+    docs = P.product_documents(c, fields=["category"])
     return docs.select("id", "elastic_id_lang", "elastic_id_shop", struct_text("category", ("category_id", "name", "level_depth", "slug", "id_parent")).alias("category"))
 
 
@@ -135,7 +133,7 @@ def _(c):
 
 @query("category_leaf_names", "SELECT r.id_entity AS id, r.id_lang, r.id_shop, l.categories_without_path FROM entity_row r LEFT JOIN leaf_list l ON l.id_product = r.id_entity AND l.id_lang = r.id_lang")
 def _(c):
-    return P.product_documents(c).select(
+    return P.product_documents(c, fields=["categories_without_path"]).select(
         "id", F.col("elastic_id_lang").alias("id_lang"), F.col("elastic_id_shop").alias("id_shop"), joined("categories_without_path").alias("categories_without_path")
     )
 
@@ -153,7 +151,7 @@ def _(c):
 @query("name_autocomplete", """SELECT r.id_entity AS id, r.id_lang, r.id_shop, concat(coalesce(l.name, ''), ' ', p.reference, ' ', p.ean13, ' ', CAST(r.id_entity AS VARCHAR), ' ', coalesce(m.name, '')) AS name_autocomplete
     FROM entity_row r JOIN product p ON p.id_product = r.id_entity JOIN product_lang l ON l.id_product = r.id_entity AND l.id_lang = r.id_lang LEFT JOIN manufacturer m ON m.id_manufacturer = p.id_manufacturer""")
 def _(c):
-    return P.product_documents(c).select("id", F.col("elastic_id_lang").alias("id_lang"), F.col("elastic_id_shop").alias("id_shop"), "name_autocomplete")
+    return P.product_documents(c, fields=["name_autocomplete"]).select("id", F.col("elastic_id_lang").alias("id_lang"), F.col("elastic_id_shop").alias("id_shop"), "name_autocomplete")
 
 
 @query("trimmed_reference", "SELECT id_product, substring(reference, 4) AS trimmed_reference FROM product")
@@ -164,7 +162,7 @@ def _(c):
 @query("product_links", """SELECT r.id_entity AS id, r.id_lang, r.id_shop, concat('/', CAST(r.id_lang AS VARCHAR), '/', CAST(r.id_entity AS VARCHAR), '-', l.link_rewrite, '.html') AS link
     FROM entity_row r JOIN product_lang l ON l.id_product = r.id_entity AND l.id_lang = r.id_lang""")
 def _(c):
-    return P.product_documents(c).select("id", F.col("elastic_id_lang").alias("id_lang"), F.col("elastic_id_shop").alias("id_shop"), "link")
+    return P.product_documents(c, fields=["link"]).select("id", F.col("elastic_id_lang").alias("id_lang"), F.col("elastic_id_shop").alias("id_shop"), "link")
 
 
 @query("group_price_pivot", """SELECT id_product, max(CASE WHEN id_group = 1 THEN price END) AS price_tax_excl_1, max(CASE WHEN id_group = 2 THEN price END) AS price_tax_excl_2,
@@ -221,11 +219,11 @@ def _(c):
 
 
 @query("documents_json", """SELECT r.id_entity AS id, r.id_shop, r.id_lang, CAST(to_json({'id': r.id_entity, 'elastic_id_lang': r.id_lang, 'elastic_id_shop': r.id_shop,
-        'elastic_type': 'product', 'sku': p.reference, 'name': l.name, 'on_sale': p.on_sale, 'category_ids': c.ids}) AS VARCHAR) AS body
+        'elastic_type': 'product', 'sku': p.reference, 'name': l.name, 'on_sale': p.on_sale, 'category_ids': coalesce(c.ids, [])}) AS VARCHAR) AS body
     FROM entity_row r JOIN product p ON p.id_product = r.id_entity JOIN product_lang l ON l.id_product = r.id_entity AND l.id_lang = r.id_lang
-    JOIN (SELECT id_product, list(id_category ORDER BY id_category) AS ids FROM category_product GROUP BY 1) c ON c.id_product = r.id_entity""")
+    LEFT JOIN (SELECT id_product, list(id_category ORDER BY id_category) AS ids FROM category_product GROUP BY 1) c ON c.id_product = r.id_entity""")
 def _(c):
-    docs = P.product_documents(c).filter(F.size("category_ids") > 0)
+    docs = P.product_documents(c, fields=["sku", "name", "on_sale", "category_ids"])
     body = F.to_json(F.struct(*_ID, "sku", "name", "on_sale", "category_ids"))
     return docs.select("id", F.col("elastic_id_shop").alias("id_shop"), F.col("elastic_id_lang").alias("id_lang"), body.alias("body"))
 
@@ -244,7 +242,7 @@ def _(c):
     LEFT JOIN (SELECT id_product, id_lang, array_to_string(list_transform(string_split(categories_without_path, '|'), lambda x: {V.slug('x')}), '|') AS agg FROM leaf_list) ll
         ON ll.id_product = r.id_entity AND ll.id_lang = r.id_lang""")
 def _(c):
-    docs = P.product_documents(c).withColumn("name_color_code", F.col("sku"))
+    docs = P.product_documents(c, fields=["sku", "name", "manufacturer", "categories_without_path", "price"]).withColumn("name_color_code", F.col("sku"))
     kinds = {"name": "text", "manufacturer": "string", "categories_without_path": "text", "name_color_code": "text", "price": "float"}
     copies = P.aggregatable_copies(docs, kinds)
     assert "name_color_code_agg" not in copies.columns and "price_agg" not in copies.columns

@@ -204,11 +204,36 @@ def test_leaf_names_drop_blanks_and_zero(spark):
 def test_small_and_large_trees_agree(spark, sf_dir):
     from shelfweave.sources.catalog import Catalog
 
+    def ways(limit):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        c = Catalog(spark, sf_dir)
+        frame = P.categories(c.category_product, c.category, c.category_lang)
+        return frame._jdf.queryExecution().executedPlan().toString(), sorted(map(str, frame.collect()))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        (sent, few), (joined, many) = ways("10MB"), ways("-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" not in joined and sent != joined and few == many and few
+
+
+def test_chosen_fields_equal_those_of_the_whole_document(spark, sf_dir):
+    """Documents of a few fields read only what those are worked out from."""
+    from shelfweave.sources.catalog import Catalog
+
     c = Catalog(spark, sf_dir)
-    ways = [P.categories(c.category_product, c.category, c.category_lang, broadcast_rows=n) for n in (10_000, 5)]
-    sent, joined = (w._jdf.queryExecution().executedPlan().toString() for w in ways)
-    assert "BroadcastHashJoin" in sent and sent != joined
-    assert ways[0].exceptAll(ways[1]).isEmpty() and ways[0].count() == ways[1].count() > 0
+    whole = P.product_documents(c).persist()
+    for fields in (["price", "special_price_incl_tax"], ["stock_qty", "in_stock", "image"], ["category_ids", "manufacturer"], ["specs"], ["pageviews", "sales", "sku"], ["features", "sku"], []):
+        some = P.product_documents(c, fields=fields)
+        assert some.columns[:4] == list(P.ENVELOPE) and sorted(some.columns[4:]) == sorted(fields)
+        text = lambda frame: sorted(str(r) for r in frame.select(*some.columns).collect())  # noqa: B023, E731
+        assert text(some) == text(whole), fields
+    whole.unpersist()
+    plan = P.product_documents(c, fields=["link"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") < P.product_documents(c)._jdf.queryExecution().optimizedPlan().toString().count("Join") / 4
+    with pytest.raises(ValueError, match="no such fields"):
+        P.product_documents(c, fields=["nothing"])
 
 
 def test_custom_entity(spark):
@@ -304,10 +329,21 @@ def test_first_and_top(spark):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_refuses_a_large_dimension(spark):
-    assert spread(spark.range(3), spark.range(2).toDF("d")).count() == 6
-    with pytest.raises(Exception, match="more than 5 rows"):
-        spread(spark.range(3), spark.range(20).toDF("d"), max_rows=5).collect()
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_spread_over_dimensions_of_any_size(spark, threshold):
+    """One block or many, sent to the tasks or shuffled, repeated and nested rows, an empty dimension."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows = spark.createDataFrame([(1, {"a": 1}, "x"), (1, {"a": 1}, "x"), (None, None, None)], "i int, m map<string,int>, t string")
+        for n, block in ((0, 5), (2, 1000), (5, 5), (97, 5)):
+            got = spread(rows, spark.range(n).toDF("d"), block_rows=block)
+            assert got.columns == ["i", "m", "t", "d"]
+            assert sorted((r.i or 0, r.d) for r in got.collect()) == sorted((i, d) for i in (1, 1, 0) for d in range(n))
+            assert "BroadcastNestedLoopJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert spread(rows.select("m"), spark.range(3).toDF("d")).count() == 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_no_cross_join_in_fan_out(spark, sf_dir):
