@@ -262,9 +262,8 @@ def _(c):
     JOIN product_lang l ON l.id_product = t.id_product AND l.id_lang = t.id_lang""")
 def _(c):
     """A category page with its sub-categories, and one without, in every language."""
-    cats = P.categories(c.category_product, c.category, c.category_lang)
-    docs = c.product_lang.select("id_product", "id_lang").join(cats, "id_product").join(c.lang.select("id_lang", "iso_code"), "id_lang")
-    docs = docs.withColumn("cats", P.in_language(F.col("cats"), F.col("id_lang")))
+    texts = c.product_lang.select("id_product", "id_lang")
+    docs = P.with_categories(texts, c.category_product, c.category, c.category_lang).join(c.lang.select("id_lang", "iso_code"), "id_lang")
     below = X.fixed_filter(docs, "category", F.concat(F.lit("europe-"), "iso_code"), paths=P.category_path_list(F.col("cats")))
     exact = X.fixed_filter(docs, "category", F.concat(F.lit("nation-3-3-"), "iso_code"), subcategories=False, names=F.transform("cats", lambda x: x["text"]["name"]))
     return below.select("id_product", "id_lang", F.lit("below").alias("mode")).unionByName(exact.select("id_product", "id_lang", F.lit("exact").alias("mode")))

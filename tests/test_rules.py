@@ -463,3 +463,27 @@ def test_unpivoted_fields_are_those_of_the_data(spark):
     docs = spark.createDataFrame([(1, "x", ["a", "b", "a"], {"size": ["s", "m"]}, None), (2, None, [], {}, 2.5)], "id int, kind string, tags array<string>, more map<string,array<string>>, price double")
     got = {tuple(r) for r in X.unpivoted(docs, ["id"]).collect()}
     assert got == {(1, "kind", "x"), (1, "tags", "a"), (1, "tags", "b"), (1, "size", "s"), (1, "size", "m"), (2, "price", "2.5")}
+
+
+def test_book_of_a_small_tree_gives_what_the_join_gives(spark, sf_dir, monkeypatch):
+    """Texts are looked up where they are used: no row of a shuffle carries them, and larger trees are still joined."""
+    from shelfweave.sources.catalog import Catalog
+
+    c = Catalog(spark, sf_dir)
+    fields = ["category_ids", "category", "categories_without_path"]
+    lang = c.product_lang.select("id_product", F.when(F.col("id_product") % 7 == 0, 99).otherwise(F.col("id_lang")).alias("id_lang"))
+    pairs = c.category_product.filter("id_product % 5 <> 0").withColumn("id_category", F.when(F.col("id_product") % 9 == 0, 123456789).otherwise(F.col("id_category")))
+
+    def ways():
+        book = P.category_book(c.category, c.category_lang)
+        cats = P.categories(pairs, c.category, c.category_lang) if book is None else book.places(pairs)
+        chosen = P.localized(lang, cats, None, book).select("id_product", "id_lang", *fields)
+        listed = P.with_categories(lang, pairs, c.category, c.category_lang).select("id_product", "id_lang", "cats")
+        return book, [sorted(map(str, frame.collect())) for frame in (chosen, listed)], chosen._jdf.queryExecution()
+
+    book, looked_up, plan = ways()
+    assert book is not None and plan.optimizedPlan().toString().count("AS _category#") == 0
+    assert not [x for x in plan.executedPlan().toString().splitlines() if "Exchange" in x and "link_rewrite" in x]
+    monkeypatch.setattr(P, "TREE_TEXTS", 5)
+    large, joined, _ = ways()
+    assert large is None and looked_up == joined and looked_up[0] and looked_up[1]
