@@ -16,25 +16,41 @@ def stemmed(docs: DataFrame, key: str, text: str, dictionary: DataFrame, stop_wo
     """(key, tokens): blank-separated lower-case tokens, stemmed through (form, stem), then without stop words.
 
     ``stop_words`` has ``token`` and the columns of ``on`` (for instance the language). Stop words are
-    matched against stems, as the chain orders it. Tokens that are very frequent are dealt out over many tasks
-    in the dictionary join and leave as stop words in a join that does the same; one row per document is shuffled back.
+    matched against stems, as the chain orders it; those that the dictionary does not stem leave before anything is shuffled. Tokens that are still
+    very frequent are dealt out over many tasks in the dictionary join; one row per document is gathered from what is kept.
     """
     rows = docs.select(key, *on, F.posexplode(A.blank_tokens(F.lower(text))).alias("pos", "form"))
+    plain = stop_words.join(dictionary.select(F.col("form").alias("token")), "token", "left_anti")
+    rows = rows.filter(~_listed(rows, plain, on, "form"))
     stems = split_join(rows, dictionary, ["form"]).select(key, *on, "pos", F.coalesce("stem", "form").alias("token"))
     kept = without(stems, stop_words, on)
     token = fold_accents(F.col("token")) if fold else F.col("token")
-    lists = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", token.alias("token")))).alias("_t")).select(
+    words = kept.select(key, "pos", token.alias("token")).repartition(key)
+    lists = words.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_t")).select(
         key, F.transform("_t", lambda t: t["token"]).alias("tokens")
     )
     return docs.select(key).join(lists, key, "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
 
 
+#: Stop words are looked up by hash in so many places, so that a token meets few of them.
+_PLACES = 1 << 14
+
+
+def _listed(tokens: DataFrame, stop_words: DataFrame, on: tuple[str, ...], token: str) -> Column:
+    """Whether a token is a stop word (of its language). The list is one value in every task, an array of the words by the place their hash gives them."""
+    kinds = {name: tokens.schema[name].dataType for name in (*on, token)}
+    words = stop_words.select(*[F.col(c).cast(kinds[c]) for c in on], F.col("token").cast(kinds[token])).dropna().distinct()
+    place = lambda *keys: F.pmod(F.xxhash64(*keys), F.lit(_PLACES)).cast("int")
+    placed = words.groupBy(place(*words.columns).alias("place")).agg(F.collect_list(F.struct(*words.columns)).alias("words"))
+    table = placed.agg(F.map_from_entries(F.collect_list(F.struct("place", "words"))).alias("table")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(_PLACES - 1)), lambda i: F.try_element_at("table", i)).alias("table")).scalar()
+    same = F.struct(*[F.col(c) for c in on], F.col(token).alias("token"))
+    return F.coalesce(F.array_contains(F.get(table, place(*on, token)), same), F.lit(False))
+
+
 def without(tokens: DataFrame, stop_words: DataFrame, on: tuple[str, ...] = ("lang",)) -> DataFrame:
-    """Token rows that are no stop words (of their language): stop words are the hot keys, so each is copied to every lane of the rows."""
-    lanes = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = tokens.withColumn("_lane", F.pmod(F.hash(*tokens.columns, F.lit("lane")), F.lit(lanes)))
-    copied = stop_words.select(*on, "token").distinct().withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    return dealt.join(copied, [*on, "token", "_lane"], "left_anti").drop("_lane")
+    """Token rows that are no stop words (of their language); the rows stay where they are."""
+    return tokens.filter(~_listed(tokens, stop_words, on, "token"))
 
 
 def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, on: tuple[str, ...] = ("lang", "token")) -> DataFrame:

@@ -487,3 +487,28 @@ def test_book_of_a_small_tree_gives_what_the_join_gives(spark, sf_dir, monkeypat
     monkeypatch.setattr(P, "TREE_TEXTS", 5)
     large, joined, _ = ways()
     assert large is None and looked_up == joined and looked_up[0] and looked_up[1]
+
+
+def test_stop_words_leave_where_the_tokens_are(spark):
+    """As a left anti join says, nulls included, but no token is moved for it."""
+    tokens = spark.range(3000).selectExpr("id", "CASE id % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' WHEN 2 THEN 'de' END AS lang", "IF(id % 97 = 0, NULL, concat('w', CAST(id % 211 AS STRING))) AS token")
+    stops = spark.range(400).selectExpr("IF(id % 3 = 0, 'en', IF(id % 3 = 1, 'fr', NULL)) AS lang", "IF(id % 50 = 0, NULL, concat('w', CAST(id % 100 AS STRING))) AS token")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for words in (stops, stops.limit(0)):
+            kept = R.remove_stop_words(tokens, words)
+            main = kept._jdf.queryExecution().executedPlan().toString().split("Subqueries")[0].split("Subquery:")[0]
+            assert "Join" not in main and "Exchange" not in main.split("== Initial Plan ==")[0].split("Subquery")[0]
+            assert sorted(map(str, kept.collect())) == sorted(map(str, tokens.join(words, ["lang", "token"], "left_anti").select("id", "lang", "token").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_plain_stop_words_leave_before_the_dictionary(spark):
+    """A stop word that the dictionary stems is judged by its stem only, in its language."""
+    docs = spark.createDataFrame([(1, "en", "the runs the ran saw"), (2, "fr", "the runs saw"), (3, None, "the saw")], "id int, lang string, text string")
+    stems = spark.createDataFrame([("saw", "see"), ("ran", "the")], "form string, stem string")
+    stops = spark.createDataFrame([("en", "the"), ("en", "saw"), ("fr", "see"), (None, "the")], "lang string, token string")
+    got = {r.id: r.tokens for r in R.stemmed(docs, "id", "text", stems, stops, on=("lang",)).collect()}
+    assert got == {1: ["runs", "see"], 2: ["the", "runs"], 3: ["the", "see"]}
