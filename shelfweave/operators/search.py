@@ -67,7 +67,8 @@ def postings(docs: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFra
 
 def document_frequency(posting: DataFrame) -> DataFrame:
     """(field, term, df)."""
-    return posting.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    # Every posting has a frequency above 0; asking for it keeps the column, so that both uses of the postings share one shuffle.
+    return posting.groupBy("field", "term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def term_postings(docs: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFrame:

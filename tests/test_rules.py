@@ -512,3 +512,20 @@ def test_plain_stop_words_leave_before_the_dictionary(spark):
     stops = spark.createDataFrame([("en", "the"), ("en", "saw"), ("fr", "see"), (None, "the")], "lang string, token string")
     got = {r.id: r.tokens for r in R.stemmed(docs, "id", "text", stems, stops, on=("lang",)).collect()}
     assert got == {1: ["runs", "see"], 2: ["the", "runs"], 3: ["the", "see"]}
+
+
+def test_postings_are_shuffled_once(spark):
+    """The frequencies and the postings they are joined to come from one shuffle of the tokens."""
+    docs = spark.range(50).selectExpr("id", "transform(sequence(1, 20), i -> concat('t', CAST((id * i) % 13 AS STRING))) AS words")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = R.term_postings(docs, "id", {"words": F.col("words")})
+        rows = frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ReusedExchange" in plan
+    lists = {r.id: r.words for r in docs.collect()}
+    assert all(r.tf == lists[r.id].count(r.term) and r.df == sum(r.term in w for w in lists.values()) for r in rows)
+    assert len(rows) == sum(len(set(w)) for w in lists.values())
