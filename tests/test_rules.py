@@ -525,7 +525,9 @@ def test_postings_are_shuffled_once(spark):
         plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "ReusedExchange" in plan
+    counted = R.document_frequency(R.postings(docs, "id", {"words": F.col("words")}))
+    frequency = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "ReusedExchange" in plan and "count(1)" in frequency and "count(1) AS df" not in frequency
     lists = {r.id: r.words for r in docs.collect()}
     assert all(r.tf == lists[r.id].count(r.term) and r.df == sum(r.term in w for w in lists.values()) for r in rows)
     assert len(rows) == sum(len(set(w)) for w in lists.values())
