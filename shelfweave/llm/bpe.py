@@ -161,8 +161,8 @@ class Automaton:
 class Known:
     """Ids of the pieces that a worker met, each worked out once by ``solve`` (pieces: ids in a row, number of each). Emptied when full."""
 
-    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], fixed: dict[str, int]):
-        self._solve, self._fixed = solve, fixed
+    def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], fixed: dict[str, int], most: int = CACHE_PIECES):
+        self._solve, self._fixed, self._most = solve, fixed, most
         self._reset()
 
     def _reset(self) -> None:
@@ -172,7 +172,7 @@ class Known:
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``pieces`` and where each piece begins in them."""
-        if len(self._row) > CACHE_PIECES or len(self._flat) > 8 * CACHE_PIECES:
+        if len(self._row) > self._most or len(self._flat) > 8 * self._most:
             self._reset()
         rows = list(map(self._row.get, pieces))
         new = list(dict.fromkeys(p for p, r in zip(pieces, rows) if r is None))

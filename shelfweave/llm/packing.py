@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .bpe import Known
 from .scratch import Scratch
 from .text import parts
 
@@ -20,53 +23,120 @@ END_ID = 2
 CELL = 50_000
 CACHE_WORDS = 400_000
 
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, "Words"] = {}
 
+#: Fixed value: the pattern by which tokenizers of this kind part words, after they are lower-cased. White space is dropped, letters and marks never share a part.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words that are one part for sure: letters of ASCII and Latin-1, or marks of ASCII. Others may be several.
+ONE_PART = "^(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+|[!-&(-/:-@\\[-`{-~]+)$"
 
-def _tokenizer(path: str):
+_LETTER, _MARK, _UPPER, _BLANK, _JOINS = (np.zeros(256, bool) for _ in range(5))
+_UPPER[65:91] = True
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK[33:127] = ~_LETTER[33:127]
+_MARK[48:58] = _MARK[39] = False  # digits; an apostrophe may begin a part such as 's
+_BLANK[[9, 10, 13, 32]] = True
+_JOINS[0xCC:] = True  # first bytes of U+0300 and above, which may be marks that join the letter before
+
+
+class Words:
     """The tokenizer of a file and this worker's token ids of words met so far."""
-    if path not in _tokenizers:
+
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
-
-
-def _ids_of_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of each text between blanks, one after the other, and their numbers. Blanks always end a token, so texts can be cut there."""
-    tokenizer, known = _tokenizer(path)
-    new = [w for w in words if w not in known]
-    if len(known) + len(new) > CACHE_WORDS:
-        known.clear()
-        new = words
-    for lo in range(0, len(new), 4096):
-        some = new[lo : lo + 4096]
-        for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-            known[w] = e.ids
-    ids = [known[w] for w in words]
-    return np.fromiter((i for x in ids for i in x), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+        self._tokenizer = Tokenizer.from_file(path)
+        file = json.loads(self._tokenizer.to_str())
+        steps, model = (file["normalizer"] or {}).get("normalizers", []), file["model"]
+        splits = [x.get("pattern") for x in (file["pre_tokenizer"] or {}).get("pretokenizers", [])][:1]
+        suffix = model.get("end_of_word_suffix")
+        #: Whether words may be cut and lower-cased as ``cut`` does.
+        self.parted = [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and splits == [{"Regex": PARTS}] and bool(suffix)
+        self._ends = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        if self.parted:
+            self._ends[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
+        self.known = Known(self._solve, {}, CACHE_WORDS)
+
+    @classmethod
+    def of(cls, path: str) -> "Words":
+        """This worker's words of a file."""
+        if path not in _tokenizers:
+            _tokenizers[path] = cls(path)
+        return _tokenizers[path]
+
+    def cut(self, data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Words of a run of texts, which can be encoded one by one, and where each text begins in them.
+
+        White space always ends a word. So does, but for a special token (``<|``), a letter of ASCII before a mark of ASCII and the other way round.
+        Letters are lower-cased where no mark that follows could make another letter of them.
+        """
+        parted = self.parted and b"<|" not in data.tobytes()
+        blank = _BLANK[data] if parted else data == 32
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:] = blank
+        begins[at] = True
+        if parted:
+            letter, mark = _LETTER[data], _MARK[data]
+            begins[1:-1] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+            upper = _UPPER[data]
+            upper[:-1] &= ~_JOINS[data[1:]] | begins[1:-1]
+            data = data + (upper * np.uint8(32))
+        solid = ~blank
+        place = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(solid, out=place[1:])
+        start = place[begins]
+        # A run of white space leaves words without bytes, which are left out.
+        offsets = np.append(start[np.append(start[1:], place[-1]) > start], place[-1])
+        found = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[solid]))])
+        return found, np.searchsorted(offsets[:-1], place[at])
+
+    def _solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word, one after the other, and their numbers. Words of one part are encoded as one text and told apart by the tokens that end a word."""
+        one = pc.match_substring_regex(pa.array(words, pa.string()), ONE_PART).to_numpy(zero_copy_only=False) if self.parted else np.zeros(len(words), bool)
+        ids, number = [], np.zeros(len(words), np.int64)
+        single, rest = np.flatnonzero(one), np.flatnonzero(~one)
+        for lo in range(0, len(single), 256):
+            some = single[lo : lo + 256]
+            got = np.array(self._tokenizer.encode_batch_fast([" ".join([words[i] for i in some])], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self._ends[got])
+            if len(last) != len(some) or last[-1] != len(got) - 1:
+                raise ValueError("the tokenizer ends words elsewhere than its suffix says")
+            number[some] = np.diff(last, prepend=-1)
+            ids.append(got)
+        for lo in range(0, len(rest), 4096):
+            some = rest[lo : lo + 4096]
+            each = [e.ids for e in self._tokenizer.encode_batch_fast([words[i] for i in some], add_special_tokens=False)]
+            number[some] = list(map(len, each))
+            ids.append(np.fromiter(chain.from_iterable(each), np.uint32))
+        order = np.concatenate((single, rest))
+        begin = np.zeros(len(words), np.int64)
+        begin[order] = np.cumsum(number[order]) - number[order]
+        return _runs(np.concatenate(ids), begin, number)[0], number
+
+
+def _runs(flat: np.ndarray, begin: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``flat[begin : begin + each]`` of all entries, one after the other, and where each begins."""
+    end = np.concatenate(([0], np.cumsum(each)))
+    return flat[np.repeat(begin - end[:-1], each) + np.arange(end[-1])], end
 
 
-def _tokens(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _tokens(path: str, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a run of texts and where each text begins in them; each distinct word is looked up once."""
-    cut = pc.split_pattern(pc.fill_null(column, "").cast(pa.large_string()), " ")
-    coded = pc.dictionary_encode(cut.values)
-    flat, number = _ids_of_words(path, coded.dictionary.to_pylist())
-    start = np.concatenate(([0], np.cumsum(number)))
+    words = Words.of(path)
+    found, first = words.cut(data, at)
+    coded = pc.dictionary_encode(found)
+    flat, start = words.known.ids(coded.dictionary.to_pylist())
     index = coded.indices.to_numpy()
-    each = number[index]
-    end = np.concatenate(([0], np.cumsum(each)))
-    ids = flat[np.repeat(start[index] - end[:-1], each) + np.arange(end[-1])]
-    at = cut.offsets.to_numpy()
-    return ids, end[at - at[0]]
+    ids, end = _runs(flat, start[index], np.diff(start)[index])
+    return ids, end[first]
 
 
 def _pieces(path: str, most: int, end_id: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, _, _ in parts(b["text"], 4 << 20):
-                ids, at = _tokens(path, b["text"].slice(lo, hi - lo))
+            for lo, hi, data, at in parts(b["text"], 4 << 20):
+                ids, at = _tokens(path, data, at)
                 row, start, length, crc, total = [], [], [], [], []
                 for i in range(hi - lo):
                     own = np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)).astype("<u4")

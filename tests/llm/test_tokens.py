@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from shelfweave.llm import alignment as alignment_parts
 from shelfweave.llm.alignment import aligned, alignment_digests, pack_postings, unpack_postings
 from shelfweave.llm.bpe import ByteBpe, decoded, encoded, encoding_digests
+from shelfweave.llm.packing import Words, _tokens
 from shelfweave.llm.scratch import Scratch
-from shelfweave.llm.text import shingles, words
+from shelfweave.llm.text import shingles, text_bytes, words
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
+WORD = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, ids string, n long, word string, digest string"
 LONG = " ".join(hashlib.md5(str(i).encode()).hexdigest()[: 2 + i % 9] for i in range(20000))
 ODD = [(1, "Hello  world's 42 tests"), (2, "Hello  world's 42 tests"), (2, "other text"), (3, None), (4, ""), (None, "null id"), (None, None), (5, LONG), (6, "x<|endoftext|> y<|endoftext|>"), (7, " \n\t "),
@@ -60,6 +62,23 @@ def test_ids_equal_those_of_the_library():
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [e.ids for e in theirs]
 
 
+def test_word_ids_equal_those_of_the_library():
+    from tokenizers import Tokenizer
+
+    library, pick = Tokenizer.from_file(WORD), random.Random(6)
+    kinds = ["<|endoftext|>", "<|ENDOFTEXT|>", "It's.", "'re.", "J\u030c", "T\u0308x", "Ä.", "ß,", "İ.", "x</w>", "\n", " ", ".", "!?", "'S", "7½", "(Word)", "…", "\u0338", "\x0b", "\xa0", "Kſ"]
+    texts = _strange(1500) + ["".join(pick.choice(kinds[pick.randrange(3) :]) for _ in range(pick.randrange(30))) for _ in range(1500)] + [t or "" for _, t in ODD] + [None, LONG.upper()]
+    for lo in range(0, len(texts), 7):  # few texts at a time, as those beside a special token are cut at blanks only
+        ids, at = _tokens(WORD, *text_bytes(pa.array(texts[lo : lo + 7], pa.string())))
+        theirs = library.encode_batch([t or "" for t in texts[lo : lo + 7]], add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [e.ids for e in theirs]
+
+
+def test_words_that_differ_in_case_or_marks_are_one():
+    found, first = Words.of(WORD).cut(*text_bytes(pa.array(["Word, word.\nWord (WORD)", None, "\t word! "], pa.string())))
+    assert found.to_pylist() == ["word", ",", "word", ".", "word", "(", "word", ")", "word", "!"] and first.tolist() == [0, 8, 8, 10]
+
+
 def test_vocabulary_tokens_stand_for_themselves():
     v = ByteBpe.of(BPE).vocabulary
     merged = v.usable[v.rank[v.usable] >= 0]
