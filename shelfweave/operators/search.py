@@ -85,12 +85,13 @@ def term_postings(docs: DataFrame, key: str, fields: Mapping[str, Column]) -> Da
     return split_join(posting, frequency, ["field", "term"], "inner", hot)
 
 
-def _hits(docs: DataFrame, key: str, fields: Mapping[str, Column], wanted: DataFrame) -> DataFrame:
-    """(field, term, key, tf) of the terms that any query asks for."""
+def _hits(docs: DataFrame, key: str, fields: Mapping[str, Column], wanted: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(field, term, key, tf) of the terms that any query asks for; with ``tasks`` dealt over so many by ``key``."""
     asked = wanted.select("term").distinct()
     lists = [F.struct(F.lit(name).alias("field"), tokens.alias("tokens")) for name, tokens in fields.items()]
     exploded = docs.select(key, F.explode(F.array(*lists)).alias("f")).select(key, "f.field", F.explode("f.tokens").alias("term"))
-    return exploded.join(asked, "term", "left_semi").groupBy("field", "term", key).agg(F.count(F.lit(1)).alias("tf"))
+    met = exploded.join(asked, "term", "left_semi")
+    return (met.repartition(tasks, key) if tasks else met).groupBy("field", "term", key).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _part(gain: Column, tf: Column) -> Column:
@@ -99,7 +100,7 @@ def _part(gain: Column, tf: Column) -> Column:
 
 
 def _gains(docs: DataFrame, hits: DataFrame, weights: Mapping[str, float], k: int) -> DataFrame:
-    """(field, term, gain, most, sure): the worth of one occurrence, of as many as any document has, and of as many as ``k`` documents have."""
+    """(field, term, df, gain, most, sure): the worth of one occurrence, of as many as any document has, and of as many as ``k`` documents have."""
     total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     weight = F.create_map(*[F.lit(x) for name, w in weights.items() for x in (name, float(w))])
     counts = hits.groupBy("field", "term", "tf").agg(F.count(F.lit(1)).alias("n"))
@@ -108,7 +109,7 @@ def _gains(docs: DataFrame, hits: DataFrame, weights: Mapping[str, float], k: in
         F.sum("n").alias("df"), F.max("tf").alias("max_tf"), F.max(F.when(F.col("above") >= k, F.col("tf"))).alias("sure_tf")
     )
     gain = F.try_element_at(weight, F.col("field")) * F.log(1 + total / F.col("df"))
-    return per_term.withColumn("gain", gain).select("field", "term", "gain", _part(F.col("gain"), F.col("max_tf")).alias("most"), _part(F.col("gain"), F.col("sure_tf")).alias("sure"))
+    return per_term.withColumn("gain", gain).select("field", "term", "df", "gain", _part(F.col("gain"), F.col("max_tf")).alias("most"), _part(F.col("gain"), F.col("sure_tf")).alias("sure"))
 
 
 def match_plan(wanted: DataFrame, gains: DataFrame) -> DataFrame:
@@ -134,6 +135,27 @@ def candidates(plan: DataFrame, hits: DataFrame, key: str) -> DataFrame:
     return found.filter(F.col("part") + F.col("rest") >= F.col("bound")).drop("rest")
 
 
+#: A task of the matching holds about so many documents, however well they compress in a shuffle.
+TASK_DOCS = 100_000
+
+
+def best_of_fields(plan: DataFrame, hits: DataFrame, key: str, k: int, hot: Column, tasks: int) -> DataFrame:
+    """(id_query, key, score): the best ``k`` documents of each field of a query that reach the bound; ``hits`` must lie in tasks by ``key``.
+
+    A document's hits in a field are one row, so what meets a needed term is scored where it is, with the terms that are only looked up. Of several needed terms
+    that a document holds the first leads to it. A document with one of the best scores has it in some field, and is among the best of that field.
+    """
+    held = hits.groupBy(key, "field").agg(F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("held"))  # at most the asked terms of one text
+    terms = plan.groupBy("id_query", "field").agg(F.array_sort(F.collect_list(F.struct("term", "gain", "needed"))).alias("terms"))  # the terms of one query
+    leads = plan.filter("needed").select("id_query", "field", "term", "bound").join(terms, ["id_query", "field"])
+    met = split_join(held.select(key, "field", "held", F.explode(F.map_keys("held")).alias("term")), leads, ["field", "term"], "inner", hot, tasks, by=[key])
+    there = F.filter("terms", lambda x: F.map_contains_key(F.col("held"), x["term"]))
+    first = F.get(F.filter("there", lambda x: x["needed"]), 0)["term"]
+    total = F.aggregate("there", F.lit(0).cast("decimal(34,6)"), lambda sum_, x: (sum_ + _part(x["gain"], F.try_element_at("held", x["term"]))).cast("decimal(34,6)"))
+    scored = met.withColumn("there", there).filter(first == F.col("term")).withColumn("score", total).filter(F.col("score") >= F.col("bound"))
+    return top_per_group(scored.select("id_query", key, "field", "score"), ["id_query", "field"], [F.col("score").desc(), F.col(key)], k).select("id_query", key, "score")
+
+
 def multi_match(docs: DataFrame, key: str, fields: Mapping[str, Column], queries: DataFrame, weights: Mapping[str, float], k: int | None = None) -> DataFrame:
     """(id_query, key, score): any term may match, fields are weighted, the best field counts.
 
@@ -145,17 +167,20 @@ def multi_match(docs: DataFrame, key: str, fields: Mapping[str, Column], queries
     for sure is out, in every field. Ties are by key. Exact: what is left out scores less than the last of the best.
     """
     wanted = queries.select("id_query", "term").distinct()
-    hits = _hits(docs, key, fields, wanted)
     if k is None:
+        hits = _hits(docs, key, fields, wanted)
         plan = wanted.join(_gains(docs, hits, weights, 1), "term").select("id_query", "field", "term", "gain")
         scored = plan.join(hits, ["field", "term"]).groupBy("id_query", key, "field").agg(F.sum(_part(F.col("gain"), F.col("tf"))).alias("part"))
         return scored.groupBy("id_query", key).agg(F.max("part").cast("double").alias("score"))
-    plan = match_plan(wanted, _gains(docs, hits, weights, k))
-    found = candidates(plan, hits, key)
-    looked_up = found.select("id_query", key, "field").join(plan.filter(~F.col("needed")).select("id_query", "field", "term", "gain"), ["id_query", "field"])
-    added = looked_up.join(hits, ["field", "term", key]).groupBy("id_query", key, "field").agg(F.sum(_part(F.col("gain"), F.col("tf"))).alias("more"))
-    whole = found.join(added, ["id_query", key, "field"], "left").withColumn("score", F.col("part") + F.coalesce("more", F.lit(0)))
-    best = whole.filter(F.col("score") >= F.col("bound")).groupBy("id_query", key).agg(F.max("score").cast("double").alias("score"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(parts, -(-docs.count() // TASK_DOCS))
+    hits = _hits(docs, key, fields, wanted, tasks)
+    gains = _gains(docs, hits, weights, k)
+    share = gains.agg(F.sum("df").alias("n")).scalar()
+    # A few terms a little below an even share may meet in one task, so those from a quarter of it on are dealt: fewer than four times the tasks.
+    hot = gains.filter(F.col("df") * tasks * 4 > share).agg(F.collect_list(F.xxhash64("field", "term")).alias("hot")).scalar()
+    found = best_of_fields(match_plan(wanted, gains), hits, key, k, hot, tasks)
+    best = found.groupBy("id_query", key).agg(F.max("score").cast("double").alias("score"))
     return top_per_group(best, ["id_query"], [F.col("score").desc(), F.col(key)], k)
 
 

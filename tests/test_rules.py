@@ -427,6 +427,20 @@ def test_best_matches_without_scoring_all(spark):
         assert R.candidates(plan, hits, "doc").select("id_query", "doc").distinct().count() < 0.8 * whole.count()
 
 
+def test_matching_runs_in_tasks_of_so_many_documents(spark, monkeypatch):
+    from shelfweave.operators import search
+
+    monkeypatch.setattr(search, "TASK_DOCS", 5)
+    docs, queries, fields, weights = _matched(spark, 3)
+    docs = docs.withColumn("body", F.concat("body", F.array(F.lit("w0"), F.lit("w1"))))  # two terms in all documents
+    best = R.multi_match(docs, "doc", fields, queries, weights, 5)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 60)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {tasks}), REPARTITION_BY_NUM") >= 2  # such shuffles are not put together by their bytes
+    whole = top_per_group(R.multi_match(docs, "doc", fields, queries, weights), ["id_query"], [F.col("score").desc(), F.col("doc")], 5)
+    assert {tuple(r) for r in best.select("id_query", "doc", "score", "rank").collect()} == {tuple(r) for r in whole.select("id_query", "doc", "score", "rank").collect()}
+
+
 def test_split_join_deals_out_hot_keys_only(spark):
     rows = spark.range(4000).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 500)) AS key", "id AS v")
     side = spark.createDataFrame([("hot", 1), ("k1", 2), ("k499", 3), ("none", 4)], "key string, x int")
