@@ -159,7 +159,7 @@ class Automaton:
 
 
 class Known:
-    """Ids of the pieces that a worker met, each worked out once by ``solve`` (pieces: ids in a row, number of each). Emptied when full."""
+    """Ids of the pieces that a worker met, each worked out once by ``solve`` (pieces: ids in a row, number of each). When full, it keeps those asked for just then."""
 
     def __init__(self, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], fixed: dict[str, int], most: int = CACHE_PIECES):
         self._solve, self._fixed, self._most = solve, fixed, most
@@ -170,10 +170,25 @@ class Known:
         self._flat = np.array(list(self._fixed.values()), np.int32)
         self._at = np.arange(len(self._fixed) + 1)
 
+    def _shrink(self, pieces: list[str]) -> None:
+        """Leaves those of ``pieces`` that are known, if they are no more than half of what it may hold."""
+        row, flat, at = self._row, self._flat, self._at
+        self._reset()
+        kept = [p for p in dict.fromkeys(pieces) if p in row and p not in self._row]
+        old = np.array([row[p] for p in kept], np.int64)
+        count = at[old + 1] - at[old]
+        if not 0 < len(kept) <= self._most // 2 or count.sum() > 4 * self._most:
+            return
+        end = np.cumsum(count)
+        first = len(self._at) - 1
+        self._row.update(zip(kept, range(first, first + len(kept))))
+        self._flat = np.concatenate((self._flat, flat[np.repeat(at[old] - (end - count), count) + np.arange(end[-1])]))
+        self._at = np.concatenate((self._at, self._at[-1] + end))
+
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``pieces`` and where each piece begins in them."""
         if len(self._row) > self._most or len(self._flat) > 8 * self._most:
-            self._reset()
+            self._shrink(pieces)
         rows = list(map(self._row.get, pieces))
         new = list(dict.fromkeys(p for p, r in zip(pieces, rows) if r is None))
         if new:

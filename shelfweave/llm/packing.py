@@ -14,48 +14,65 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .bpe import Known
+from .bpe import Known, _byte_of_char
 from .scratch import Scratch
 from .text import parts
 
 MOST = 4096
 END_ID = 2
 CELL = 50_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 _tokenizers: dict[str, "Words"] = {}
 
 #: Fixed value: the pattern by which tokenizers of this kind part words, after they are lower-cased. White space is dropped, letters and marks never share a part.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Words that are one part for sure: letters of ASCII and Latin-1, or marks of ASCII. Others may be several.
-ONE_PART = "^(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+|[!-&(-/:-@\\[-`{-~]+)$"
+#: Words that are one part for sure: letters of ASCII and Latin-1, marks of ASCII, or one digit. Others may be several.
+ONE_PART = "^(?:[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+|[!-&(-/:-@\\[-`{-~]+|[0-9])$"
 
-_LETTER, _MARK, _UPPER, _BLANK, _JOINS = (np.zeros(256, bool) for _ in range(5))
+_KIND = np.zeros(256, np.uint8)  # of ASCII: 1 a letter, 2 a mark, 3 a digit
+_UPPER, _BLANK, _JOINS = (np.zeros(256, bool) for _ in range(3))
 _UPPER[65:91] = True
-_LETTER[65:91] = _LETTER[97:123] = True
-_MARK[33:127] = ~_LETTER[33:127]
-_MARK[48:58] = _MARK[39] = False  # digits; an apostrophe may begin a part such as 's
+_KIND[33:127] = 2
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[48:58] = 3
+_KIND[39] = 0  # an apostrophe may begin a part such as 's
 _BLANK[[9, 10, 13, 32]] = True
 _JOINS[0xCC:] = True  # first bytes of U+0300 and above, which may be marks that join the letter before
 
 
+def _byte_letters() -> tuple[np.ndarray, np.ndarray]:
+    """The letters that stand for each byte in vocabularies of this kind, as two bytes of UTF-8, and whether the second one is used."""
+    raw = [letter.encode() for letter, _ in sorted(_byte_of_char().items(), key=lambda x: x[1])]
+    raw[32] = b" "  # parts words here and is in none
+    return np.array([list(x.ljust(2, b" ")) for x in raw], np.uint8), np.array([len(x) > 1 for x in raw])
+
+
 class Words:
     """The tokenizer of a file and this worker's token ids of words met so far."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self._tokenizer = Tokenizer.from_file(path)
-        file = json.loads(self._tokenizer.to_str())
-        steps, model = (file["normalizer"] or {}).get("normalizers", []), file["model"]
-        splits = [x.get("pattern") for x in (file["pre_tokenizer"] or {}).get("pretokenizers", [])][:1]
-        suffix = model.get("end_of_word_suffix")
+
+        def told(part) -> dict:
+            return json.loads(part.__getstate__()) if part is not None else {}
+
+        steps, model = told(self._tokenizer.normalizer).get("normalizers", []), self._tokenizer.model
+        splits = told(self._tokenizer.pre_tokenizer).get("pretokenizers", [])
+        suffix = getattr(model, "end_of_word_suffix", None)
         #: Whether words may be cut and lower-cased as ``cut`` does.
-        self.parted = [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and splits == [{"Regex": PARTS}] and bool(suffix)
+        self.parted = ([x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in splits] == ["Split", "ByteLevel"]
+                       and splits[0]["pattern"] == {"Regex": PARTS} and bool(suffix))
         self._ends = np.zeros(self._tokenizer.get_vocab_size(), bool)
         if self.parted:
-            self._ends[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
+            self._ends[[i for i in range(len(self._ends)) if (self._tokenizer.id_to_token(i) or "").endswith(suffix)]] = True
+            self._plain = Tokenizer(model)  # for words of one part: nothing to put right or to cut but blanks
+            self._plain.pre_tokenizer = WhitespaceSplit()
+            self._letters, self._two = _byte_letters()
         self.known = Known(self._solve, {}, CACHE_WORDS)
 
     @classmethod
@@ -68,7 +85,8 @@ class Words:
     def cut(self, data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         """Words of a run of texts, which can be encoded one by one, and where each text begins in them.
 
-        White space always ends a word. So does, but for a special token (``<|``), a letter of ASCII before a mark of ASCII and the other way round.
+        White space always ends a word. So does, but for a special token (``<|``), a letter of ASCII or Latin-1 beside a mark or digit of ASCII, a
+        mark beside a digit and a digit beside another.
         Letters are lower-cased where no mark that follows could make another letter of them.
         """
         parted = self.parted and b"<|" not in data.tobytes()
@@ -77,8 +95,11 @@ class Words:
         begins[1:] = blank
         begins[at] = True
         if parted:
-            letter, mark = _LETTER[data], _MARK[data]
-            begins[1:-1] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+            kind = _KIND[data]
+            latin = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF, of which two are marks
+            latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]
+            kind[latin] = kind[latin + 1] = 1
+            begins[1:-1] |= (kind[:-1] > 0) & (kind[1:] > 0) & ((kind[:-1] != kind[1:]) | (kind[1:] == 3))
             upper = _UPPER[data]
             upper[:-1] &= ~_JOINS[data[1:]] | begins[1:-1]
             data = data + (upper * np.uint8(32))
@@ -96,9 +117,11 @@ class Words:
         one = pc.match_substring_regex(pa.array(words, pa.string()), ONE_PART).to_numpy(zero_copy_only=False) if self.parted else np.zeros(len(words), bool)
         ids, number = [], np.zeros(len(words), np.int64)
         single, rest = np.flatnonzero(one), np.flatnonzero(~one)
-        for lo in range(0, len(single), 256):
-            some = single[lo : lo + 256]
-            got = np.array(self._tokenizer.encode_batch_fast([" ".join([words[i] for i in some])], add_special_tokens=False)[0].ids, np.uint32)
+        for lo in range(0, len(single), 4096):
+            some = single[lo : lo + 4096]
+            raw = np.frombuffer(" ".join([words[i] for i in some]).lower().encode(), np.uint8)
+            keep = np.stack((np.ones(len(raw), bool), self._two[raw]), 1)
+            got = np.array(self._plain.encode_batch_fast([self._letters[raw][keep].tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
             last = np.flatnonzero(self._ends[got])
             if len(last) != len(some) or last[-1] != len(got) - 1:
                 raise ValueError("the tokenizer ends words elsewhere than its suffix says")
@@ -126,7 +149,7 @@ def _tokens(path: str, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np
     words = Words.of(path)
     found, first = words.cut(data, at)
     coded = pc.dictionary_encode(found)
-    flat, start = words.known.ids(coded.dictionary.to_pylist())
+    flat, start = words.known.ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
     index = coded.indices.to_numpy()
     ids, end = _runs(flat, start[index], np.diff(start)[index])
     return ids, end[first]

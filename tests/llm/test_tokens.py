@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfweave.llm import alignment as alignment_parts
 from shelfweave.llm.alignment import aligned, alignment_digests, pack_postings, unpack_postings
-from shelfweave.llm.bpe import ByteBpe, decoded, encoded, encoding_digests
+from shelfweave.llm.bpe import ByteBpe, Known, decoded, encoded, encoding_digests
 from shelfweave.llm.packing import Words, _tokens
 from shelfweave.llm.scratch import Scratch
 from shelfweave.llm.text import shingles, text_bytes, words
@@ -79,6 +79,32 @@ def test_words_that_differ_in_case_or_marks_are_one():
     assert found.to_pylist() == ["word", ",", "word", ".", "word", "(", "word", ")", "word", "!"] and first.tolist() == [0, 8, 8, 10]
 
 
+def test_words_end_at_digits_and_beside_latin_letters():
+    from tokenizers import Tokenizer
+
+    found, _ = Words.of(WORD).cut(*text_bytes(pa.array(["Mädchen, 12 mädchen(3×Ä)x7,ä", "é!É"], pa.string())))
+    assert found.to_pylist() == ["mädchen", ",", "1", "2", "mädchen", "(", "3×Ä", ")", "x", "7", ",", "ä", "é", "!", "É"]
+    library, pick = Tokenizer.from_file(WORD), random.Random(8)
+    kinds = [*"äÉ×÷ßÀÿþç1907.,!<=>`^'aZ \n", "\u0301", "\u0338", "\u0327", "\u20e3", "'ll", "'D", "½", "²", "ſ", "Ö1", "\u0100", "\u00bf"]
+    texts = ["".join(pick.choice(kinds) for _ in range(pick.randrange(25))) for _ in range(4000)]
+    ids, at = _tokens(WORD, *text_bytes(pa.array(texts, pa.string())))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_full_cache_keeps_what_was_asked_for_just_then():
+    asked = []
+
+    def solve(pieces):
+        asked.append(list(pieces))
+        return np.array([ord(c) for p in pieces for c in p], np.int32), np.array([len(p) for p in pieces])
+
+    known = Known(solve, {"fixed": 7}, 6)
+    for batch in (["a", "bc", "fixed"], ["d", "ef", "g", "h"], ["bc", "h", "new", "fixed"], ["fixed", "bc", "h", "new"]):
+        ids, at = known.ids(batch)
+        assert [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:])] == [[7] if p == "fixed" else [ord(c) for c in p] for p in batch]
+    assert asked == [["a", "bc"], ["d", "ef", "g", "h"], ["new"]]
+
+
 def test_vocabulary_tokens_stand_for_themselves():
     v = ByteBpe.of(BPE).vocabulary
     merged = v.usable[v.rank[v.usable] >= 0]
