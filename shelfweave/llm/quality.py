@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -81,8 +82,26 @@ def score_parts(model: dict, rows: int, row: np.ndarray, bucket: np.ndarray, val
     return 1.0 / (1.0 + np.exp(-np.clip(margin, -40, 40)))
 
 
-def _fit_shard(x: np.ndarray, y: np.ndarray, model: dict, seed: int, rate: float) -> dict:
-    """Adam over one shard's rows, in batches, from ``model``."""
+class Sample(NamedTuple):
+    """Rows of a shard by what is not zero in them; their wide form is made for a few rows at a time."""
+
+    first: np.ndarray  # first value of each row, and the number of values
+    bucket: np.ndarray
+    value: np.ndarray
+    stats: np.ndarray
+
+    def wide(self, rows: np.ndarray) -> np.ndarray:
+        """The features of ``rows`` with all their zeros."""
+        each = np.diff(self.first)[rows]
+        place = np.repeat(self.first[rows] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        x = np.zeros((len(rows), BUCKETS + STATS), np.float32)
+        x[np.repeat(np.arange(len(rows)), each), self.bucket[place]] = self.value[place]
+        x[:, BUCKETS:] = self.stats[rows]
+        return x
+
+
+def _fit_shard(rows: Sample, sequence: np.ndarray, y: np.ndarray, model: dict, seed: int, rate: float) -> dict:
+    """Adam over one shard's rows, taken in the order ``sequence``, in batches, from ``model``."""
     w, v, b = model["w"].copy(), model["v"].copy(), model["b"]
     first = [np.zeros_like(w), np.zeros_like(v), 0.0]
     second = [np.zeros_like(w), np.zeros_like(v), 0.0]
@@ -91,7 +110,8 @@ def _fit_shard(x: np.ndarray, y: np.ndarray, model: dict, seed: int, rate: float
         shuffled = order.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             take = shuffled[lo : lo + BATCH]
-            a, a2 = x[take], x[take] ** 2
+            a = rows.wide(sequence[take])
+            a2 = a**2
             one = a @ v
             margin = b + a @ w + 0.5 * (one * one - a2 @ (v * v)).sum(1)
             off = (1.0 / (1.0 + np.exp(-np.clip(margin, -40, 40))) - y[take]) / len(take)
@@ -108,13 +128,12 @@ def _fit_shard(x: np.ndarray, y: np.ndarray, model: dict, seed: int, rate: float
 
 def _shard_fit(model: dict, turn: int):
     def fit(key, frame):
-        x = np.zeros((len(frame), BUCKETS + STATS), np.float32)
-        for i, (bucket, value) in enumerate(zip(frame["bucket"], frame["value"])):
-            x[i, np.asarray(bucket, np.int64)] = value
-        x[:, BUCKETS:] = (np.stack(frame["stats"].to_numpy()) - model["mean"]) / model["spread"]
+        stats = ((np.stack(frame["stats"].to_numpy()) - model["mean"]) / model["spread"]).astype(np.float32)
+        first = np.append(0, np.cumsum([len(x) for x in frame["bucket"]]))
+        rows = Sample(first, np.concatenate(frame["bucket"].to_numpy()).astype(np.int64), np.concatenate(frame["value"].to_numpy()), stats)
         y = frame["y"].to_numpy()
-        order = np.lexsort((x[:, BUCKETS], x[:, BUCKETS + 1], y))
-        got = _fit_shard(x[order], y[order], model, 100 * turn + int(key[0]), 0.02 / (1 + turn))
+        order = np.lexsort((stats[:, 0], stats[:, 1], y))
+        got = _fit_shard(rows, order, y[order], model, 100 * turn + int(key[0]), 0.02 / (1 + turn))
         return pd.DataFrame({"n": [len(frame)], "w": [got["w"].tobytes()], "v": [got["v"].tobytes()], "b": [got["b"]]})
 
     return fit
@@ -173,7 +192,8 @@ def _input(docs: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame, model: dict, keep: list[str], name: str = "score") -> DataFrame:
     """The columns ``keep`` of ``docs`` and their score as ``name``; every whole text, in bounded runs of rows."""
-    wide = docs.select(F.struct(*keep).alias("kept"), "text", _n_chars(docs))
+    rest = [c for c in keep if c != "text"]  # the text crosses to the workers once
+    wide = docs.select(F.struct(*rest).alias("kept") if rest else F.lit(0).alias("kept"), "text", _n_chars(docs))
     schema = docs.select(*keep).withColumn(name, F.lit(0.0)).schema
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +201,8 @@ def score(docs: DataFrame, model: dict, keep: list[str], name: str = "score") ->
             out = np.zeros(b.num_rows)
             for lo, hi, row, bucket, value, stats in _features(b["text"], b["n_chars"].to_numpy(zero_copy_only=False)):
                 out[lo:hi] = score_parts(model, hi - lo, row, bucket, value, stats)
-            yield pa.RecordBatch.from_arrays([*b["kept"].flatten(), pa.array(out)], names=[*keep, name])
+            kept = dict(zip(rest, b["kept"].flatten() if rest else [])) | {"text": b["text"]}
+            yield pa.RecordBatch.from_arrays([*(kept[c] for c in keep), pa.array(out)], names=[*keep, name])
 
     return wide.mapInArrow(apply, schema)
 

@@ -2,11 +2,14 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from shelfweave.llm import languages as language_parts
@@ -154,3 +157,36 @@ def test_languages_equal_plain_naive_bayes(spark, docs, rows):
         best = max(range(len(langs)), key=score.__getitem__)
         share = 1 / sum(math.exp(x - score[best]) for x in score)
         assert got[r.doc_id].held_out == held(r) and got[r.doc_id].lang_pred == langs[best] and abs(got[r.doc_id].score - share) < 0.01, (r.doc_id, score)
+
+
+def test_quality_fits_without_a_wide_table_of_its_rows():
+    random, rows, wide = np.random.default_rng(9), 3000, quality_parts.BUCKETS + quality_parts.STATS
+    bucket = [random.choice(quality_parts.BUCKETS, k % 30, replace=False).astype(np.float32) for k in range(rows)]
+    frame = pd.DataFrame({"y": [float(k % 2) for k in range(rows)], "bucket": bucket, "value": [random.random(len(x)).astype(np.float32) for x in bucket],
+                          "stats": [random.random(quality_parts.STATS).astype(np.float32) for _ in range(rows)]})
+    sample = quality_parts.Sample(np.append(0, np.cumsum([len(x) for x in bucket])), np.concatenate(bucket).astype(np.int64), np.concatenate(frame["value"]), np.stack(frame["stats"]))
+    for take in (np.array([7, 0, 2999, 31]), np.array([30])):
+        x = sample.wide(take)
+        for i, k in enumerate(take):
+            own = np.zeros(wide, np.float32)
+            own[bucket[k].astype(int)], own[quality_parts.BUCKETS :] = frame["value"][k], frame["stats"][k]
+            assert (x[i] == own).all()
+    model = {"w": np.zeros(wide), "v": random.normal(0, 0.05, (wide, quality_parts.RANK)), "b": 0.0, "mean": np.zeros(quality_parts.STATS), "spread": np.ones(quality_parts.STATS)}
+    tracemalloc.start()
+    try:
+        quality_parts._shard_fit(model, 0)((0,), frame)
+        assert tracemalloc.get_traced_memory()[1] < rows * wide * 4 / 2  # bytes; the wide table and its sorted copy are four times that
+    finally:
+        tracemalloc.stop()
+
+
+def test_batches_to_workers_end_at_some_bytes(spark):
+    Scratch(spark, "batches")
+    texts = spark.range(0, 400, 1, 1).selectExpr("id", "repeat('a word and more ', 4000) text")  # 60,000 bytes each
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"])
+
+    found = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) > 400 * 60_000 and max(found) < 8 << 20
