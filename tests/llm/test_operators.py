@@ -1,6 +1,7 @@
 """The operators for training text against plain versions, and on rows that are null, empty, equal, long or few."""
 
 import hashlib
+import os
 import textwrap
 import zlib
 
@@ -393,6 +394,24 @@ def test_empty_tables(spark, none, labels):
         assert out.count() == 0
 
 
+def test_passages_of_an_id_with_several_texts(spark):
+    """A passage far into one text of an id is found, though another text of this id is shorter."""
+    changed = _words(120, "m").split()
+    changed[60] = "other"
+    rows = [(0, f"{_words(700, 'l')} {_words(120, 'm')}"), (0, _words(60, "s")), (1, f"{_words(30, 'x')} {' '.join(changed)} {_words(30, 'y')}")]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), _scratch(spark)).collect()
+    assert [(r.doc_id, r.first_word, r.end_word, r.others) for r in found] == [(1, 30, 150, [0])]
+
+
+def test_passages_keep_only_tables_with_readers(spark, docs):
+    """What no later step reads is gone when the passages are asked for, and their words are not written out with keys of their own."""
+    s = _scratch(spark)
+    found = repeated_passages(docs, s)
+    kept = {name for name, at in s.latest.items() if os.path.exists(at.removeprefix("file:"))}
+    assert kept == {"again", "covered", "chained", "ids", "texts"}
+    assert found.count() > 0
+
+
 def _chained_rows(spark, n):
     base, rng = _words(300, "v").split(), np.random.default_rng(5)
     rows = []

@@ -19,6 +19,7 @@ from shelfweave.llm.fingerprints import fingerprints
 from shelfweave.llm.languages import languages
 from shelfweave.llm.mixing import mixture
 from shelfweave.llm.packing import packed
+from shelfweave.llm.passages import _common, align, passing, passing_each
 from shelfweave.llm.scratch import Scratch
 from shelfweave.llm.text import mix
 
@@ -190,3 +191,56 @@ def test_batches_to_workers_end_at_some_bytes(spark):
 
     found = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
     assert sum(found) > 400 * 60_000 and max(found) < 8 << 20
+
+
+def _plain_reach(a, b):
+    at_a = at_b = 0
+    marks = []
+    while True:
+        n = min(len(a) - at_a, len(b) - at_b, 64)
+        if n <= 0:
+            return marks
+        same = a[at_a : at_a + n] == b[at_b : at_b + n]
+        score = np.cumsum(np.where(same, 1, -2))
+        best = int(np.argmax(score))
+        if score[best] > 0:
+            at_a, at_b = at_a + best + 1, at_b + best + 1
+            marks.extend(same[: best + 1])
+            if best + 1 == n:
+                continue
+        for da, db in ((1, 0), (0, 1), (1, 1), (2, 0), (0, 2), (2, 2), (3, 0), (0, 3), (3, 3)):
+            if at_a + da + 6 <= len(a) and at_b + db + 6 <= len(b) and (a[at_a + da : at_a + da + 6] == b[at_b + db : at_b + db + 6]).all():
+                at_a, at_b = at_a + da, at_b + db
+                marks.extend([False] * da)
+                break
+        else:
+            return marks
+
+
+def test_chains_aligned_at_once():
+    """Chains that are aligned together give what each gives alone, word by word."""
+    rng, cases = np.random.default_rng(4), []
+    for _ in range(300):
+        a = rng.integers(0, 40, rng.integers(8, 400)).astype(np.uint32)
+        b = []
+        for v in a.tolist():
+            b += [] if rng.random() < 0.02 else [v] * (1 + (rng.random() < 0.02)) if rng.random() < 0.95 else [99]
+        b = np.array(b, np.uint32)
+        x, y = [], []
+        for i in range(len(a) - 4):
+            for j in range(max(i - 6, 0), min(i + 7, len(b) - 4)):
+                if (a[i : i + 5] == b[j : j + 5]).all() and (not x or (i > x[-1] + 4 and j > y[-1] + 4)) and rng.random() < 0.2:
+                    x, y = [*x, i], [*y, j]
+        if x:
+            cases.append((a, b, x, y))
+    lens = [np.array([len(c[k]) for c in cases]) for k in range(3)]
+    begin, length, mark = align(np.concatenate([c[0] for c in cases]), np.cumsum(lens[0]) - lens[0], lens[0], np.concatenate([c[1] for c in cases]), np.cumsum(lens[1]) - lens[1], lens[1],
+                                *(np.concatenate([c[k] for c in cases]).astype(np.int64) for k in (2, 3)), lens[2])
+    got = np.split(mark, np.cumsum(length)[:-1])
+    for i, (a, b, x, y) in enumerate(cases):
+        middle = [a[p:q] == b[r:s] if q - p == s - r else _common(a[p:q], b[r:s]) for p, q, r, s in zip(x, x[1:], y, y[1:])]
+        back = _plain_reach(a[: x[0]][::-1], b[: y[0]][::-1])[::-1]
+        assert begin[i] == x[0] - len(back)
+        assert got[i].tolist() == np.concatenate([np.array(back, bool), *middle, np.array(_plain_reach(a[x[-1] :], b[y[-1] :]), bool)]).tolist()
+    row, p, q = passing_each(mark, length, 0.8, 12)
+    assert len(cases) > 100 and list(zip(row.tolist(), p.tolist(), q.tolist())) == [(i, *z) for i, m in enumerate(got) for z in passing(m, 0.8, 12)]
