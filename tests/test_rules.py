@@ -453,6 +453,25 @@ def test_split_join_deals_out_hot_keys_only(spark):
     assert split_join(rows.limit(0), side, ["key"]).count() == 0
 
 
+def test_only_rates_of_hot_tax_groups_are_copied(spark):
+    """What is broadcast of the rates grows with the tax groups, not with these times the shuffle partitions."""
+    products = spark.range(3000).selectExpr("id AS id_product", "CAST(CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN id % 700 ELSE 7 END AS INT) AS id_tax_rules_group")
+    rates = spark.range(5000).selectExpr("CAST(id AS INT) AS id_tax_rules_group", "CAST(id % 25 AS DOUBLE) AS rate").repartition(2)
+    frame = P.with_rates(products, rates)
+    rows = frame.collect()
+    assert {r.id_product: (r.id_tax_rules_group, r.rate) for r in rows} == {
+        i: (g, None if g is None else g % 25) for i in range(3000) for g in [(None, i % 700, 7, 7)[i % 4]]} and len(rows) == 3000
+    nodes, sent = [frame._jdf.queryExecution().executedPlan().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        if node.nodeName() == "BroadcastExchange":
+            sent.append(node.metrics().apply("numOutputRows").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert sent and sum(sent) <= 5000 + 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_short_terms_by_deletions_and_long_ones_by_pieces(spark):
     rng = random.Random(11)
     word = lambda low, high: "".join(rng.choice("ab") for _ in range(rng.randint(low, high)))
