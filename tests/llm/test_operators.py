@@ -372,6 +372,35 @@ def test_passages_whose_seeds_are_elsewhere(spark, other_first):
     assert want <= got.keys() and all(i - 100 in got[i, p, q] for i, p, q in want)
 
 
+@pytest.mark.parametrize("put_in", [0, 1])
+def test_near_passages_whose_seeds_are_elsewhere(spark, put_in):
+    """Two documents share phrases of 20 words with other words between them, and each phrase has its first copy in a document of its own."""
+    rows, want = [], {}
+    for k in range(20):
+        phrases = [_words(20, f"s{k}-{j}") for j in range(5)]
+        rows += [(1000 * k + j, f"{_words(60, f'p{k}-{j}')} {p} {_words(60, f'q{k}-{j}')}") for j, p in enumerate(phrases)]
+        mixed = lambda name, n: " ".join(f"{p} {_words(n, f'{name}{k}-{j}')}" for j, p in enumerate(phrases))  # noqa: B023, E731
+        rows += [(1000 * k + 100, f"{_words(30, f'a{k}')} {mixed('b', 5)} {_words(30, f'c{k}')}"), (1000 * k + 200, f"{_words(41, f'd{k}')} {mixed('e', 5 + put_in)} {_words(30, f'f{k}')}")]
+        # One more has all phrases, too far apart.
+        rows.append((1000 * k + 300, " ".join(f"{p} {_words(50, f'g{k}-{j}')}" for j, p in enumerate(phrases))))
+        want[1000 * k + 200] = (41, 41 + 5 * 20 + 4 * (5 + put_in))
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), _scratch(spark)).collect()
+    assert {r.doc_id for r in found} == want.keys() and all(r.doc_id - 100 in r.others and r.first_word >= want[r.doc_id][0] and r.end_word <= want[r.doc_id][1] for r in found)
+    assert sum(r.end_word - r.first_word for r in found) >= (0.9 if put_in else 1) * sum(q - p for p, q in want.values())
+
+
+def test_no_seed_outside_of_passages_is_left_to_one_partner(spark):
+    """Every earlier document that has two of the runs beside a difference is met, not only the first one."""
+    runs = [_words(20, f"r{j}") for j in range(4)]
+    rows = [(j, f"{_words(60, f'p{j}')} {r} {_words(60, f'q{j}')}") for j, r in enumerate(runs)]
+    # The first two runs are shared with many at a distance of 9 words, all four with the last but one only.
+    rows += [(10 + i, f"{_words(30, f'a{i}')} {runs[0]} {_words(9, f'b{i}')} {runs[1]} {_words(30, f'c{i}')}") for i in range(30)]
+    rows += [(90, f"{_words(30, 'd')} {runs[0]} {_words(9, 'e')} {runs[1]} {_words(3, 'f')} {runs[2]} {_words(3, 'g')} {runs[3]}"),
+             (91, f"{_words(30, 'h')} {runs[0]} {_words(9, 'i')} {runs[1]} {_words(4, 'j')} {runs[2]} {_words(3, 'k')} {runs[3]}")]
+    found = [r for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), _scratch(spark)).collect() if r.doc_id == 91]
+    assert [(r.first_word, r.end_word) for r in found] == [(30, 126)] and 90 in found[0].others
+
+
 def test_best_chain():
     x, y = np.array([0, 5, 10, 15, 20, 25]), np.array([100, 105, 3, 110, 115, 500])
     assert best_chain(x, y) == [0, 1, 3, 4]
